@@ -1,3 +1,367 @@
-"""Registrations of the non-catalogue operators (ETL, quality, stream, ML)."""
+"""Registrations of the non-catalogue operators with their DuckDB oracle text.
+
+Importing this module fills the registry; every query reads ``events``
+(through the readings adapter) or data Spark derives from it.
+"""
 
 from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from machinewatch.fixtures import load_readings, sensor_sql, with_ctes
+from machinewatch.functions.features import date_part_columns, edge_rule, flag_columns, ratio_columns
+from machinewatch.operators import enrich, stats
+from machinewatch.plans import etl
+from machinewatch.plans.registry import register, sensor_data
+from machinewatch.schema import SENSORS
+from machinewatch.session import scratch_path
+
+# ---------------------------------------------------------------------------
+# SQL fragments shared by several oracle texts
+# ---------------------------------------------------------------------------
+SENSOR_COLS = "temperature, vibration, pressure"
+VALID_SQL = """valid AS (
+    SELECT *, cast(event_timestamp AS date) AS batch_date FROM readings
+    WHERE temperature IS NOT NULL AND vibration IS NOT NULL AND pressure IS NOT NULL
+)"""
+LAG_SQL = """lagged AS (
+    SELECT *,
+        lag(temperature, 1) OVER w AS temp_lag_1,
+        lag(vibration, 1) OVER w AS vib_lag_1,
+        lag(pressure, 1) OVER w AS pressure_lag_1,
+        temperature - lag(temperature, 1) OVER w AS temp_diff,
+        vibration - lag(vibration, 1) OVER w AS vib_diff,
+        pressure - lag(pressure, 1) OVER w AS pressure_diff
+    FROM sensor_data
+    WINDOW w AS (PARTITION BY machine_id ORDER BY event_timestamp, event_id)
+)"""
+
+
+def _stats_sql(prefix: str, col: str) -> str:
+    return (f"avg({col}) AS {prefix}_mean, "
+            f"CASE WHEN count({col}) > 1 THEN stddev_samp({col}) ELSE 0e0 END AS {prefix}_std, "
+            f"min({col}) AS {prefix}_min, max({col}) AS {prefix}_max")
+
+
+BATCH_STATS_SQL = ", ".join(
+    _stats_sql(p, c) for p, c in (("temp", "temperature"), ("vib", "vibration"), ("pressure", "pressure"))
+)
+
+
+def _trend_sql(name: str, col: str, delta: str) -> str:
+    return (f"CASE WHEN n < 3 THEN NULL WHEN last_{col} > first_{col} + {delta} THEN 'increasing' "
+            f"WHEN last_{col} < first_{col} - {delta} THEN 'decreasing' ELSE 'stable' END AS {name}")
+
+
+TRENDS_CTE = """ordered AS (
+    SELECT *,
+        row_number() OVER (PARTITION BY machine_id, batch_date ORDER BY event_timestamp, event_id) AS rn_first,
+        row_number() OVER (PARTITION BY machine_id, batch_date ORDER BY event_timestamp DESC, event_id DESC) AS rn_last,
+        count(*) OVER (PARTITION BY machine_id, batch_date) AS n
+    FROM valid
+),
+ends AS (
+    SELECT machine_id, batch_date, max(n) AS n,
+        max(CASE WHEN rn_first = 1 THEN temperature END) AS first_temperature,
+        max(CASE WHEN rn_last = 1 THEN temperature END) AS last_temperature,
+        max(CASE WHEN rn_first = 1 THEN vibration END) AS first_vibration,
+        max(CASE WHEN rn_last = 1 THEN vibration END) AS last_vibration,
+        max(CASE WHEN rn_first = 1 THEN pressure END) AS first_pressure,
+        max(CASE WHEN rn_last = 1 THEN pressure END) AS last_pressure
+    FROM ordered GROUP BY machine_id, batch_date
+),
+trends AS (
+    SELECT machine_id, batch_date,
+        CASE WHEN n < 3 THEN 'insufficient_data' END AS trend,
+        """ + ",\n        ".join([
+    _trend_sql("temp_trend", "temperature", "5"),
+    _trend_sql("vib_trend", "vibration", "0.5"),
+    _trend_sql("pressure_trend", "pressure", "10"),
+]) + """
+    FROM ends
+)"""
+
+
+def valid_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings with all three sensor values, grouped into daily micro-batches."""
+    return (load_readings(spark, sf_dir).dropna(subset=list(SENSORS))
+            .withColumn("batch_date", F.to_date("event_timestamp")))
+
+
+BATCH_KEYS = ("machine_id", "batch_date")
+
+# ---------------------------------------------------------------------------
+# Row-level projections
+# ---------------------------------------------------------------------------
+
+
+@register("event_time", with_ctes("""
+SELECT event_id, "timestamp", event_timestamp,
+       cast(to_timestamp("timestamp") AT TIME ZONE 'UTC' AS timestamp) AS event_time_from_epoch
+FROM readings"""))
+def q_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event time recomputed from epoch seconds (equals the source time truncated to seconds)."""
+    r = load_readings(spark, sf_dir).select("event_id", "timestamp", "event_timestamp")
+    derived = enrich.event_time(r.drop("event_timestamp")).withColumnRenamed(
+        "event_timestamp", "event_time_from_epoch")
+    return derived.join(r.select("event_id", "event_timestamp"), "event_id")
+
+
+@register("ratio_features", with_ctes("""
+SELECT event_id, temperature / nullif(vibration + 0.001, 0) AS temp_vib_ratio,
+       pressure / nullif(temperature + 0.001, 0) AS pressure_temp_ratio
+FROM readings"""))
+def q_ratio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two ratio features."""
+    return load_readings(spark, sf_dir).select("event_id", *[c.alias(n) for n, c in ratio_columns().items()])
+
+
+@register("rule_flags", with_ctes("""
+SELECT event_id,
+       CASE WHEN temperature > 80 THEN 1 ELSE 0 END AS is_anomaly_temp,
+       CASE WHEN vibration > 2.0 THEN 1 ELSE 0 END AS is_anomaly_vib,
+       CASE WHEN pressure > 150 THEN 1 ELSE 0 END AS is_anomaly_pressure
+FROM readings"""))
+def q_rule_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three threshold flags (NULL reading -> 0)."""
+    return load_readings(spark, sf_dir).select("event_id", *[c.alias(n) for n, c in flag_columns().items()])
+
+
+@register("anomaly_score", sensor_sql("""
+SELECT total_anomaly_score, count(*) AS readings FROM sensor_data GROUP BY total_anomaly_score"""))
+def q_anomaly_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5: distribution of the summed rule score."""
+    return sensor_data(spark, sf_dir).groupBy("total_anomaly_score").agg(
+        F.count(F.lit(1)).alias("readings"))
+
+
+@register("date_parts", with_ctes("""
+SELECT event_id, cast(year(event_timestamp) AS int) AS "year",
+       cast(month(event_timestamp) AS int) AS "month",
+       cast(day(event_timestamp) AS int) AS "day", cast(hour(event_timestamp) AS int) AS "hour"
+FROM readings"""))
+def q_date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partition date parts."""
+    return load_readings(spark, sf_dir).select(
+        "event_id", *[c.alias(n) for n, c in date_part_columns().items()])
+
+
+@register("edge_rule", with_ctes("""
+SELECT event_id, machine_id, "timestamp", temperature, vibration, pressure,
+       CASE WHEN temperature > 85 OR vibration > 2.0 OR pressure > 110 THEN 1 ELSE 0 END AS anomaly_score
+FROM readings"""))
+def q_edge_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Any-of edge rule."""
+    r = load_readings(spark, sf_dir)
+    return r.select("event_id", "machine_id", "timestamp", *SENSORS, edge_rule().alias("anomaly_score"))
+
+
+@register("lag_features", sensor_sql("""
+SELECT event_id, machine_id, event_timestamp, temp_lag_1, vib_lag_1, pressure_lag_1,
+       temp_diff, vib_diff, pressure_diff
+FROM lagged""", LAG_SQL))
+def q_lag_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 + P21: previous reading per machine and differences (day-bucketed, skew-safe plan)."""
+    out = enrich.lag_features(sensor_data(spark, sf_dir), bucket="day")
+    return out.select("event_id", "machine_id", "event_timestamp",
+                      "temp_lag_1", "vib_lag_1", "pressure_lag_1",
+                      "temp_diff", "vib_diff", "pressure_diff")
+
+
+@register("feature_matrix", with_ctes("""
+SELECT event_id, machine_id, temperature, vibration, pressure,
+       temperature / nullif(vibration + 0.001, 0) AS temp_vib_ratio,
+       pressure / nullif(temperature + 0.001, 0) AS pressure_temp_ratio,
+       cast(label AS double) AS label
+FROM readings"""))
+def q_feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five model features in fixed order plus the label."""
+    return enrich.feature_matrix(load_readings(spark, sf_dir))
+
+
+@register("lenient_features", with_ctes("""
+SELECT event_id, coalesce(temperature, 0e0) AS temperature, coalesce(vibration, 0e0) AS vibration,
+       coalesce(pressure, 0e0) AS pressure,
+       coalesce(temperature, 0e0) / nullif(coalesce(vibration, 0e0) + 0.001, 0) AS temp_vib_ratio,
+       coalesce(pressure, 0e0) / nullif(coalesce(temperature, 0e0) + 0.001, 0) AS pressure_temp_ratio
+FROM readings"""))
+def q_lenient_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P11 lenient: missing sensor -> 0.0 before the ratios."""
+    r = load_readings(spark, sf_dir).select("event_id", *SENSORS)
+    return enrich.lenient_features(r)
+
+
+# ---------------------------------------------------------------------------
+# Aggregations (A1-A4, A6, S20) and per-group ordered work
+# ---------------------------------------------------------------------------
+_A1_SQL = sensor_sql("""
+SELECT machine_id, "year", "month", "day", "hour",
+       avg(temperature) AS avg_temperature, avg(vibration) AS avg_vibration,
+       avg(pressure) AS avg_pressure,
+       stddev_samp(temperature) AS std_temperature, stddev_samp(vibration) AS std_vibration,
+       stddev_samp(pressure) AS std_pressure,
+       max(temperature) AS max_temperature, min(temperature) AS min_temperature,
+       max(vibration) AS max_vibration, min(vibration) AS min_vibration,
+       max(pressure) AS max_pressure, min(pressure) AS min_pressure,
+       count(*) AS record_count, cast(sum(total_anomaly_score) AS bigint) AS anomaly_count
+FROM sensor_data GROUP BY machine_id, "year", "month", "day", "hour\"""")
+
+_A2_BODY = """
+SELECT machine_id, "year", "month", "day", count(*) AS total_records,
+       cast(sum(CASE WHEN total_anomaly_score > 0 THEN 1 ELSE 0 END) AS bigint) AS anomaly_records,
+       avg(temperature) AS avg_temperature, avg(vibration) AS avg_vibration,
+       avg(pressure) AS avg_pressure, max(temperature) AS max_temperature,
+       min(temperature) AS min_temperature
+FROM sensor_data GROUP BY machine_id, "year", "month", "day\""""
+_A2_SQL = sensor_sql(_A2_BODY)
+_A3_SQL = sensor_sql("""
+SELECT machine_id, "year", "month",
+       avg(avg_temperature) AS monthly_avg_temp, avg(avg_vibration) AS monthly_avg_vib,
+       avg(avg_pressure) AS monthly_avg_pressure,
+       cast(sum(anomaly_records) AS bigint) AS monthly_anomalies,
+       cast(sum(total_records) AS bigint) AS monthly_total_records,
+       cast(sum(anomaly_records) AS double) / cast(sum(total_records) AS double) * 100e0
+           AS anomaly_percentage
+FROM daily GROUP BY machine_id, "year", "month\"""", "daily AS (" + _A2_BODY + ")")
+
+
+@register("machine_stats", _A1_SQL)
+def q_machine_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: hourly machine statistics."""
+    return stats.machine_stats(sensor_data(spark, sf_dir))
+
+
+@register("anomaly_summary", _A2_SQL)
+def q_anomaly_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: daily anomaly summary."""
+    return stats.anomaly_summary(sensor_data(spark, sf_dir))
+
+
+@register("machine_performance", _A3_SQL)
+def q_machine_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: monthly performance as an aggregate of the daily summary."""
+    return stats.machine_performance(stats.anomaly_summary(sensor_data(spark, sf_dir)))
+
+
+@register("run_stats", sensor_sql("""
+SELECT count(*) AS total_records, count(DISTINCT machine_id) AS unique_machines,
+       cast(sum(CASE WHEN total_anomaly_score > 0 THEN 1 ELSE 0 END) AS bigint) AS anomaly_records
+FROM sensor_data"""))
+def q_run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run statistics in one aggregate."""
+    return stats.run_stats(sensor_data(spark, sf_dir))
+
+
+@register("label_distribution", with_ctes("""
+SELECT label, count(*) AS "count" FROM readings GROUP BY label"""))
+def q_label_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class balance of the training label."""
+    return stats.label_distribution(load_readings(spark, sf_dir))
+
+
+@register("batch_stats", with_ctes(f"""
+SELECT machine_id, batch_date, count(*) AS batch_records, {BATCH_STATS_SQL}
+FROM valid GROUP BY machine_id, batch_date""", VALID_SQL))
+def q_batch_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: micro-batch statistics per machine and daily batch."""
+    return stats.batch_stats(valid_readings(spark, sf_dir), BATCH_KEYS)
+
+
+@register("detect_trends", with_ctes("""
+SELECT machine_id, batch_date, trend, temp_trend, vib_trend, pressure_trend FROM trends""",
+                                     VALID_SQL, TRENDS_CTE))
+def q_detect_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First-versus-last trend per machine and daily batch."""
+    return stats.detect_trends(valid_readings(spark, sf_dir), BATCH_KEYS)
+
+
+@register("latest_reading", with_ctes("""
+SELECT machine_id, event_id, event_timestamp, "timestamp", temperature, vibration, pressure, label
+FROM (SELECT *, row_number() OVER (PARTITION BY machine_id
+                                   ORDER BY event_timestamp DESC, event_id DESC) AS rn
+      FROM readings) t WHERE rn = 1"""))
+def q_latest_reading(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest reading per machine."""
+    return stats.latest_reading(load_readings(spark, sf_dir), ["machine_id"])
+
+
+@register("attach_batch_stats", with_ctes(f"""
+SELECT v.machine_id, v.batch_date, v.event_id, v.event_timestamp, v."timestamp",
+       v.temperature, v.vibration, v.pressure, v.label,
+       {", ".join(f"g.{c}" for c in stats.STAT_COLUMNS)},
+       {", ".join(f"g.{c}" for c in stats.TREND_COLUMNS)}
+FROM valid v LEFT JOIN (
+    SELECT s.*, t.trend, t.temp_trend, t.vib_trend, t.pressure_trend, l.event_id AS last_id
+    FROM (SELECT machine_id, batch_date, count(*) AS batch_records, {BATCH_STATS_SQL}
+          FROM valid GROUP BY machine_id, batch_date) s
+    JOIN trends t USING (machine_id, batch_date)
+    JOIN (SELECT machine_id, batch_date, event_id FROM ordered WHERE rn_last = 1) l
+      USING (machine_id, batch_date)
+    WHERE s.batch_records > 1
+) g ON v.machine_id = g.machine_id AND v.batch_date = g.batch_date AND v.event_id = g.last_id""",
+                                          VALID_SQL, TRENDS_CTE))
+def q_attach_batch_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch statistics and trends on the latest reading of each daily batch."""
+    return stats.attach_batch_stats(valid_readings(spark, sf_dir), BATCH_KEYS)
+
+
+# ---------------------------------------------------------------------------
+# ETL sinks (S6-S8, S5): write the tables, read them back
+# ---------------------------------------------------------------------------
+_ETL_RUNS: dict[str, etl.EtlPaths] = {}
+
+
+def etl_output(spark: SparkSession, sf_dir: str) -> etl.EtlPaths:
+    """Run the batch ETL once per input folder and session into the shared scratch folder."""
+    key = f"{id(spark)}:{sf_dir}"
+    if key not in _ETL_RUNS:
+        root = scratch_path(spark, f"etl-{uuid.uuid4().hex[:12]}")
+        result = etl.run_etl(spark, load_readings(spark, sf_dir), root, processing_time=False)
+        _ETL_RUNS[key] = result["paths"]
+    return _ETL_RUNS[key]
+
+
+@register("sink_processed", sensor_sql("SELECT * FROM lagged", LAG_SQL))
+def q_sink_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Processed rows written partitioned by year/month/day/hour and read back."""
+    return spark.read.parquet(etl_output(spark, sf_dir).processed)
+
+
+@register("sink_machine_stats", _A1_SQL)
+def q_sink_machine_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly statistics written partitioned and read back."""
+    return spark.read.parquet(etl_output(spark, sf_dir).machine_statistics)
+
+
+@register("sink_summary", _A2_SQL)
+def q_sink_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily summary written with overwrite and read back."""
+    return spark.read.parquet(etl_output(spark, sf_dir).anomaly_summary)
+
+
+@register("sink_performance", _A3_SQL)
+def q_sink_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly performance (built from the stored daily summary) read back."""
+    return spark.read.parquet(etl_output(spark, sf_dir).machine_performance)
+
+
+@register("scan_parquet", sensor_sql("""
+SELECT machine_id, cast(event_timestamp AS date) AS date, count(*) AS readings
+FROM sensor_data WHERE event_timestamp >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY
+GROUP BY machine_id, cast(event_timestamp AS date)"""))
+def q_scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4/S5 + prune_recent: the stored table as view ``sensor_data``, last 7 days by SQL.
+
+    The day predicate added by ``prune_recent`` prunes whole partitions.
+    """
+    from machinewatch.functions.time import prune_recent, resolve_as_of
+
+    stored = spark.read.parquet(etl_output(spark, sf_dir).processed)
+    as_of = resolve_as_of(stored)
+    prune_recent(stored, as_of, "7d").createOrReplaceTempView("sensor_data_recent")
+    return spark.sql("""
+        SELECT machine_id, to_date(event_timestamp) AS date, count(*) AS readings
+        FROM sensor_data_recent GROUP BY machine_id, to_date(event_timestamp)""")
