@@ -365,3 +365,203 @@ def q_scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql("""
         SELECT machine_id, to_date(event_timestamp) AS date, count(*) AS readings
         FROM sensor_data_recent GROUP BY machine_id, to_date(event_timestamp)""")
+
+
+# ---------------------------------------------------------------------------
+# Raw sources, decoding, validation, dead letters
+# ---------------------------------------------------------------------------
+from machinewatch.operators import quality  # noqa: E402
+from machinewatch.sinks import messages  # noqa: E402
+from machinewatch.sinks.files import write_json  # noqa: E402
+from machinewatch.sources import raw as rawsrc  # noqa: E402
+
+READING_FIELDS = ("machine_id", "timestamp", "temperature", "vibration", "pressure")
+_READING_FIELDS_SQL = 'machine_id, "timestamp", temperature, vibration, pressure'
+
+REJECT_SQL = """CASE
+    WHEN event_id % 103 = 0 THEN 'missing_field:machine_id'
+    WHEN event_id % 101 <> 0 AND temperature IS NULL THEN 'missing_field:temperature'
+    WHEN vibration IS NULL THEN 'missing_field:vibration'
+    WHEN pressure IS NULL THEN 'missing_field:pressure'
+    WHEN event_id % 109 = 0 THEN 'missing_field:timestamp'
+    WHEN event_id % 101 = 0 THEN 'invalid_type:temperature'
+    WHEN event_id % 107 = 0 THEN 'invalid_type:timestamp'
+    END"""
+BAD_ROWS_SQL = f"""bad AS (
+    SELECT event_id,
+        CASE WHEN event_id % 103 = 0 THEN NULL ELSE machine_id END AS machine_id,
+        CASE WHEN event_id % 109 = 0 OR event_id % 107 = 0 THEN NULL ELSE "timestamp" END AS "timestamp",
+        CASE WHEN event_id % 101 = 0 THEN NULL ELSE temperature END AS temperature,
+        vibration, pressure,
+        {REJECT_SQL} AS reject_reason
+    FROM readings
+)"""
+
+
+def _validated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = rawsrc.raw_bad(load_readings(spark, sf_dir))
+    return quality.validate_readings(rawsrc.parse_raw(raw))
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@register("validate_readings", with_ctes(f"""
+SELECT event_id, {_READING_FIELDS_SQL}, reject_reason IS NULL AS is_valid, reject_reason
+FROM bad""", BAD_ROWS_SQL))
+def q_validate_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Required fields and types with a reject reason per row."""
+    return _validated(spark, sf_dir).select("event_id", *READING_FIELDS, "is_valid", "reject_reason")
+
+
+@register("dead_letter", with_ctes("""
+SELECT event_id, reject_reason FROM bad WHERE reject_reason IS NOT NULL""", BAD_ROWS_SQL))
+def q_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected rows written to an ``errors/`` prefix (JSON lines, gzip) and read back."""
+    path = _scratch(spark, "errors")
+    write_json(quality.dead_letter_rows(_validated(spark, sf_dir)), path, compression="gzip")
+    return spark.read.schema("event_id bigint, raw string, reject_reason string, routed_at timestamp") \
+        .json(path).select("event_id", "reject_reason")
+
+
+@register("range_warnings", with_ctes("""
+SELECT event_id, concat_ws(',',
+        CASE WHEN temperature IS NOT NULL AND NOT (temperature BETWEEN 0 AND 200) THEN 'temperature_out_of_range' END,
+        CASE WHEN vibration IS NOT NULL AND NOT (vibration BETWEEN 0 AND 10) THEN 'vibration_out_of_range' END,
+        CASE WHEN pressure IS NOT NULL AND NOT (pressure BETWEEN 0 AND 200) THEN 'pressure_out_of_range' END)
+        AS warnings,
+    (CASE WHEN temperature IS NOT NULL AND NOT (temperature BETWEEN 0 AND 200) THEN 1 ELSE 0 END
+     + CASE WHEN vibration IS NOT NULL AND NOT (vibration BETWEEN 0 AND 10) THEN 1 ELSE 0 END
+     + CASE WHEN pressure IS NOT NULL AND NOT (pressure BETWEEN 0 AND 200) THEN 1 ELSE 0 END)
+        AS warning_count
+FROM readings"""))
+def q_range_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P10: plausible-range warnings (rows are kept)."""
+    r = load_readings(spark, sf_dir).select("event_id", *SENSORS)
+    return quality.range_warnings(r).select("event_id", "warnings", "warning_count")
+
+
+@register("decode_payload", with_ctes(f"SELECT event_id, {_READING_FIELDS_SQL} FROM readings"))
+def q_decode_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """base64 or plain-body payloads decoded and parsed."""
+    records = rawsrc.stream_records(rawsrc.raw_json(load_readings(spark, sf_dir)))
+    decoded = rawsrc.decode_payload(records)
+    from machinewatch.schema import READING_SCHEMA
+    return decoded.select("event_id", F.from_json("raw", READING_SCHEMA).alias("r")).select(
+        "event_id", *[F.col(f"r.{c}").alias(c) for c in READING_FIELDS])
+
+
+@register("scan_json", with_ctes(f"""
+SELECT {_READING_FIELDS_SQL}, cast(year(event_timestamp) AS int) AS "year",
+       cast(month(event_timestamp) AS int) AS "month", cast(day(event_timestamp) AS int) AS "day",
+       cast(hour(event_timestamp) AS int) AS "hour"
+FROM readings"""))
+def q_scan_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings landed as gzip JSON lines under year=/month=/day=/hour=, scanned back."""
+    path = _scratch(spark, "lake")
+    landed = rawsrc.raw_json(load_readings(spark, sf_dir)).withColumns(
+        {k: c for k, c in date_part_columns().items()})
+    from machinewatch.sinks.files import PARTITION_KEYS
+    (landed.select("raw", *PARTITION_KEYS).hint("rebalance", *PARTITION_KEYS)
+        .write.mode("overwrite").partitionBy(*PARTITION_KEYS)
+        .option("compression", "gzip").text(path))
+    return rawsrc.read_raw(spark, path)
+
+
+@register("scan_concat_json", with_ctes(f"SELECT {_READING_FIELDS_SQL} FROM readings"))
+def q_scan_concat_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: ten JSON objects per line without separator, split and parsed."""
+    path = _scratch(spark, "concat")
+    raw = rawsrc.raw_json(load_readings(spark, sf_dir))
+    lines = raw.groupBy((F.col("event_id") / 10).cast("bigint").alias("line")).agg(
+        F.concat_ws("", F.collect_list("raw")).alias("value"))
+    lines.select("value").write.mode("overwrite").text(path)
+    return rawsrc.read_concat_json(spark, path)
+
+
+@register("crawl_schema", """
+SELECT * FROM (VALUES ('machine_id', 'string', false), ('pressure', 'double', false),
+    ('temperature', 'double', false), ('timestamp', 'bigint', false), ('vibration', 'double', false),
+    ('year', 'int', true), ('month', 'int', true), ('day', 'int', true), ('hour', 'int', true))
+    AS t(column_name, data_type, is_partition)
+WHERE (SELECT count(*) FROM events) > 0""")
+def q_crawl_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schema inferred from the landed JSON lake (every file sampled)."""
+    path = _scratch(spark, "crawl")
+    landed = rawsrc.raw_json(load_readings(spark, sf_dir)).withColumns(date_part_columns())
+    landed.select("raw", "year", "month", "day", "hour").write.mode("overwrite") \
+        .partitionBy("year", "month", "day", "hour").text(path)
+    return rawsrc.crawl_schema(spark, path)
+
+
+@register("enrich_stream", with_ctes(f"""
+SELECT event_id, {_READING_FIELDS_SQL},
+       temperature / nullif(vibration + 0.001, 0) AS temp_vib_ratio,
+       pressure / nullif(temperature + 0.001, 0) AS pressure_temp_ratio,
+       '1.0' AS data_version, "timestamp" IS NULL AS timestamp_filled
+FROM readings"""))
+def q_enrich_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enrichment of decoded payloads; an absent timestamp is filled with the current time.
+
+    The filled value is wall-clock dependent, so the output shows which rows
+    were filled (the adapter's timestamps are never absent).
+    """
+    raw = rawsrc.raw_json(load_readings(spark, sf_dir))
+    parsed = rawsrc.parse_raw(raw)
+    had_ts = F.array_contains(F.json_object_keys("raw"), F.lit("timestamp"))
+    out = enrich.enrich_stream(parsed.withColumn("_had_ts", had_ts))
+    return out.select(
+        "event_id", "machine_id", F.col("timestamp").try_cast("bigint").alias("timestamp"),
+        *[F.col(s).try_cast("double").alias(s) for s in SENSORS],
+        "temp_vib_ratio", "pressure_temp_ratio", "data_version",
+        (~F.col("_had_ts")).alias("timestamp_filled"))
+
+
+# ---------------------------------------------------------------------------
+# Messages (S12, S15, S16, P24) over rule predictions (score >= 2)
+# ---------------------------------------------------------------------------
+PRED_SQL = """pred AS (
+    SELECT *, CASE WHEN total_anomaly_score >= 2 THEN 1 ELSE 0 END AS prediction
+    FROM sensor_data
+    WHERE temperature IS NOT NULL AND vibration IS NOT NULL AND pressure IS NOT NULL
+)"""
+
+
+def rule_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``predictions`` fixture: validated readings, rule score >= 2 as the prediction."""
+    sd = sensor_data(spark, sf_dir).dropna(subset=list(SENSORS))
+    return sd.withColumn("prediction", F.when(F.col("total_anomaly_score") >= 2, 1).otherwise(0))
+
+
+@register("alert_messages", sensor_sql("""
+SELECT event_id, 'anomaly_detected' AS alert_type, coalesce(machine_id, 'unknown') AS machine_id,
+       strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%f') AS alert_timestamp,
+       temperature, vibration, pressure, prediction, 'high' AS severity,
+       'IoT Anomaly Alert - Machine ' || coalesce(machine_id, 'unknown') AS subject
+FROM pred WHERE prediction = 1""", PRED_SQL))
+def q_alert_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alert records (message JSON kept in ``message``; flattened fields for checking)."""
+    alerts = messages.alert_messages(rule_predictions(spark, sf_dir))
+    return alerts.select("event_id", "alert_type", "machine_id", "alert_timestamp",
+                         "sensor_data.*", "prediction", "severity", "subject")
+
+
+@register("metrics_long", sensor_sql("""
+SELECT event_id, 'Temperature' AS metric_name, temperature AS value, 'None' AS unit,
+       'MachineId' AS dimension_name, machine_id AS dimension_value FROM pred
+UNION ALL SELECT event_id, 'Vibration', vibration, 'None', 'MachineId', machine_id FROM pred
+UNION ALL SELECT event_id, 'Pressure', pressure, 'None', 'MachineId', machine_id FROM pred
+UNION ALL SELECT event_id, 'AnomalyPrediction', cast(prediction AS double), 'None', 'MachineId', machine_id
+FROM pred""", PRED_SQL))
+def q_metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metric datapoints in long form (one row per reading and measure)."""
+    return messages.metrics_long(rule_predictions(spark, sf_dir))
+
+
+@register("republish_keyed")
+def q_republish_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enriched rows as (machine_id key, JSON value) records."""
+    return messages.republish_keyed(rawsrc.raw_json(load_readings(spark, sf_dir))
+                                    .join(load_readings(spark, sf_dir).select("event_id", "machine_id"),
+                                          "event_id"))
