@@ -33,8 +33,9 @@ def reject_reason(raw_col: str = "raw", required: Sequence[str] = REQUIRED_FIELD
     for name in required:
         expr = expr.when(~_present(keys, name), F.lit(f"missing_field:{name}"))
     for name, typ in TYPED.items():
-        if name in required:
-            expr = expr.when(F.col(name).try_cast(typ).isNull(), F.lit(f"invalid_type:{name}"))
+        # Types are checked whether or not the key is required (an optional key
+        # that is present must still convert).
+        expr = expr.when(F.col(name).try_cast(typ).isNull(), F.lit(f"invalid_type:{name}"))
     finite = None
     for s in SENSORS:
         v = F.col(s).try_cast("double")

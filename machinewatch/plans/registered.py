@@ -565,3 +565,213 @@ def q_republish_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.republish_keyed(rawsrc.raw_json(load_readings(spark, sf_dir))
                                     .join(load_readings(spark, sf_dir).select("event_id", "machine_id"),
                                           "event_id"))
+
+
+# ---------------------------------------------------------------------------
+# Streaming (S9, S13, S23, ST1-ST8): file-source streams over weekly batches
+# ---------------------------------------------------------------------------
+import datetime as _dt  # noqa: E402
+
+from machinewatch.streaming import sources as stream_sources  # noqa: E402
+from machinewatch.streaming import transform as stream_transform  # noqa: E402
+from machinewatch.streaming import windows as stream_windows  # noqa: E402
+
+WEEK = F.date_trunc("week", F.col("event_timestamp")).cast("timestamp_ntz")
+LATE_EVERY = 50  # every 50th event arrives one batch (week) late
+
+
+def _with_event_id(raw: DataFrame) -> DataFrame:
+    """Stream line = the raw reading JSON with the message id as an extra first key."""
+    return raw.withColumn("raw", F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"),
+                                           F.lit(","), F.expr("substr(raw, 2)")))
+
+
+def _arrival_week(df: DataFrame) -> DataFrame:
+    shifted = F.when(F.col("event_id") % LATE_EVERY == 0, WEEK + F.expr("INTERVAL 7 DAYS")).otherwise(WEEK)
+    return df.withColumn("arrival_week", shifted)
+
+
+_STREAM_RUNS: dict[str, str] = {}
+
+
+def _run_transform(spark: SparkSession, sf_dir: str, which: str) -> str:
+    """Run ST1 once (per input and fixture) with ``availableNow``; return its output root."""
+    key = f"{id(spark)}:{sf_dir}:{which}"
+    if key not in _STREAM_RUNS:
+        root = _scratch(spark, f"stream-{which}")
+        readings = load_readings(spark, sf_dir)
+        raw = rawsrc.raw_bad(readings) if which == "bad" else rawsrc.raw_json(readings)
+        lines = _with_event_id(raw).withColumn("week", WEEK)
+        glob = stream_sources.write_stream_files(lines, root + "/input", "week")
+        stream = stream_sources.read_stream_text(spark, glob, max_files_per_trigger=1)
+        q = stream_transform.start_transform(stream, stream_transform.TransformPaths(root))
+        q.awaitTermination()
+        _STREAM_RUNS[key] = root
+    return _STREAM_RUNS[key]
+
+
+ST1_VALID = """(event_id % 103 <> 0 AND event_id % 101 <> 0 AND temperature IS NOT NULL
+    AND vibration IS NOT NULL AND pressure IS NOT NULL
+    AND NOT (event_id % 107 = 0 AND event_id % 109 <> 0))"""
+
+
+@register("stream_transform", with_ctes(f"""
+SELECT event_id, machine_id, temperature, vibration, pressure,
+       temperature / nullif(vibration + 0.001, 0) AS temp_vib_ratio,
+       pressure / nullif(temperature + 0.001, 0) AS pressure_temp_ratio, '1.0' AS data_version
+FROM readings WHERE {ST1_VALID}"""))
+def q_stream_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST1: decode, enrich, validate, drop bad rows, deliver (weekly micro-batches of defective input)."""
+    root = _run_transform(spark, sf_dir, "bad")
+    out = spark.read.parquet(root + "/delivered")
+    return out.select("event_id", "machine_id", "temperature", "vibration", "pressure",
+                      "temp_vib_ratio", "pressure_temp_ratio", "data_version")
+
+
+@register("batch_log", with_ctes(f"""
+SELECT cast(row_number() OVER (ORDER BY week) - 1 AS bigint) AS batch_id, records,
+       processed_records, rejected_records
+FROM (SELECT date_trunc('week', event_timestamp) AS week, count(*) AS records,
+             count(*) FILTER (WHERE {ST1_VALID}) AS processed_records,
+             count(*) FILTER (WHERE NOT {ST1_VALID}) AS rejected_records
+      FROM readings GROUP BY 1) w"""))
+def q_batch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-batch outcome log of the ST1 run (counts; durations are wall-clock)."""
+    root = _run_transform(spark, sf_dir, "bad")
+    log = spark.read.json(root + "/batch_log")
+    return log.select(F.col("batch_id").cast("bigint").alias("batch_id"),
+                      F.col("records").cast("bigint").alias("records"),
+                      F.col("processed_records").cast("bigint").alias("processed_records"),
+                      F.col("rejected_records").cast("bigint").alias("rejected_records"))
+
+
+@register("stream_batch_stats", with_ctes(f"""
+SELECT event_id, machine_id, {", ".join(stats.STAT_COLUMNS)}, {", ".join(stats.TREND_COLUMNS)}
+FROM (
+    SELECT v.event_id, v.machine_id, s.*, t.trend, t.temp_trend, t.vib_trend, t.pressure_trend
+    FROM (SELECT machine_id, batch_date, count(*) AS batch_records, {BATCH_STATS_SQL}
+          FROM valid GROUP BY machine_id, batch_date) s
+    JOIN trends t USING (machine_id, batch_date)
+    JOIN (SELECT machine_id, batch_date, event_id FROM ordered WHERE rn_last = 1) v
+      USING (machine_id, batch_date)
+    WHERE s.batch_records > 1
+) x""", VALID_SQL.replace("cast(event_timestamp AS date)", "date_trunc('week', event_timestamp)"),
+    TRENDS_CTE.replace("ORDER BY event_timestamp, event_id", 'ORDER BY "timestamp", event_id')
+              .replace("ORDER BY event_timestamp DESC, event_id DESC",
+                       'ORDER BY "timestamp" DESC, event_id DESC')))
+def q_stream_batch_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST4: statistics and trends attached to each machine's latest reading of each micro-batch."""
+    root = _run_transform(spark, sf_dir, "good")
+    out = spark.read.parquet(root + "/delivered").filter(F.col("temp_mean").isNotNull())
+    return out.select("event_id", "machine_id", *stats.STAT_COLUMNS, *stats.TREND_COLUMNS)
+
+
+@register("stream_edge_rule", with_ctes("""
+SELECT event_id, machine_id, "timestamp", temperature, vibration, pressure,
+       CASE WHEN temperature > 85 OR vibration > 2.0 OR pressure > 110 THEN 1 ELSE 0 END AS anomaly_score
+FROM readings"""))
+def q_stream_edge_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST3 + S10 + S13: base64 transport records -> edge rule -> gzip JSON delivery by arrival hour."""
+    root = _scratch(spark, "stream-edge")
+    readings = load_readings(spark, sf_dir)
+    records = rawsrc.stream_records(rawsrc.raw_json(readings))
+    lines = records.select(F.to_json(F.struct("event_id", "data", "body")).alias("raw"),
+                           WEEK.alias("week"))
+    glob = stream_sources.write_stream_files(lines.withColumn("event_timestamp", F.lit(None)), root + "/input",
+                                             "week")
+    stream = stream_sources.read_stream_text(spark, glob, max_files_per_trigger=1)
+    q = stream_windows.start_edge_rule(stream, root + "/out", root + "/checkpoint")
+    q.awaitTermination()
+    schema = "event_id bigint, machine_id string, timestamp bigint, temperature double, " \
+             "vibration double, pressure double, anomaly_score int"
+    return spark.read.schema(schema).json(root + "/out").select(
+        "event_id", "machine_id", "timestamp", "temperature", "vibration", "pressure", "anomaly_score")
+
+
+@register("stream_ingest", with_ctes(f"SELECT event_id, {_READING_FIELDS_SQL} FROM readings"))
+def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File-source stream, one file per trigger, into a Parquet sink."""
+    root = _scratch(spark, "stream-ingest")
+    lines = _with_event_id(rawsrc.raw_json(load_readings(spark, sf_dir))).withColumn("week", WEEK)
+    glob = stream_sources.write_stream_files(lines, root + "/input", "week")
+    from pyspark.sql import types as T
+    from machinewatch.schema import READING_SCHEMA
+    schema = T.StructType([T.StructField("event_id", T.LongType()), *READING_SCHEMA.fields])
+    stream = stream_sources.read_stream_text(spark, glob, max_files_per_trigger=1)
+    parsed = stream.select(F.from_json("raw", schema).alias("r")).select("r.*")
+    q = (parsed.writeStream.format("parquet").option("checkpointLocation", root + "/checkpoint")
+         .trigger(availableNow=True).start(root + "/out"))
+    q.awaitTermination()
+    return spark.read.parquet(root + "/out")
+
+
+# Batch twins of the windowed stream operators over the same validated records.
+def _validated_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    readings = load_readings(spark, sf_dir)
+    raw = _with_event_id(rawsrc.raw_bad(readings)).select(
+        "raw", F.col("event_timestamp").alias("event_time"))
+    return stream_transform.transform_records(raw)
+
+
+BUCKET_SQL = """CAST(TIMESTAMP '1970-01-01 00:00:00'
+    + to_seconds(cast(floor(epoch(event_timestamp) / 300) * 300 AS bigint)) AS timestamp)"""
+ROLLUP_SQL = f"""rollup AS (
+    SELECT {BUCKET_SQL} AS window_start,
+           {BUCKET_SQL} + INTERVAL 300 SECOND AS window_end,
+           count(*) AS records, count(*) FILTER (WHERE NOT {ST1_VALID}) AS errors
+    FROM readings GROUP BY 1, 2
+)"""
+
+
+@register("dashboard_rollup", with_ctes("SELECT * FROM rollup", ROLLUP_SQL))
+def q_dashboard_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST7: records and rejected records per 300 s window of event time."""
+    return stream_windows.window_rollup(_validated_records(spark, sf_dir)).select(
+        "window_start", "window_end", "records", "errors")
+
+
+def _alarm_sql(value: str, breach: str, source: str) -> str:
+    return f"""
+SELECT w.window_start, w.{value}, {breach.format(v='w.' + value)} AS breach,
+       {breach.format(v='w.' + value)} AND coalesce({breach.format(v='p.' + value)}, false) AS alarm
+FROM {source} w LEFT JOIN {source} p ON p.window_start + INTERVAL 300 SECOND = w.window_start"""
+
+
+@register("alarm_errors", with_ctes(_alarm_sql("errors", "{v} > 5", "rollup"), ROLLUP_SQL))
+def q_alarm_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST5: errors > 5 in two consecutive 300 s periods."""
+    return stream_windows.alarm_errors(stream_windows.window_rollup(_validated_records(spark, sf_dir)))
+
+
+@register("alarm_low_throughput", with_ctes(_alarm_sql("records", "{v} < 100", "filled"), ROLLUP_SQL, """
+filled AS (
+    SELECT s.window_start, cast(coalesce(r.records, 0) AS bigint) AS records
+    FROM (SELECT unnest(generate_series(min(window_start), max(window_start), INTERVAL 300 SECOND))
+                 AS window_start FROM rollup) s
+    LEFT JOIN rollup r USING (window_start)
+)"""))
+def q_alarm_low_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST6: input < 100 records in two consecutive 300 s periods (empty periods count as 0)."""
+    return stream_windows.alarm_low_throughput(
+        stream_windows.window_rollup(_validated_records(spark, sf_dir)))
+
+
+@register("late_split", with_ctes(f"""
+SELECT event_id, arrival_week,
+       coalesce(event_timestamp < prior_max - INTERVAL 24 HOUR, false) AS is_late
+FROM arr JOIN (
+    SELECT arrival_week, max(batch_max) OVER (ORDER BY arrival_week
+                                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior_max
+    FROM (SELECT arrival_week, max(event_timestamp) AS batch_max FROM arr GROUP BY arrival_week) b
+) m USING (arrival_week)""", f"""arr AS (
+    SELECT *, CASE WHEN event_id % {LATE_EVERY} = 0
+                   THEN cast(date_trunc('week', event_timestamp) AS timestamp) + INTERVAL 7 DAY
+                   ELSE cast(date_trunc('week', event_timestamp) AS timestamp) END AS arrival_week
+    FROM readings
+)"""))
+def q_late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST8: rows older than the 24 h retention behind earlier batches are routed as late."""
+    arrived = _arrival_week(load_readings(spark, sf_dir))
+    out = stream_windows.late_split(arrived, batch_col="arrival_week", ts="event_timestamp",
+                                    retention=_dt.timedelta(hours=24))
+    return out.select("event_id", "arrival_week", "is_late")
