@@ -775,3 +775,203 @@ def q_late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = stream_windows.late_split(arrived, batch_col="arrival_week", ts="event_timestamp",
                                     retention=_dt.timedelta(hours=24))
     return out.select("event_id", "arrival_week", "is_late")
+
+
+# ---------------------------------------------------------------------------
+# Machine learning (M1-M12, S17, S21, S22, ST2)
+# ---------------------------------------------------------------------------
+from machinewatch.operators import ml  # noqa: E402
+from machinewatch.sinks.files import write_csv  # noqa: E402
+
+
+def training_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model input: validated readings (three sensors present), five features, label."""
+    return enrich.feature_matrix(load_readings(spark, sf_dir).dropna(subset=list(SENSORS)))
+
+
+TRAIN_SQL = """feats AS (
+    SELECT event_id, machine_id, temperature, vibration, pressure,
+           temperature / nullif(vibration + 0.001, 0) AS temp_vib_ratio,
+           pressure / nullif(temperature + 0.001, 0) AS pressure_temp_ratio,
+           cast(label AS double) AS label
+    FROM readings WHERE temperature IS NOT NULL AND vibration IS NOT NULL AND pressure IS NOT NULL
+)"""
+
+
+@register("stratified_split", with_ctes("""
+SELECT event_id, label, CASE WHEN rn <= ceil(0.2 * n) THEN 'test' ELSE 'train' END AS split
+FROM (SELECT event_id, label,
+             row_number() OVER (PARTITION BY label ORDER BY md5('42-' || cast(event_id AS varchar))) AS rn,
+             count(*) OVER (PARTITION BY label) AS n
+      FROM feats) t""", TRAIN_SQL))
+def q_stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2: exact per-class 80/20 split by seeded hash order."""
+    return ml.stratified_split(training_features(spark, sf_dir)).select("event_id", "label", "split")
+
+
+@register("export_training_csv", with_ctes("""
+SELECT temperature, vibration, pressure, temp_vib_ratio, pressure_temp_ratio, label AS anomaly_score
+FROM feats""", TRAIN_SQL))
+def q_export_training_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training matrix written as CSV with header and read back."""
+    path = _scratch(spark, "training-csv")
+    feats = training_features(spark, sf_dir)
+    write_csv(feats.select(*ml.MODEL_FEATURES, F.col("label").alias("anomaly_score")), path)
+    schema = ", ".join(f"{c} double" for c in (*ml.MODEL_FEATURES, "anomaly_score"))
+    return spark.read.option("header", True).schema(schema).csv(path)
+
+
+def _rule_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``predictions`` fixture: rule score as score, score >= 2 as prediction, label as truth."""
+    return rule_predictions(spark, sf_dir).select(
+        "event_id", "label", F.col("total_anomaly_score").alias("score"), "prediction")
+
+
+PREDICTIONS_SQL = PRED_SQL + """,
+scored AS (SELECT event_id, label, total_anomaly_score AS score, prediction FROM pred)"""
+
+
+@register("eval_accuracy", sensor_sql("""
+SELECT cast(count(*) FILTER (WHERE label = prediction) AS double) / count(*) AS accuracy
+FROM scored""", PREDICTIONS_SQL))
+def q_eval_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6: accuracy of the rule predictions against the label."""
+    return ml.accuracy(_rule_scored(spark, sf_dir))
+
+
+@register("eval_auc", sensor_sql("""
+SELECT sum(pos * (neg_below + neg / 2e0)) / (sum(pos) * cast(sum(neg) AS double)) AS roc_auc
+FROM (SELECT score, pos, neg,
+             coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                 AS neg_below
+      FROM (SELECT score, count(*) FILTER (WHERE label = 1) AS pos,
+                   count(*) FILTER (WHERE label = 0) AS neg
+            FROM scored GROUP BY score) g) r""", PREDICTIONS_SQL))
+def q_eval_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7: exact ROC AUC (mid-ranks for ties) of the rule score."""
+    return ml.roc_auc(_rule_scored(spark, sf_dir))
+
+
+@register("confusion_matrix", sensor_sql("""
+SELECT label, count(*) FILTER (WHERE prediction = 0) AS predicted_0,
+       count(*) FILTER (WHERE prediction = 1) AS predicted_1
+FROM scored GROUP BY label""", PREDICTIONS_SQL))
+def q_confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M9: 2x2 confusion matrix of the rule predictions."""
+    return ml.confusion_matrix(_rule_scored(spark, sf_dir))
+
+
+_REPORT_CTES = """per AS (
+    SELECT c AS class,
+           CASE WHEN tp + fp > 0 THEN tp / cast(tp + fp AS double) ELSE 0e0 END AS precision,
+           CASE WHEN tp + fn > 0 THEN tp / cast(tp + fn AS double) ELSE 0e0 END AS recall,
+           tp + fn AS support
+    FROM (SELECT '0' AS c, count(*) FILTER (WHERE label = 0 AND prediction = 0) AS tp,
+                 count(*) FILTER (WHERE label <> 0 AND prediction = 0) AS fp,
+                 count(*) FILTER (WHERE label = 0 AND prediction <> 0) AS fn FROM scored
+          UNION ALL
+          SELECT '1', count(*) FILTER (WHERE label = 1 AND prediction = 1),
+                 count(*) FILTER (WHERE label <> 1 AND prediction = 1),
+                 count(*) FILTER (WHERE label = 1 AND prediction <> 1) FROM scored) x
+), f AS (
+    SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall)
+                   ELSE 0e0 END AS f1 FROM per
+)"""
+_REPORT_BODY = """
+SELECT class, precision, recall, f1, cast(support AS bigint) AS support FROM f
+UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), cast(sum(support) AS bigint) FROM f
+UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+                 sum(f1 * support) / sum(support), cast(sum(support) AS bigint) FROM f"""
+
+
+@register("classification_report", sensor_sql(_REPORT_BODY, PREDICTIONS_SQL, _REPORT_CTES))
+def q_classification_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8: precision, recall, f1, support per class, macro and weighted averages."""
+    return ml.classification_report(_rule_scored(spark, sf_dir))
+
+
+@register("postprocess_prediction", sensor_sql("""
+SELECT event_id, prediction, CASE WHEN prediction = 1 THEN 'anomaly' ELSE 'normal' END AS prediction_label,
+       CASE WHEN prediction = 1 THEN 'high' ELSE 'normal' END AS severity
+FROM pred""", PRED_SQL))
+def q_postprocess_prediction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prediction label and severity."""
+    return ml.postprocess_prediction(_rule_scored(spark, sf_dir)).select(
+        "event_id", "prediction", "prediction_label", "severity")
+
+
+_MODELS: dict[str, tuple] = {}
+
+
+def trained_model(spark: SparkSession, sf_dir: str):
+    """Train once per input (fixed parameters), save the model and results."""
+    key = f"{id(spark)}:{sf_dir}"
+    if key not in _MODELS:
+        out = _scratch(spark, "training")
+        results = ml.training_run(training_features(spark, sf_dir), out)
+        _MODELS[key] = (out, results)
+    return _MODELS[key]
+
+
+@register("training_run")
+def q_training_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M12 + S22: end-to-end training; the results record as saved (JSON)."""
+    out, _ = trained_model(spark, sf_dir)
+    res = spark.read.text(out + "/training_results")
+    return res.select(F.get_json_object("value", "$.accuracy").cast("double").alias("accuracy"),
+                      F.get_json_object("value", "$.roc_auc").cast("double").alias("roc_auc"),
+                      F.get_json_object("value", "$.model_path").alias("model_path"))
+
+
+@register("train_fixed")
+def q_train_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3 + M5: fixed-parameter forest; per-class report on the held-out split."""
+    out, results = trained_model(spark, sf_dir)
+    model = ml.load_model(out + "/model")
+    test = ml.stratified_split(training_features(spark, sf_dir)).filter(F.col("split") == "test")
+    scored = ml.score(model, test)
+    return ml.classification_report(scored.withColumn("label", F.col("label").cast("int")))
+
+
+@register("model_roundtrip")
+def q_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The saved model loaded back scores every reading (prediction, confidence)."""
+    out, _ = trained_model(spark, sf_dir)
+    model = ml.load_model(out + "/model")
+    return ml.score(model, training_features(spark, sf_dir)).select(
+        "event_id", "machine_id", "prediction", "anomaly_probability", "confidence")
+
+
+@register("batch_score")
+def q_batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M10 + M11: scored readings with label and severity."""
+    out, _ = trained_model(spark, sf_dir)
+    scored = ml.score(ml.load_model(out + "/model"), training_features(spark, sf_dir))
+    return ml.postprocess_prediction(scored).select(
+        "event_id", "prediction", "prediction_label", "severity", "confidence")
+
+
+@register("grid_search")
+def q_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4: cross-validated grid search scored by ROC AUC (mean AUC per grid point)."""
+    train = ml.stratified_split(training_features(spark, sf_dir)).filter(F.col("split") == "train")
+    _, best, metrics = ml.grid_search(train, n_estimators=(20, 50), max_depth=(5, 10),
+                                      min_samples_split=(1,), folds=3)
+    rows = [(i, float(m)) for i, m in enumerate(metrics)]
+    return spark.createDataFrame(rows, "grid_point int, mean_auc double")
+
+
+@register("stream_score")
+def q_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST2: the trained model applied to a reading stream; alerts for predicted anomalies."""
+    from machinewatch.streaming import scoring
+
+    out, _ = trained_model(spark, sf_dir)
+    model = ml.load_model(out + "/model")
+    root = _scratch(spark, "stream-score")
+    lines = rawsrc.raw_json(load_readings(spark, sf_dir)).withColumn("week", WEEK)
+    glob = stream_sources.write_stream_files(lines, root + "/input", "week")
+    stream = stream_sources.read_stream_text(spark, glob, max_files_per_trigger=1)
+    scoring.start_scoring(stream, model, root).awaitTermination()
+    return spark.read.parquet(root + "/alerts").select(
+        "alert_type", "machine_id", "alert_timestamp", "prediction", "severity", "subject", "batch_id")
