@@ -22,27 +22,33 @@ from machinewatch.functions.features import (
 )
 from machinewatch.functions.time import recent
 
-SCORE = F.col("total_anomaly_score")
-TS = F.col("event_timestamp")
+
+
+def _score() -> F.Column:
+    return F.col("total_anomaly_score")
+
+
+def _ts() -> F.Column:
+    return F.col("event_timestamp")
 
 
 def _date() -> F.Column:
-    return F.to_date(TS)
+    return F.to_date(_ts())
 
 
 def _hour() -> F.Column:
-    return F.hour(TS).cast("int")
+    return F.hour(_ts()).cast("int")
 
 
 def _anomalies() -> F.Column:
-    return count_when(SCORE > 0)
+    return count_when(_score() > 0)
 
 
 def recent_readings(sd: DataFrame, as_of: dt.datetime, limit: int = 100) -> DataFrame:
     """Q1: newest 100 readings of the last 24 h (top-k, TakeOrderedAndProject)."""
     cols = ["machine_id", "temperature", "vibration", "pressure", "event_timestamp",
             "total_anomaly_score"]
-    order = [TS.desc()] + ([F.col("event_id").desc()] if "event_id" in sd.columns else [])
+    order = [_ts().desc()] + ([F.col("event_id").desc()] if "event_id" in sd.columns else [])
     return recent(sd, as_of, "24h").orderBy(*order).limit(limit).select(*cols)
 
 
@@ -68,12 +74,12 @@ def recent_anomalies(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Q3: readings with score > 0 in the last 24 h, with severity."""
     return (
         recent(sd, as_of, "24h")
-        .filter(SCORE > 0)
+        .filter(_score() > 0)
         .select(
             "machine_id", "temperature", "vibration", "pressure", "total_anomaly_score",
             "event_timestamp", score_level().alias("severity_level"),
         )
-        .orderBy(TS.desc())
+        .orderBy(_ts().desc())
     )
 
 
@@ -190,7 +196,7 @@ def attention_needed(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
         .groupBy("machine_id")
         .agg(
             F.count(F.lit(1)).alias("total_readings"),
-            count_when(SCORE >= 2).alias("critical_anomalies"),
+            count_when(_score() >= 2).alias("critical_anomalies"),
             F.avg("temperature").alias("avg_temperature"),
             F.avg("vibration").alias("avg_vibration"),
             F.avg("pressure").alias("avg_pressure"),
@@ -253,7 +259,7 @@ def peak_hours(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
 
 def weekly_summary(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Q13: weekly (Monday-start) averages and anomaly rate, last 8 weeks."""
-    week = F.date_trunc("week", TS).cast("timestamp_ntz")
+    week = F.date_trunc("week", _ts()).cast("timestamp_ntz")
     return (
         recent(sd, as_of, "8w")
         .groupBy("machine_id", week.alias("week_start"))
@@ -302,7 +308,7 @@ def outliers(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
             "machine_id", "temperature", "vibration", "pressure", "event_timestamp",
             outlier_type().alias("outlier_type"),
         )
-        .orderBy(TS.desc())
+        .orderBy(_ts().desc())
     )
 
 
@@ -325,12 +331,12 @@ def alert_status(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Q17: anomalous readings of the last hour, highest score then newest first."""
     return (
         recent(sd, as_of, "1h")
-        .filter(SCORE > 0)
+        .filter(_score() > 0)
         .select(
             "machine_id", "temperature", "vibration", "pressure", "total_anomaly_score",
             "event_timestamp", score_level(suffix="_ALERT").alias("alert_level"),
         )
-        .orderBy(SCORE.desc(), TS.desc())
+        .orderBy(_score().desc(), _ts().desc())
     )
 
 
@@ -338,14 +344,14 @@ def alert_frequency(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Q18: alert counts by level and last alert time per machine, last 7 days."""
     return (
         recent(sd, as_of, "7d")
-        .filter(SCORE > 0)
+        .filter(_score() > 0)
         .groupBy("machine_id")
         .agg(
             F.count(F.lit(1)).alias("total_alerts"),
-            F.count(F.when(SCORE >= 3, F.lit(1))).alias("critical_alerts"),
-            F.count(F.when(SCORE == 2, F.lit(1))).alias("high_alerts"),
-            F.count(F.when(SCORE == 1, F.lit(1))).alias("medium_alerts"),
-            F.max(TS).alias("last_alert_time"),
+            F.count(F.when(_score() >= 3, F.lit(1))).alias("critical_alerts"),
+            F.count(F.when(_score() == 2, F.lit(1))).alias("high_alerts"),
+            F.count(F.when(_score() == 1, F.lit(1))).alias("medium_alerts"),
+            F.max(_ts()).alias("last_alert_time"),
         )
         .orderBy(F.col("total_alerts").desc())
     )
@@ -355,8 +361,8 @@ def readme_recent_anomalies(sd: DataFrame, as_of: dt.datetime | None = None,
                             limit: int = 100) -> DataFrame:
     """RQ1: newest 100 anomalous readings (``anomaly_detected`` = score > 0), all columns."""
     cols = [c for c in sd.columns if c != "processing_timestamp"]
-    out = sd.withColumn("anomaly_detected", SCORE > 0).filter(F.col("anomaly_detected"))
-    order = [TS.desc()] + ([F.col("event_id").desc()] if "event_id" in sd.columns else [])
+    out = sd.withColumn("anomaly_detected", _score() > 0).filter(F.col("anomaly_detected"))
+    order = [_ts().desc()] + ([F.col("event_id").desc()] if "event_id" in sd.columns else [])
     return out.orderBy(*order).limit(limit).select(*cols, "anomaly_detected")
 
 
