@@ -57,25 +57,29 @@ def make_batch_writer(paths: TransformPaths, group_cols: tuple[str, ...] = ("mac
 
     def write(batch: DataFrame, batch_id: int) -> None:
         started = time.time()
-        if batch.isEmpty():  # S11: nothing to do for an empty trigger
-            return
         validated = batch.persist()
         try:
+            # One aggregate gives the batch log counts and doubles as the
+            # empty-batch check (S11), instead of a separate isEmpty job.
+            counts = validated.agg(
+                F.count(F.lit(1)).alias("records"),
+                F.count_if(F.col("is_valid")).alias("processed_records"),
+                F.count_if(~F.col("is_valid")).alias("rejected_records"),
+            ).first()
+            if counts["records"] == 0:
+                return
             valid, _ = split_valid(validated)
             typed = valid.withColumn("event_time", F.timestamp_seconds("timestamp"))
             enriched = attach_batch_stats(typed, list(group_cols), ts="event_time")
             _write_batch(enriched, paths.delivered, batch_id)
             _write_batch(republish_keyed(valid.select("machine_id", "raw")), paths.keyed, batch_id, "json")
             _write_batch(dead_letter_rows(validated), paths.errors, batch_id, "json")
-            counts = validated.agg(
-                F.count(F.lit(1)).alias("records"),
-                F.count_if(F.col("is_valid")).alias("processed_records"),
-                F.count_if(~F.col("is_valid")).alias("rejected_records"),
-            )
-            log = counts.withColumns({
-                "processing_time_ms": F.lit((time.time() - started) * 1000.0),
-                "logged_at": F.current_timestamp(),
-            })
+            spark = batch.sparkSession
+            log = spark.createDataFrame(
+                [(counts["records"], counts["processed_records"], counts["rejected_records"],
+                  (time.time() - started) * 1000.0)],
+                "records bigint, processed_records bigint, rejected_records bigint, "
+                "processing_time_ms double").withColumn("logged_at", F.current_timestamp())
             _write_batch(log, paths.batch_log, batch_id, "json")
         finally:
             validated.unpersist()
