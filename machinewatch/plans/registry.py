@@ -57,9 +57,22 @@ def _load_all() -> None:
     from machinewatch.plans import registered  # noqa: F401
 
 
+def _configured(fn: QueryFn) -> QueryFn:
+    """Apply the session settings (UTC, AQE, dynamic overwrite) before building the query."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from machinewatch.session import configure
+
+        configure(spark)
+        return fn(spark, sf_dir)
+
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def queries() -> dict[str, QueryFn]:
     _load_all()
-    return dict(_REGISTRY)
+    return {name: _configured(fn) for name, fn in _REGISTRY.items()}
 
 
 def oracle_sql() -> dict[str, str]:
