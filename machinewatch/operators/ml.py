@@ -17,6 +17,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,8 +63,11 @@ def stratified_split(df: DataFrame, label: str = "label", id_col: str = "event_i
     the 60-bit prefix; remaining exact ties fall back to the full hash.
     """
     keyed = df.withColumn("_h", split_hash(id_col, seed)).withColumn("_p", _prefix_value(F.col("_h")))
+    # The refinement rounds only need (class, key): persist that narrow
+    # projection once instead of re-reading the input each round.
+    keys = keyed.select(label, "_h", "_p").persist(StorageLevel.MEMORY_AND_DISK)
     total_bits = 60
-    sizes = {r[0]: r[1] for r in keyed.groupBy(label).count().collect()}
+    sizes = {r[0]: r[1] for r in keys.groupBy(label).count().collect()}
     # Per class: (value of the fixed high bits, number of fixed bits, rows still to take).
     active = {c: (0, 0, int(math.ceil(test_fraction * n))) for c, n in sizes.items()}
     active = {c: st for c, st in active.items() if st[2] > 0}
@@ -81,7 +85,7 @@ def stratified_split(df: DataFrame, label: str = "label", id_col: str = "event_i
                             ).otherwise(bucket)
             plan[c] = width
         counts: dict = {}
-        for row in keyed.filter(in_play).groupBy(label, bucket.alias("_b")).count().collect():
+        for row in keys.filter(in_play).groupBy(label, bucket.alias("_b")).count().collect():
             counts.setdefault(row[0], []).append((row[1], row[2]))
         nxt = {}
         for c, (value, fixed, remaining) in active.items():
@@ -100,8 +104,9 @@ def stratified_split(df: DataFrame, label: str = "label", id_col: str = "event_i
         is_c = F.col(label) == F.lit(c)
         test_cond = test_cond | (is_c & (F.col("_p") < F.lit(value)))
         at = is_c & (F.col("_p") == F.lit(value))
-        last = keyed.filter(at).select("_h").orderBy("_h").limit(remaining).collect()[-1][0]
+        last = keys.filter(at).select("_h").orderBy("_h").limit(remaining).collect()[-1][0]
         test_cond = test_cond | (at & (F.col("_h") <= F.lit(last)))
+    keys.unpersist()
     return keyed.withColumn("split", F.when(test_cond, F.lit("test")).otherwise(F.lit("train"))).drop("_h", "_p")
 
 
