@@ -576,7 +576,8 @@ from machinewatch.streaming import sources as stream_sources  # noqa: E402
 from machinewatch.streaming import transform as stream_transform  # noqa: E402
 from machinewatch.streaming import windows as stream_windows  # noqa: E402
 
-WEEK = F.date_trunc("week", F.col("event_timestamp")).cast("timestamp_ntz")
+def _week() -> F.Column:
+    return F.date_trunc("week", F.col("event_timestamp")).cast("timestamp_ntz")
 LATE_EVERY = 50  # every 50th event arrives one batch (week) late
 
 
@@ -587,7 +588,7 @@ def _with_event_id(raw: DataFrame) -> DataFrame:
 
 
 def _arrival_week(df: DataFrame) -> DataFrame:
-    shifted = F.when(F.col("event_id") % LATE_EVERY == 0, WEEK + F.expr("INTERVAL 7 DAYS")).otherwise(WEEK)
+    shifted = F.when(F.col("event_id") % LATE_EVERY == 0, _week() + F.expr("INTERVAL 7 DAYS")).otherwise(_week())
     return df.withColumn("arrival_week", shifted)
 
 
@@ -601,7 +602,7 @@ def _run_transform(spark: SparkSession, sf_dir: str, which: str) -> str:
         root = _scratch(spark, f"stream-{which}")
         readings = load_readings(spark, sf_dir)
         raw = rawsrc.raw_bad(readings) if which == "bad" else rawsrc.raw_json(readings)
-        lines = _with_event_id(raw).withColumn("week", WEEK)
+        lines = _with_event_id(raw).withColumn("week", _week())
         glob = stream_sources.write_stream_files(lines, root + "/input", "week")
         stream = stream_sources.read_stream_text(spark, glob, max_files_per_trigger=1)
         q = stream_transform.start_transform(stream, stream_transform.TransformPaths(root))
@@ -676,7 +677,7 @@ def q_stream_edge_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings = load_readings(spark, sf_dir)
     records = rawsrc.stream_records(rawsrc.raw_json(readings))
     lines = records.select(F.to_json(F.struct("event_id", "data", "body")).alias("raw"),
-                           WEEK.alias("week"))
+                           _week().alias("week"))
     glob = stream_sources.write_stream_files(lines.withColumn("event_timestamp", F.lit(None)), root + "/input",
                                              "week")
     stream = stream_sources.read_stream_text(spark, glob, max_files_per_trigger=1)
@@ -692,7 +693,7 @@ def q_stream_edge_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """File-source stream, one file per trigger, into a Parquet sink."""
     root = _scratch(spark, "stream-ingest")
-    lines = _with_event_id(rawsrc.raw_json(load_readings(spark, sf_dir))).withColumn("week", WEEK)
+    lines = _with_event_id(rawsrc.raw_json(load_readings(spark, sf_dir))).withColumn("week", _week())
     glob = stream_sources.write_stream_files(lines, root + "/input", "week")
     from pyspark.sql import types as T
     from machinewatch.schema import READING_SCHEMA
@@ -969,7 +970,7 @@ def q_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, _ = trained_model(spark, sf_dir)
     model = ml.load_model(out + "/model")
     root = _scratch(spark, "stream-score")
-    lines = rawsrc.raw_json(load_readings(spark, sf_dir)).withColumn("week", WEEK)
+    lines = rawsrc.raw_json(load_readings(spark, sf_dir)).withColumn("week", _week())
     glob = stream_sources.write_stream_files(lines, root + "/input", "week")
     stream = stream_sources.read_stream_text(spark, glob, max_files_per_trigger=1)
     scoring.start_scoring(stream, model, root).awaitTermination()
