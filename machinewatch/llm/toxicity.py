@@ -34,8 +34,9 @@ from machinewatch.llm.tokenizers import Memo
 
 #: Labelled rows per class used to fit (bound of the sample), terms of the lexicon at most.
 SAMPLE, TERMS = 5000, 2000
-#: Toxic texts that a term must mark, and its least precision.
-SUPPORT, PRECISION = 4, 0.9
+#: Toxic texts that a term must mark, its least precision, and its least log-likelihood ratio
+#: against chance (over a million terms are tried, so chance alone reaches about 28).
+SUPPORT, PRECISION, EVIDENCE = 4, 0.9, 36.0
 #: Stem lengths.
 STEM = (4, 10)
 BASE = 0.02
@@ -241,9 +242,12 @@ def fit_lexicon(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     if not total or not total[0]["t"]:
         return ToxicLexicon()
     n_toxic, n_clean = total[0]["t"], total[0]["c"]
-    toxic_rate = F.col("t") / F.lit(n_toxic)
-    rows = sums.where((F.col("term") != "") & (F.col("t") >= SUPPORT) & (
-        toxic_rate >= PRECISION * (toxic_rate + (F.col("c") + F.lit(0.5)) / F.lit(n_clean + 1.0)))).orderBy(
+    toxic_rate, t, c = F.col("t") / F.lit(n_toxic), F.col("t"), F.col("c")
+    share = n_toxic / (n_toxic + n_clean)
+    evidence = 2 * (t * F.log(t / (t + c) / F.lit(share)) + F.when(c > 0, c * F.log(c / (t + c) / F.lit(1 - share)))
+                    .otherwise(0.0)) if n_clean else F.lit(EVIDENCE)
+    rows = sums.where((F.col("term") != "") & (t >= SUPPORT) & (evidence >= EVIDENCE) & (
+        toxic_rate >= PRECISION * (toxic_rate + (c + F.lit(0.5)) / F.lit(n_clean + 1.0)))).orderBy(
             F.desc("t"), "term", "stem").limit(4 * TERMS).collect()
     words, stems = _choose({(r["term"], r["stem"]): r["t"] for r in rows})
     first = {(r["term"], 0): _log_odds(r["t"], r["c"], n_toxic, n_clean)
