@@ -7,8 +7,10 @@ clash with them.
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pandas as pd
 import pyarrow as pa
@@ -30,6 +32,10 @@ _ARROW = {
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings of the operators: UTC, AQE and small Arrow batches."""
     configure(spark)
+    # Python workers started from another folder find this package where the driver has it.
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return spark
 

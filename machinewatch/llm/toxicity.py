@@ -7,8 +7,9 @@ the set of trie nodes that a word's letters may have reached with their edits,
 and is determinized as words ask for it. Hits weigh by log-odds learned for
 the term and the number of edits; a window of words around a hit tells a
 quotation (in quotation marks, more so beside a word of reporting) from abuse.
-A text scores 1 minus the product of its unquoted hits' complements; quoted
-ones do not add up.
+A hit's probability is the share of toxic texts among the labelled ones with
+it. Distinct unquoted hits of one half or more add up (1 minus the product of
+their complements); weaker and quoted ones do not.
 
 Fitting uses a bounded sample of labelled rows (``SAMPLE`` per class); texts
 are whole. Only ids of that bounded sample are broadcast.
@@ -147,7 +148,7 @@ class LexiconAutomaton:
 class ToxicLexicon:
     words: list[str] = field(default_factory=list)
     stems: list[str] = field(default_factory=list)
-    #: Log-odds by term and edits.
+    #: Log-odds of a toxic text by term and edits, the labelled rows' share of toxic ones included.
     weights: dict[tuple[str, int], float] = field(default_factory=dict)
 
 
@@ -189,21 +190,19 @@ class ToxicScorer:
         return known if known is not None else self.lexicon.weights.get((term, 0), 0.0) - 0.5 * e
 
     def __call__(self, text: str | None) -> tuple[float, int]:
-        clean, quoted = 1.0, 0.0
-        for term, e, context in self.hits(text) if text else ():
+        clean, most = 1.0 - BASE, BASE
+        for term, e, context in sorted(set(self.hits(text))) if text else ():
             p = 1.0 / (1.0 + math.exp(-self.weight(term, e)))
-            if context == 1.0:
+            if context == 1.0 and p >= 0.5:
                 clean *= 1.0 - p
             else:
-                quoted = max(quoted, p * context)
-        score = 1.0 - (1.0 - BASE) * clean * (1.0 - quoted)
-        if clean == 1.0 and quoted:
-            score = max(BASE, quoted)  # quotations alone stay below one half
+                most = max(most, p * context)
+        score = max(1.0 - clean, most)
         return score, int(score >= 0.5)
 
 
-def _log_odds(toxic: int, clean: int, n_toxic: int, n_clean: int) -> float:
-    return math.log((toxic + 0.5) / (n_toxic + 1)) - math.log((clean + 0.5) / (n_clean + 1))
+def _log_odds(toxic: float, clean: float) -> float:
+    return math.log((toxic + 0.5) / (clean + 0.5))
 
 
 def fit_lexicon(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -212,6 +211,8 @@ def fit_lexicon(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     marked = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(
         F.col(id_col).alias("d")).agg(F.max(label_col).alias("toxic"))
 
+    rows_of = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
+
     def pick(value: int) -> DataFrame:
         return marked.where(F.col("toxic") == value).orderBy(F.xxhash64("d"), "d").limit(sample)
 
@@ -242,15 +243,16 @@ def fit_lexicon(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     if not total or not total[0]["t"]:
         return ToxicLexicon()
     n_toxic, n_clean = total[0]["t"], total[0]["c"]
-    toxic_rate, t, c = F.col("t") / F.lit(n_toxic), F.col("t"), F.col("c")
-    share = n_toxic / (n_toxic + n_clean)
+    # A class whose sample is a part of it counts with all its rows.
+    up_toxic, up_clean = rows_of[1] / n_toxic, rows_of.get(0, 0) / max(n_clean, 1)
+    share, t, c = n_toxic / (n_toxic + n_clean), F.col("t"), F.col("c")
     evidence = 2 * (t * F.log(t / (t + c) / F.lit(share)) + F.when(c > 0, c * F.log(c / (t + c) / F.lit(1 - share)))
                     .otherwise(0.0)) if n_clean else F.lit(EVIDENCE)
     rows = sums.where((F.col("term") != "") & (t >= SUPPORT) & (evidence >= EVIDENCE) & (
-        toxic_rate >= PRECISION * (toxic_rate + (c + F.lit(0.5)) / F.lit(n_clean + 1.0)))).orderBy(
+        t * up_toxic >= PRECISION * (t * up_toxic + c * up_clean))).orderBy(
             F.desc("t"), "term", "stem").limit(4 * TERMS).collect()
     words, stems = _choose({(r["term"], r["stem"]): r["t"] for r in rows})
-    first = {(r["term"], 0): _log_odds(r["t"], r["c"], n_toxic, n_clean)
+    first = {(r["term"], 0): _log_odds(up_toxic * r["t"], up_clean * r["c"])
              for r in rows if r["term"] in (stems if r["stem"] else words)}
     lexicon = ToxicLexicon(sorted(words), sorted(stems), first)
 
@@ -270,7 +272,7 @@ def fit_lexicon(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     seen = map_rows(texts, "term string, e long, clean_docs long, toxic_docs long", variants).groupBy("term", "e").agg(
         F.sum("clean_docs").alias("c"), F.sum("toxic_docs").alias("t")).collect()
     for r in seen:
-        lexicon.weights[r["term"], r["e"]] = _log_odds(r["t"], r["c"], n_toxic, n_clean) if r["c"] or r["t"] >= SUPPORT \
+        lexicon.weights[r["term"], r["e"]] = _log_odds(up_toxic * r["t"], up_clean * r["c"]) if r["c"] or r["t"] >= SUPPORT \
             else lexicon.weights.get((r["term"], 0), 0.0) - 0.5 * r["e"]
     return lexicon
 
