@@ -8,13 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from machinewatch.llm.common import crc_mod, prepare, table, with_struct, work_folder
+from machinewatch.llm.decontaminate import decontaminate
 from machinewatch.llm.language import fit_profiles, language_udf
 from machinewatch.llm.quality_rules import quality_rules
+from machinewatch.llm.simhash import near_duplicates
 from machinewatch.llm.token_counts import token_counts
 from machinewatch.llm.toxicity import fit_lexicon, toxicity_udf
 from machinewatch.llm.wavelet import read_documents, write_shards
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document: four-word shingles, at most four differing bits."""
+    prepare(spark)
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; profiles from those outside the held-out fold (remainder 2 of 4)."""
     prepare(spark)
@@ -47,6 +55,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), with_store=False)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and items of the benchmark found in every document."""
+    prepare(spark)
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Figures and verdict of every document."""
     prepare(spark)
@@ -54,7 +68,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_language_id, op5_toxicity, op6_token_ids, op7_token_counts, op9_quality_rules)
+    f.__name__: f for f in (
+        op2_simhash, op3_language_id, op5_toxicity, op6_token_ids, op7_token_counts, op8_decontamination,
+        op9_quality_rules)
 }
 
 ORACLE_SQL: dict[str, str] = {}
