@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from machinewatch.llm.common import crc_mod, prepare, table, with_struct, work_folder
 from machinewatch.llm.decontaminate import decontaminate
+from machinewatch.llm.html_extract import extract_pages
 from machinewatch.llm.language import fit_profiles, language_udf
 from machinewatch.llm.quality_rules import quality_rules
 from machinewatch.llm.simhash import near_duplicates
@@ -67,10 +68,16 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), with_text=False).drop("lost_share")
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    prepare(spark)
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op2_simhash, op3_language_id, op5_toxicity, op6_token_ids, op7_token_counts, op8_decontamination,
-        op9_quality_rules)
+        op9_quality_rules, op10_html_extraction)
 }
 
 ORACLE_SQL: dict[str, str] = {}
