@@ -11,6 +11,7 @@ from machinewatch.llm.common import crc_mod, prepare, table, with_struct, work_f
 from machinewatch.llm.decontaminate import decontaminate
 from machinewatch.llm.html_extract import extract_pages
 from machinewatch.llm.language import fit_profiles, language_udf
+from machinewatch.llm.packing import pack_documents, with_crc
 from machinewatch.llm.quality_rules import quality_rules
 from machinewatch.llm.simhash import near_duplicates
 from machinewatch.llm.token_counts import token_counts
@@ -33,6 +34,12 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_struct(docs.withColumn("held_out", held_out), ["doc_id", "held_out"], language_udf(profiles), "text")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document in sequences of at most 4,096 tokens."""
+    prepare(spark)
+    return with_crc(pack_documents(table(spark, sf_dir, "documents")))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document; the lexicon is learned outside the held-out fold (remainder 0 of 5)."""
     prepare(spark)
@@ -76,7 +83,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_simhash, op3_language_id, op5_toxicity, op6_token_ids, op7_token_counts, op8_decontamination,
+        op2_simhash, op3_language_id, op4_packing, op5_toxicity, op6_token_ids, op7_token_counts, op8_decontamination,
         op9_quality_rules, op10_html_extraction)
 }
 
