@@ -56,6 +56,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def crc_mod(doc_id: Column, n: int) -> Column:
     """Fold of a document: crc32 of its id as text, modulo ``n``."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(n)

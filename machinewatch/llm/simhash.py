@@ -24,7 +24,7 @@ other; equal ids keep all their rows; ``component_id`` is the least id.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from machinewatch.llm.common import per_text, written
+from machinewatch.llm.common import fresh, per_text, written
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
 #: Bit widths of the segments, from the least significant.
@@ -76,30 +76,25 @@ def _entries(nodes: DataFrame, radius: int) -> DataFrame:
     another one.
     """
     whole, rest = divmod(radius, len(SEGMENTS))
-    own, asked, shift = [], [], 0
+    entries, shift = [], 0
     for number, width in enumerate(SEGMENTS):
         value = F.shiftrightunsigned(F.col("fp"), shift).bitwiseAND(F.lit((1 << width) - 1))
         key = value.bitwiseOR(F.lit(number << 32))
-        own.append(key)
-        steps = [(key, F.lit(-1))]
-        for _ in range(whole if number <= rest else whole - 1):
-            steps = [s for k, last in steps for s in [(k, last), *_flipped(k, last, width, whole == 1)]]
-        asked += [k for k, _ in steps[1:]] if len(steps) > 1 else []
+        entries.append(F.array(F.struct(key.alias("key"), F.lit(False).alias("probe"))))
+        ball = whole if number <= rest else whole - 1
+        masks = [sum(1 << i for i in bits) for n in range(1, ball + 1) for bits in combinations(range(width), n)]
+        if masks:
+            # Of two values that differ in one bit, the one with the zero asks.
+            entries.append(_asked(key, F.array(*(F.lit(m).cast("long") for m in masks)), ball == 1))
         shift += width
-    entry = [F.struct(k.alias("key"), F.lit(False).alias("probe")) for k in own]
-    entry += [F.struct(k.alias("key"), F.lit(True).alias("probe")) for k in asked]
-    return nodes.select("fp", F.explode(F.array(*entry)).alias("e")).select("fp", "e.*").where(F.col("key").isNotNull())
+    return nodes.select("fp", F.explode(F.concat(*entries)).alias("e")).select("fp", "e.*")
 
 
-def _flipped(key: Column, last: Column, width: int, upwards: bool) -> list[tuple[Column, Column]]:
-    """The key with one further bit flipped, above the bits flipped before; null if it may not be."""
-    out = []
-    for i in range(width):
-        may = F.lit(i) > last
-        if upwards:
-            may = may & (F.getbit(key, F.lit(i)) == 0)
-        out.append((F.when(may, key.bitwiseXOR(F.lit(1 << i).cast("long"))), F.lit(i)))
-    return out
+def _asked(key: Column, masks: Column, upwards: bool) -> Column:
+    """Entries for a key's flips by the given masks."""
+    if upwards:
+        masks = F.filter(masks, lambda m: key.bitwiseAND(m) == 0)
+    return F.transform(masks, lambda m: F.struct(key.bitwiseXOR(m).alias("key"), F.lit(True).alias("probe")))
 
 
 def _forest(left: np.ndarray, right: np.ndarray, radius: int) -> list[tuple[int, int]]:
@@ -207,8 +202,8 @@ def one_of_each(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADI
     no document of their component has one.
     """
     found = near_duplicates(documents, shingle, radius, id_col, text_col)
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_stay"), F.lit(True).alias("_yes")).distinct()
-    kept = documents.join(stay, F.col(id_col).eqNullSafe(F.col("_stay")), "left_semi")
+    key, row = fresh(documents, "_stay"), fresh(documents, "_row")
+    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(key)).distinct()
+    kept = documents.join(stay, F.col(id_col).eqNullSafe(F.col(key)), "left_semi")
     order = Window.partitionBy(id_col, F.xxhash64(text_col)).orderBy(text_col)
-    return kept.withColumn("_row", F.row_number().over(order)).where("_row = 1").drop("_row")
+    return kept.withColumn(row, F.row_number().over(order)).where(F.col(row) == 1).drop(row)
