@@ -190,7 +190,7 @@ class ToxicScorer:
         return known if known is not None else self.lexicon.weights.get((term, 0), 0.0) - 0.5 * e
 
     def __call__(self, text: str | None) -> tuple[float, int]:
-        clean, most = 1.0 - BASE, BASE
+        clean, most = 1.0, BASE
         for term, e, context in sorted(set(self.hits(text))) if text else ():
             p = 1.0 / (1.0 + math.exp(-self.weight(term, e)))
             if context == 1.0 and p >= 0.5:
