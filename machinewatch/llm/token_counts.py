@@ -20,13 +20,14 @@ character, as the library's default has it; repeated rows are counted each.
 from __future__ import annotations
 
 import json
+from operator import sub
 
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
 from machinewatch.llm.common import per_text, with_struct
-from machinewatch.llm.tokenizers import SPACE, Memo, encoder, vocabulary_path
+from machinewatch.llm.tokenizers import SPACE, Memo, byte_letters, encoder, vocabulary_path
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Limit of the ``over_limit`` flag.
@@ -37,25 +38,21 @@ _UNITS = regex.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 _SEGMENTS = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + SPACE + r"\p{L}\p{N}]+"
 )
+#: First bytes of pre-tokens whose states are remembered.
+HEAD = 6
 _CONTRACTIONS = {"'s", "'t", "'re", "'ve", "'m", "'ll", "'d"}
 
 
-def _byte_letters() -> dict[str, int]:
-    """The vocabulary's letter for each byte: printable ones stand for themselves, others follow from U+0100."""
-    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in set(own)]
-    return {chr(b): b for b in own} | {chr(0x100 + i): b for i, b in enumerate(rest)}
-
-
 class PrefixCounter:
     """Counts of all prefixes under one byte-level BPE vocabulary file."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        letters = _byte_letters()
+        letters = {c: b for b, c in enumerate(byte_letters())}
         self.library = encoder(path).library
         self.specials = [t["content"] for t in spec["added_tokens"]]
+        self.special = regex.compile("|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True))) or r"(?!)")
         special_ids = {t["id"] for t in spec["added_tokens"]}
         vocab = {bytes(letters[c] for c in t): i for t, i in spec["model"]["vocab"].items() if i not in special_ids}
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
@@ -76,7 +73,7 @@ class PrefixCounter:
             t: tuple(sorted(x | {2} if t[-2:] in self.number else x, reverse=True)) for t, x in lengths.items()
         }
         self.apart = Memo(lambda pair: self._apart(*pair))
-        self.runs = Memo(self._run)
+        self.heads = Memo(lambda raw: self._extend(raw, [-1], [0]))
         self.units = Memo(self._unit)
 
     def _apart(self, a: int, b: int) -> bool:
@@ -102,9 +99,16 @@ class PrefixCounter:
 
     def _run(self, raw: bytes) -> list[int]:
         """Counts of all byte prefixes (1, 2, ...) of a pre-token."""
-        last, count = [-1], [0]
+        if len(raw) <= HEAD:
+            return self.heads[raw][1][1:]
+        # Words share their first bytes, and with them the program's first states.
+        last, count = self.heads[raw[:HEAD]]
+        return self._extend(raw, list(last), list(count))[1][1:]
+
+    def _extend(self, raw: bytes, last: list[int], count: list[int]) -> tuple[list[int], list[int]]:
+        """Last token and count of each prefix, from those of the first prefixes on."""
         number, apart, lengths = self.number, self.apart, self.lengths
-        for end in range(1, len(raw) + 1):
+        for end in range(len(last), len(raw) + 1):
             tail = raw[end - 3 if end > 3 else 0:end]
             for length in lengths.get(tail) or lengths.get(tail[-2:], ()):
                 start = end - length
@@ -117,11 +121,11 @@ class PrefixCounter:
                 start, token = end - 1, number[raw[end - 1:end]]
             last.append(token)
             count.append(count[start] + 1)
-        return count[1:]
+        return last, count
 
     def _prefixes(self, segment: str) -> list[int]:
         """Counts of the prefixes of a pre-token, by code points."""
-        counts = self.runs[segment.encode()]
+        counts = self._run(segment.encode())
         if segment.isascii():
             return counts
         out, end = [], 0
@@ -130,55 +134,58 @@ class PrefixCounter:
             out.append(counts[end - 1])
         return out
 
-    def _unit(self, unit: str) -> tuple[bytes, int]:
-        """Changes of the count over a unit's code points, and its total."""
+    def _unit(self, unit: str) -> bytes:
+        """Changes of the count over a unit's code points."""
         rest = unit.lstrip(SPACE)
         space = unit[:len(unit) - len(rest)]
-        counts = list(self._prefixes(space)) if space else []
-        if rest:
-            before, lead = space, ""
-            base = 0
-            if space:
+        if rest.isalpha() and (not space or space == " "):
+            counts = self._prefixes(unit)  # one pre-token
+        else:
+            counts = list(self._prefixes(space)) if space else []
+            lead, base = "", 0
+            if rest and space:
                 before, last = space[:-1], space[-1]
                 base = self._prefixes(before)[-1] if before else 0
                 if last == " ":
                     lead = " "
                 else:
                     base += self._prefixes(last)[-1]
-            for match in _SEGMENTS.finditer(lead + rest):
+            for match in _SEGMENTS.finditer(lead + rest) if rest else ():
                 segment = match.group()
+                own = self._prefixes(segment)
                 if segment in _CONTRACTIONS:
+                    # Until its last letter it is a mark and letters.
                     mark = self._prefixes("'")[-1]
-                    inner = [mark, *(mark + n for n in self._prefixes(segment[1:]))]
-                    own = [*inner[:-1], self._prefixes(segment)[-1]]
-                else:
-                    own = self._prefixes(segment)
+                    own = [mark, *(mark + n for n in self._prefixes(segment[1:])[:-1]), own[-1]]
                 counts += [base + n for n in (own[1:] if lead and match.start() == 0 else own)]
                 base += own[-1]
-        # bytes() raises if a change does not fit.
-        return bytes([b - a + 256 & 255 if -128 <= b - a < 128 else 256 for a, b in zip([0, *counts], counts, strict=False)]), counts[-1]
+        changes = list(map(sub, counts, [0, *counts]))
+        if min(changes) < -128 or max(changes) > 127:
+            raise ValueError("a change of the count does not fit one byte")
+        return bytes([c & 255 for c in changes])
 
-    def _plain(self, text: str) -> tuple[bytes, int]:
-        parts = [self.units[u] for u in _UNITS.findall(text)]
-        return b"".join([p[0] for p in parts]), sum([p[1] for p in parts])
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.units.__getitem__, _UNITS.findall(text)))
 
     def __call__(self, text: str) -> tuple[bytes, int]:
         """The store of a text and its token count."""
-        if not any(s in text for s in self.specials):
-            return self._plain(text)
-        store, total, at = [], 0, 0
-        for match in regex.finditer("|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True))), text):
-            # Up to its last character the special string is ordinary text.
-            changes, _ = self._plain(text[at:match.end() - 1])
-            before = self._plain(text[at:match.start()])[1]
-            shown = int(np.frombuffer(changes, dtype=np.int8).astype(np.int64).sum())
-            jump = before + 1 - shown
-            if not -128 <= jump <= 127:
-                raise ValueError("a change of the count does not fit one byte")
-            store += [changes, np.int8(jump).tobytes()]
-            total, at = total + before + 1, match.end()
-        changes, rest = self._plain(text[at:])
-        return b"".join([*store, changes]), total + rest
+        at, parts = 0, []
+        if any(s in text for s in self.specials):
+            for match in self.special.finditer(text):
+                # Up to its last character the special string is ordinary text; then it is one token.
+                shown = self._plain(text[at:match.end() - 1])
+                before = _total(self._plain(text[at:match.start()]))
+                jump = before + 1 - _total(shown)
+                if not -128 <= jump <= 127:
+                    raise ValueError("a change of the count does not fit one byte")
+                parts += [shown, bytes([jump & 255])]
+                at = match.end()
+        store = b"".join([*parts, self._plain(text[at:])])
+        return store, _total(store)
+
+
+def _total(changes: bytes) -> int:
+    return int(np.frombuffer(changes, dtype=np.int8).sum(dtype=np.int64))
 
 
 _COUNTERS: dict[str, PrefixCounter] = {}
@@ -193,7 +200,7 @@ def counter(path: str) -> PrefixCounter:
 
 def count_at(store: bytes, n_chars: int) -> int:
     """Tokens of the prefix of ``n_chars`` code points."""
-    return int(np.frombuffer(store, dtype=np.int8)[:n_chars].sum(dtype=np.int64))
+    return _total(store[:n_chars])
 
 
 def longest_within(store: bytes, budget: int) -> int:

@@ -10,6 +10,9 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
+from sys import byteorder
+from unicodedata import is_normalized
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -19,8 +22,10 @@ SPACE = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0
 BYTE_PIECES = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 #: Pieces where white space is dropped.
 WORD_PIECES = re.compile(f"[^{SPACE}]+")
+#: ASCII marks; behind letters they are a pre-token of their own.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Entries of a memo, and the longest piece that is remembered.
-MEMO, LONGEST = 200_000, 64
+MEMO, LONGEST = 300_000, 64
 
 
 class Memo(dict):
@@ -49,6 +54,13 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_letters() -> list[str]:
+    """The letter that byte-level vocabularies write for each byte: printable ones for themselves, others from U+0100."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = iter(range(0x100, 0x200))
+    return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
+
+
 class Encoder:
     """Ids of a text as little-endian unsigned 32-bit integers."""
 
@@ -61,13 +73,31 @@ class Encoder:
             spec = json.load(f)
         self.library = Tokenizer.from_file(path)
         self.specials = [t["content"] for t in spec["added_tokens"]]
-        byte_level = spec["normalizer"] is None and spec["pre_tokenizer"]["type"] == "ByteLevel"
-        self.pieces = (BYTE_PIECES if byte_level else WORD_PIECES).findall
-        self.memo = Memo(self._whole)
+        self.byte_level = spec["normalizer"] is None and spec["pre_tokenizer"]["type"] == "ByteLevel"
+        self.pieces = (BYTE_PIECES if self.byte_level else WORD_PIECES).findall
+        self.letters = dict(enumerate(byte_letters()))
+        self.model = self.library.model
+        self.memo = Memo(self._piece)
 
     def _whole(self, text: str) -> bytes:
-        ids = self.library.encode(text, add_special_tokens=False).ids
-        return b"".join(i.to_bytes(4, "little") for i in ids)
+        return _packed(self.library.encode(text, add_special_tokens=False).ids)
+
+    def _piece(self, piece: str) -> bytes:
+        """A piece by the library; a word goes straight to its model, and marks behind a word are another piece."""
+        word = piece[1:] if piece[0] == " " else piece
+        if word.isalpha():
+            if not self.byte_level:
+                # Only where lower case and composition are plain is the normalizer left out.
+                piece = word.lower()
+                if max(word) >= "\u0180" or not piece.isalpha() or not is_normalized("NFC", word):
+                    return self._whole(word)
+            mapped = piece.encode().decode("latin-1").translate(self.letters)
+            return _packed([t.id for t in self.model.tokenize(mapped)])
+        head = piece.rstrip(MARKS)
+        # In lower case too: a letter that becomes one with a combining mark makes a run with marks behind it.
+        if head != piece and (head[1:] if head[:1] == " " else head).lower().isalpha():
+            return self.memo[head] + self.memo[piece[len(head):]]
+        return self._whole(piece)
 
     def __call__(self, text: str) -> bytes:
         if any(s in text for s in self.specials):
@@ -75,6 +105,10 @@ class Encoder:
         return b"".join(map(self.memo.__getitem__, self.pieces(text)))
 
 
+def _packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes() if byteorder == "little" else b"".join(i.to_bytes(4, "little") for i in ids)
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 
