@@ -52,8 +52,9 @@ class WaveletMatrix:
         n, blocks = len(ids), -(-len(ids) // _BLOCK)
         words = np.zeros((bits, blocks * 8), dtype="<u8")
         ones = np.zeros((bits, blocks + 1), dtype="<u4")
+        ids = ids.astype("<u2" if bits <= 16 else "<u4")
         for plane in range(bits):
-            bit = (ids >> (bits - 1 - plane)) & 1 == 1
+            bit = ids & ids.dtype.type(1 << (bits - 1 - plane)) != 0
             packed = np.packbits(bit, bitorder="little")
             raw = words[plane].view(np.uint8)
             raw[:len(packed)] = packed
@@ -73,7 +74,7 @@ class WaveletMatrix:
         return cls(n, bits, words, ones)
 
     def _bits(self, plane: int) -> np.ndarray:
-        return np.unpackbits(self.words[plane].view(np.uint8), count=self.n, bitorder="little").astype(bool)
+        return np.unpackbits(self.words[plane].view(np.uint8), count=self.n, bitorder="little").view(bool)
 
     def _rank1(self, plane: int, at: np.ndarray) -> np.ndarray:
         """Ones of a plane before each place."""
@@ -148,14 +149,15 @@ class WaveletMatrix:
 
     def decode(self) -> np.ndarray:
         """All ids in order: the planes' partitions undone from the last to the first."""
-        ids = np.zeros(self.n, dtype="<u4")
+        kind = np.dtype("<u2" if self.bits <= 16 else "<u4")
+        ids = np.zeros(self.n, dtype=kind)
         for plane in reversed(range(self.bits)):
             bit = self._bits(plane)
-            before = np.empty(self.n, dtype="<u4")
+            before = np.empty(self.n, dtype=kind)
             before[~bit] = ids[:self.zeros[plane]]
-            before[bit] = ids[self.zeros[plane]:] | np.uint32(1 << (self.bits - 1 - plane))
+            before[bit] = ids[self.zeros[plane]:] | kind.type(1 << (self.bits - 1 - plane))
             ids = before
-        return ids
+        return ids.astype("<u4")
 
 
 def pack_shard(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray, bits: int) -> bytes:
