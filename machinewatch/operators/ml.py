@@ -33,6 +33,8 @@ from machinewatch.schema import (
     TEST_FRACTION,
 )
 
+#: Rows that the grid search is fitted on at most (bounded sample of labelled rows).
+GRID_FIT_ROWS = 1000
 SPARK_MAX_DEPTH = 30  # Spark's cap; stands in for "unlimited depth"
 
 
@@ -104,7 +106,13 @@ def stratified_split(df: DataFrame, label: str = "label", id_col: str = "event_i
         is_c = F.col(label) == F.lit(c)
         test_cond = test_cond | (is_c & (F.col("_p") < F.lit(value)))
         at = is_c & (F.col("_p") == F.lit(value))
-        last = keys.filter(at).select("_h").orderBy("_h").limit(remaining).collect()[-1][0]
+        # The k-th hash of the tied rows, from counts per distinct hash: one row per
+        # distinct hash with this 60-bit prefix, however often an id repeats.
+        last, seen = None, 0
+        for row in keys.filter(at).groupBy("_h").count().orderBy("_h").toLocalIterator():
+            last, seen = row["_h"], seen + row["count"]
+            if seen >= remaining:
+                break
         test_cond = test_cond | (at & (F.col("_h") <= F.lit(last)))
     keys.unpersist()
     return keyed.withColumn("split", F.when(test_cond, F.lit("test")).otherwise(F.lit("train"))).drop("_h", "_p")
@@ -114,7 +122,14 @@ def stratified_split(df: DataFrame, label: str = "label", id_col: str = "event_i
 # M1, M3-M5: pipeline and training
 # ---------------------------------------------------------------------------
 def assembler() -> VectorAssembler:
-    return VectorAssembler(inputCols=list(MODEL_FEATURES), outputCol="features", handleInvalid="skip")
+    """Strict on purpose: a row that cannot be scored must have been rejected before, not vanish here."""
+    return VectorAssembler(inputCols=list(MODEL_FEATURES), outputCol="features", handleInvalid="error")
+
+
+def model_input(df: DataFrame) -> DataFrame:
+    """A ratio without a value (zero denominator) enters the model as 0, so every row is scored."""
+    ratios = ("temp_vib_ratio", "pressure_temp_ratio")
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in ratios})
 
 
 def rf_pipeline(num_trees: int = FIXED_N_ESTIMATORS, max_depth: int | None = FIXED_MAX_DEPTH,
@@ -129,16 +144,20 @@ def rf_pipeline(num_trees: int = FIXED_N_ESTIMATORS, max_depth: int | None = FIX
 
 def train_fixed(train: DataFrame, **params) -> PipelineModel:
     """M5: fixed parameters (100 trees, depth 20)."""
-    return rf_pipeline(**params).fit(train)
+    return rf_pipeline(**params).fit(model_input(train))
 
 
 def grid_search(train: DataFrame, n_estimators=GRID_N_ESTIMATORS, max_depth=GRID_MAX_DEPTH,
                 min_samples_split=GRID_MIN_SAMPLES_SPLIT, folds: int = CV_FOLDS,
-                parallelism: int = 4, seed: int = SEED):
+                parallelism: int = 4, seed: int = SEED, max_rows: int | None = GRID_FIT_ROWS,
+                id_col: str = "event_id"):
     """M4: grid over trees x depth x split size, k-fold CV scored by ROC AUC.
 
     ``min_samples_split`` maps to Spark's nearest knob ``minInstancesPerNode``
     (minimum rows per child, a stricter rule); ``None`` depth maps to 30.
+    The search is fitted on at most about ``max_rows`` rows, those whose id
+    hash is lowest (all rows with ``None``); the caller's final model may
+    then be trained on everything with the best parameters.
     Returns (best PipelineModel, best params dict, mean AUC per grid point).
     """
     pipe = rf_pipeline()
@@ -152,7 +171,15 @@ def grid_search(train: DataFrame, n_estimators=GRID_N_ESTIMATORS, max_depth=GRID
                                               metricName="areaUnderROC")
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds,
                         parallelism=parallelism, seed=seed)
-    cv_model = cv.fit(train.cache())
+    rows = model_input(train)
+    if max_rows is not None:
+        share = max_rows / max(train.count(), 1)
+        rows = rows.filter(F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) < F.lit(share * (1 << 30)))
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        cv_model = cv.fit(rows)
+    finally:
+        rows.unpersist()
     best_idx = max(range(len(grid)), key=lambda i: cv_model.avgMetrics[i])
     best = {p.name: v for p, v in grid[best_idx].items()}
     return cv_model.bestModel, best, list(cv_model.avgMetrics)
@@ -163,7 +190,9 @@ def grid_search(train: DataFrame, n_estimators=GRID_N_ESTIMATORS, max_depth=GRID
 # ---------------------------------------------------------------------------
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Class, probability of anomaly and confidence (max class probability)."""
-    out = model.transform(df)
+    # A model fitted in this session keeps its training summary, and with it the
+    # session; a copy does not, so it can always be sent to executors.
+    out = model.copy().transform(model_input(df))
     probs = vector_to_array(F.col("probability"))
     return out.withColumns({
         "prediction": F.col("prediction").cast("int"),
@@ -207,15 +236,11 @@ def accuracy(df: DataFrame, label: str = "label", pred: str = "prediction") -> D
 def classification_report(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
     """M8: precision, recall, f1, support per class plus macro and weighted averages."""
     y, p = F.col(label).cast("int"), F.col(pred).cast("int")
-    rows = []
-    for c in (0, 1):
-        rows.append(df.agg(
-            F.lit(str(c)).alias("class"),
-            F.count_if((y == c) & (p == c)).alias("tp"),
-            F.count_if((y != c) & (p == c)).alias("fp"),
-            F.count_if((y == c) & (p != c)).alias("fn"),
-        ))
-    per = rows[0].unionByName(rows[1])
+    # One scan: the counts of both classes in one row, the rest on that row.
+    counts = df.agg(*[F.count_if(cond).alias(f"{name}_{c}") for c in (0, 1) for name, cond in (
+        ("tp", (y == c) & (p == c)), ("fp", (y != c) & (p == c)), ("fn", (y == c) & (p != c)))])
+    per = counts.select(F.inline(F.array(*[F.struct(
+        F.lit(str(c)).alias("class"), *[F.col(f"{n}_{c}").alias(n) for n in ("tp", "fp", "fn")]) for c in (0, 1)])))
     prec = F.when(F.col("tp") + F.col("fp") > 0, F.col("tp") / (F.col("tp") + F.col("fp"))).otherwise(0.0)
     rec = F.when(F.col("tp") + F.col("fn") > 0, F.col("tp") / (F.col("tp") + F.col("fn"))).otherwise(0.0)
     per = per.withColumns({"precision": prec, "recall": rec,
@@ -225,15 +250,14 @@ def classification_report(df: DataFrame, label: str = "label", pred: str = "pred
                                       / (F.col("precision") + F.col("recall"))).otherwise(0.0))
     per = per.select("class", "precision", "recall", "f1", "support")
     total = F.sum("support").cast("double")
-    macro = per.agg(F.lit("macro avg").alias("class"), F.avg("precision").alias("precision"),
-                    F.avg("recall").alias("recall"), F.avg("f1").alias("f1"),
-                    F.sum("support").cast("bigint").alias("support"))
-    weighted = per.agg(F.lit("weighted avg").alias("class"),
-                       (F.sum(F.col("precision") * F.col("support")) / total).alias("precision"),
-                       (F.sum(F.col("recall") * F.col("support")) / total).alias("recall"),
-                       (F.sum(F.col("f1") * F.col("support")) / total).alias("f1"),
-                       F.sum("support").cast("bigint").alias("support"))
-    return per.unionByName(macro).unionByName(weighted)
+    measures = ("precision", "recall", "f1")
+    both = per.agg(F.collect_list(F.struct("class", *measures, "support")).alias("per"),
+                   F.struct(F.lit("macro avg").alias("class"), *[F.avg(m).alias(m) for m in measures],
+                            F.sum("support").alias("support")).alias("macro"),
+                   F.struct(F.lit("weighted avg").alias("class"),
+                            *[(F.sum(F.col(m) * F.col("support")) / total).alias(m) for m in measures],
+                            F.sum("support").alias("support")).alias("weighted"))
+    return both.select(F.inline(F.concat("per", F.array("macro", "weighted"))))
 
 
 def roc_auc(df: DataFrame, label: str = "label", score_col: str = "score", buckets: int = 1024) -> DataFrame:
@@ -292,7 +316,8 @@ def evaluate(model: PipelineModel, test: DataFrame) -> dict:
             "confusion_matrix": [[cells.get((a, b), 0) for b in (0, 1)] for a in (0, 1)]}
 
 
-def training_run(features: DataFrame, out_dir: str, use_grid: bool = False, **grid_args) -> dict:
+def training_run(features: DataFrame, out_dir: str, use_grid: bool = False, fixed: dict | None = None,
+                 **grid_args) -> dict:
     """Split -> train (grid or fixed) -> evaluate -> save model and results."""
     split = stratified_split(features).cache()
     train = split.filter(F.col("split") == "train")
@@ -300,11 +325,14 @@ def training_run(features: DataFrame, out_dir: str, use_grid: bool = False, **gr
     if use_grid:
         model, best, _ = grid_search(train, **grid_args)
     else:
-        model, best = train_fixed(train), {"numTrees": FIXED_N_ESTIMATORS, "maxDepth": FIXED_MAX_DEPTH}
-    metrics = evaluate(model, test)
+        fixed = fixed or {"num_trees": FIXED_N_ESTIMATORS, "max_depth": FIXED_MAX_DEPTH}
+        model, best = train_fixed(train, **fixed), dict(fixed)
     model_path = os.path.join(out_dir, "model")
     save_model(model, model_path)
-    results = {"model_path": model_path, "best_params": best, **metrics}
+    # What is evaluated is the saved model, as it will be used.
+    metrics = evaluate(load_model(model_path), test)
+    results = {"model_path": model_path, "best_params": best, "train_rows": train.count(),
+               "test_rows": test.count(), **metrics}
     spark = features.sparkSession
     spark.createDataFrame([(json.dumps(results, default=str),)], "value string") \
         .write.mode("overwrite").text(os.path.join(out_dir, "training_results"))

@@ -21,6 +21,20 @@ def _present(keys: Column, name: str) -> Column:
     return F.array_contains(keys, F.lit(name))
 
 
+def typed_value(name: str, raw_col: str = "raw") -> Column:
+    """A field in its type, NULL if it does not convert.
+
+    A timestamp written as a JSON number may have a fraction, which is cut
+    off; a text must be a whole number. A field that was filled in (absent in
+    the raw record) is taken as it is.
+    """
+    value = F.col(name).try_cast(TYPED[name])
+    if TYPED[name] != "bigint":
+        return value
+    number = F.from_json(F.col(raw_col), f"`{name}` double")[name]
+    return F.coalesce(value, F.when(F.abs(number) < F.lit(2.0**62), number).cast("bigint"))
+
+
 def reject_reason(raw_col: str = "raw", required: Sequence[str] = REQUIRED_FIELDS) -> Column:
     """First failing check, or NULL when the row is valid.
 
@@ -32,10 +46,9 @@ def reject_reason(raw_col: str = "raw", required: Sequence[str] = REQUIRED_FIELD
     expr = F.when(keys.isNull(), F.lit("malformed_json"))
     for name in required:
         expr = expr.when(~_present(keys, name), F.lit(f"missing_field:{name}"))
-    for name, typ in TYPED.items():
-        # Types are checked whether or not the key is required (an optional key
-        # that is present must still convert).
-        expr = expr.when(F.col(name).try_cast(typ).isNull(), F.lit(f"invalid_type:{name}"))
+    for name in TYPED:
+        # An optional key is checked only where the record has it.
+        expr = expr.when(_present(keys, name) & typed_value(name, raw_col).isNull(), F.lit(f"invalid_type:{name}"))
     finite = None
     for s in SENSORS:
         v = F.col(s).try_cast("double")
@@ -51,7 +64,7 @@ def validate_readings(parsed: DataFrame, raw_col: str = "raw",
     ``parsed`` holds ``raw`` and the string-typed fields (``parse_raw``).
     """
     reason = reject_reason(raw_col, required)
-    typed = {name: F.col(name).try_cast(typ) for name, typ in TYPED.items()}
+    typed = {name: typed_value(name, raw_col) for name in TYPED}
     return parsed.withColumn("reject_reason", reason).withColumns(typed).withColumn(
         "is_valid", F.col("reject_reason").isNull())
 

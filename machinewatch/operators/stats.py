@@ -10,13 +10,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from machinewatch.functions.features import count_when
 from machinewatch.operators.enrich import LAG_NAMES
 from machinewatch.schema import SENSORS, TREND_DELTAS, TREND_MIN_READINGS, TREND_NAMES
 
+#: Parts that a group's rows are spread over when its latest row is looked for.
+SPREAD = 64
 HOUR_KEYS = ("machine_id", "year", "month", "day", "hour")
 DAY_KEYS = ("machine_id", "year", "month", "day")
 MONTH_KEYS = ("machine_id", "year", "month")
@@ -87,8 +89,9 @@ def label_distribution(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def _order_key(df: DataFrame, ts: str) -> Column:
-    tie = [F.col("event_id")] if "event_id" in df.columns else [F.col(s) for s in SENSORS]
-    return F.struct(F.col(ts), *tie)
+    """Time, then the id if the rows have one, then the sensor values."""
+    tie = ["event_id"] if "event_id" in df.columns else []
+    return F.struct(F.col(ts), *[F.col(c) for c in (*tie, *SENSORS)])
 
 
 def _stats_aggs() -> list[Column]:
@@ -175,28 +178,29 @@ def attach_batch_stats(
 ) -> DataFrame:
     """Statistics and trends of the group on its latest row only (groups of > 1 row).
 
-    One aggregate computes statistics, trends and the latest row's key per
-    group. It is joined back on (group, time, tie-break), a key that spreads
-    even a hot machine's rows over all partitions; other rows get NULLs.
+    Records need no id: rows are dealt by a hash of their whole content, so
+    equal (redelivered) rows meet and a hot group is spread over ``SPREAD``
+    parts. Each part numbers its rows; the group's winner is the part whose
+    first row is the latest, and only that one row gets the statistics. Ties
+    in time go by the id if there is one, else by the sensor values, then by
+    the content hash. The join back uses the parts' own partitioning.
     """
     if not group_cols:
         # Batch-wide: one constant group key.
         return attach_batch_stats(df.withColumn("_batch", F.lit(0)), ["_batch"], ts).drop("_batch")
-    tie = ["event_id"] if "event_id" in df.columns else list(SENSORS)
-    key_cols = [*group_cols, ts, *tie]
-    agg = df.groupBy(*group_cols).agg(
-        *_stats_aggs(),
-        *_trend_aggs(df, ts),
-        F.max(F.struct(*[F.col(c) for c in [ts, *tie]])).alias("_k"),
-    )
-    per_group = (
-        agg.filter(F.col("_n") > 1)
-        .withColumns(_trend_columns())
-        .select(
-            *group_cols,
-            *[F.col(f"_k.{c}").alias(c) for c in [ts, *tie]],
-            *STAT_COLUMNS,
-            *TREND_COLUMNS,
-        )
-    )
-    return df.join(per_group, key_cols, "left")
+    order = _order_key(df, ts)
+    dealt = df.withColumn("_content", F.xxhash64(*[F.col(c) for c in df.columns])).withColumn(
+        "_part", F.pmod("_content", F.lit(SPREAD)))
+    newest = Window.partitionBy(*group_cols, "_part").orderBy(order.desc(), F.col("_content").desc())
+    dealt = dealt.withColumn("_newest", F.row_number().over(newest) == 1)
+    winner = F.struct(order.alias("o"), F.col("_content").alias("c"), F.col("_part").alias("p"))
+    agg = dealt.groupBy(*group_cols).agg(
+        *_stats_aggs(), *_trend_aggs(df, ts), F.max(winner).alias("_winner"))
+    per_group = agg.filter(F.col("_n") > 1).withColumns(_trend_columns()).select(
+        *[F.col(c).alias(f"_g_{c}") for c in group_cols], F.col("_winner.p").alias("_g_part"),
+        *STAT_COLUMNS, *TREND_COLUMNS)
+    same = F.col("_newest") & (F.col("_part") == F.col("_g_part"))
+    for c in group_cols:
+        same = same & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+    out = dealt.join(per_group, same, "left")
+    return out.select(*df.columns, *STAT_COLUMNS, *TREND_COLUMNS)

@@ -105,9 +105,9 @@ FROM readings"""))
 def q_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event time recomputed from epoch seconds (equals the source time truncated to seconds)."""
     r = load_readings(spark, sf_dir).select("event_id", "timestamp", "event_timestamp")
-    derived = enrich.event_time(r.drop("event_timestamp")).withColumnRenamed(
-        "event_timestamp", "event_time_from_epoch")
-    return derived.join(r.select("event_id", "event_timestamp"), "event_id")
+    derived = enrich.event_time(r.withColumnRenamed("event_timestamp", "source_time"))
+    return derived.select("event_id", "timestamp", F.col("source_time").alias("event_timestamp"),
+                          F.col("event_timestamp").alias("event_time_from_epoch"))
 
 
 @register("ratio_features", with_ctes("""
@@ -311,17 +311,10 @@ def q_attach_batch_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # ETL sinks (S6-S8, S5): write the tables, read them back
 # ---------------------------------------------------------------------------
-_ETL_RUNS: dict[str, etl.EtlPaths] = {}
-
-
 def etl_output(spark: SparkSession, sf_dir: str) -> etl.EtlPaths:
-    """Run the batch ETL once per input folder and session into the shared scratch folder."""
-    key = f"{id(spark)}:{sf_dir}"
-    if key not in _ETL_RUNS:
-        root = scratch_path(spark, f"etl-{uuid.uuid4().hex[:12]}")
-        result = etl.run_etl(spark, load_readings(spark, sf_dir), root, processing_time=False)
-        _ETL_RUNS[key] = result["paths"]
-    return _ETL_RUNS[key]
+    """Run the batch ETL into a new scratch folder."""
+    root = scratch_path(spark, f"etl-{uuid.uuid4().hex[:12]}")
+    return etl.run_etl(spark, load_readings(spark, sf_dir), root, processing_time=False)["paths"]
 
 
 @register("sink_processed", sensor_sql("SELECT * FROM lagged", LAG_SQL))
@@ -559,14 +552,6 @@ def q_metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.metrics_long(rule_predictions(spark, sf_dir))
 
 
-@register("republish_keyed")
-def q_republish_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Enriched rows as (machine_id key, JSON value) records."""
-    return messages.republish_keyed(rawsrc.raw_json(load_readings(spark, sf_dir))
-                                    .join(load_readings(spark, sf_dir).select("event_id", "machine_id"),
-                                          "event_id"))
-
-
 # ---------------------------------------------------------------------------
 # Streaming (S9, S13, S23, ST1-ST8): file-source streams over weekly batches
 # ---------------------------------------------------------------------------
@@ -592,23 +577,27 @@ def _arrival_week(df: DataFrame) -> DataFrame:
     return df.withColumn("arrival_week", shifted)
 
 
-_STREAM_RUNS: dict[str, str] = {}
+def _run_transform(spark: SparkSession, lines: DataFrame) -> str:
+    """Run ST1 over weekly arrivals of ``raw`` lines; return its output root."""
+    root = _scratch(spark, "stream-transform")
+    paths = stream_transform.TransformPaths(root)
+    stream_sources.run_arrivals(lines, root, "week", lambda stream: stream_transform.start_transform(stream, paths))
+    return root
 
 
-def _run_transform(spark: SparkSession, sf_dir: str, which: str) -> str:
-    """Run ST1 once (per input and fixture) with ``availableNow``; return its output root."""
-    key = f"{id(spark)}:{sf_dir}:{which}"
-    if key not in _STREAM_RUNS:
-        root = _scratch(spark, f"stream-{which}")
-        readings = load_readings(spark, sf_dir)
-        raw = rawsrc.raw_bad(readings) if which == "bad" else rawsrc.raw_json(readings)
-        lines = _with_event_id(raw).withColumn("week", _week())
-        glob = stream_sources.write_stream_files(lines, root + "/input", "week")
-        stream = stream_sources.read_stream_text(spark, glob, max_files_per_trigger=1)
-        q = stream_transform.start_transform(stream, stream_transform.TransformPaths(root))
-        q.awaitTermination()
-        _STREAM_RUNS[key] = root
-    return _STREAM_RUNS[key]
+def _bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Defective records that carry a message id."""
+    return _with_event_id(rawsrc.raw_bad(load_readings(spark, sf_dir))).withColumn("week", _week())
+
+
+REDELIVERED_EVERY = 53  # every 53rd record arrives twice
+
+
+def _device_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records as devices send them: five fields, no id, many of equal time, some delivered twice."""
+    readings = load_readings(spark, sf_dir).withColumn("timestamp", F.expr("timestamp div 3600 * 3600"))
+    again = readings.filter(F.col("event_id") % REDELIVERED_EVERY == 0)
+    return rawsrc.raw_json(readings.unionByName(again)).withColumn("week", _week())
 
 
 ST1_VALID = """(event_id % 103 <> 0 AND event_id % 101 <> 0 AND temperature IS NOT NULL
@@ -623,7 +612,7 @@ SELECT event_id, machine_id, temperature, vibration, pressure,
 FROM readings WHERE {ST1_VALID}"""))
 def q_stream_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST1: decode, enrich, validate, drop bad rows, deliver (weekly micro-batches of defective input)."""
-    root = _run_transform(spark, sf_dir, "bad")
+    root = _run_transform(spark, _bad_lines(spark, sf_dir))
     out = spark.read.parquet(root + "/delivered")
     return out.select("event_id", "machine_id", "temperature", "vibration", "pressure",
                       "temp_vib_ratio", "pressure_temp_ratio", "data_version")
@@ -638,7 +627,7 @@ FROM (SELECT date_trunc('week', event_timestamp) AS week, count(*) AS records,
       FROM readings GROUP BY 1) w"""))
 def q_batch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-batch outcome log of the ST1 run (counts; durations are wall-clock)."""
-    root = _run_transform(spark, sf_dir, "bad")
+    root = _run_transform(spark, _bad_lines(spark, sf_dir))
     log = spark.read.json(root + "/batch_log")
     return log.select(F.col("batch_id").cast("bigint").alias("batch_id"),
                       F.col("records").cast("bigint").alias("records"),
@@ -646,25 +635,50 @@ def q_batch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("rejected_records").cast("bigint").alias("rejected_records"))
 
 
-@register("stream_batch_stats", with_ctes(f"""
-SELECT event_id, machine_id, {", ".join(stats.STAT_COLUMNS)}, {", ".join(stats.TREND_COLUMNS)}
-FROM (
-    SELECT v.event_id, v.machine_id, s.*, t.trend, t.temp_trend, t.vib_trend, t.pressure_trend
-    FROM (SELECT machine_id, batch_date, count(*) AS batch_records, {BATCH_STATS_SQL}
-          FROM valid GROUP BY machine_id, batch_date) s
-    JOIN trends t USING (machine_id, batch_date)
-    JOIN (SELECT machine_id, batch_date, event_id FROM ordered WHERE rn_last = 1) v
-      USING (machine_id, batch_date)
-    WHERE s.batch_records > 1
-) x""", VALID_SQL.replace("cast(event_timestamp AS date)", "date_trunc('week', event_timestamp)"),
-    TRENDS_CTE.replace("ORDER BY event_timestamp, event_id", 'ORDER BY "timestamp", event_id')
-              .replace("ORDER BY event_timestamp DESC, event_id DESC",
-                       'ORDER BY "timestamp" DESC, event_id DESC')))
+_DEVICE_CTES = (f"""valid AS (
+    SELECT machine_id, cast(floor("timestamp" / 3600) * 3600 AS bigint) AS "timestamp", temperature, vibration, pressure,
+           date_trunc('week', event_timestamp) AS batch_date
+    FROM (SELECT * FROM readings UNION ALL SELECT * FROM readings WHERE event_id % {REDELIVERED_EVERY} = 0) r
+    WHERE temperature IS NOT NULL AND vibration IS NOT NULL AND pressure IS NOT NULL
+)""", TRENDS_CTE.replace("ORDER BY event_timestamp, event_id", 'ORDER BY "timestamp", temperature, vibration, pressure')
+      .replace("ORDER BY event_timestamp DESC, event_id DESC",
+               'ORDER BY "timestamp" DESC, temperature DESC, vibration DESC, pressure DESC'),
+f"""attached AS (
+    SELECT o.machine_id, o."timestamp", o.temperature, o.vibration, o.pressure,
+           {", ".join(f"s.{c}" for c in stats.STAT_COLUMNS)}, {", ".join(f"s.{c}" for c in stats.TREND_COLUMNS)}
+    FROM ordered o LEFT JOIN (
+        SELECT * FROM (SELECT machine_id, batch_date, count(*) AS batch_records, {BATCH_STATS_SQL}
+                       FROM valid GROUP BY machine_id, batch_date) g
+        JOIN trends t USING (machine_id, batch_date) WHERE batch_records > 1
+    ) s ON s.machine_id = o.machine_id AND s.batch_date = o.batch_date AND o.rn_last = 1
+)""")
+
+
+@register("stream_batch_stats", with_ctes(
+    "SELECT * FROM attached WHERE temp_mean IS NOT NULL", *_DEVICE_CTES))
 def q_stream_batch_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST4: statistics and trends attached to each machine's latest reading of each micro-batch."""
-    root = _run_transform(spark, sf_dir, "good")
+    """ST4: statistics and trends on each machine's latest record of each micro-batch (records without an id)."""
+    root = _run_transform(spark, _device_lines(spark, sf_dir))
     out = spark.read.parquet(root + "/delivered").filter(F.col("temp_mean").isNotNull())
-    return out.select("event_id", "machine_id", *stats.STAT_COLUMNS, *stats.TREND_COLUMNS)
+    return out.select(*READING_FIELDS, *stats.STAT_COLUMNS, *stats.TREND_COLUMNS)
+
+
+@register("republish_keyed", with_ctes("""
+SELECT machine_id AS key, machine_id, "timestamp", temperature, vibration, pressure,
+       temperature / nullif(vibration + 0.001, 0) AS temp_vib_ratio,
+       pressure / nullif(temperature + 0.001, 0) AS pressure_temp_ratio, '1.0' AS data_version,
+       temp_mean, vib_std, pressure_max, trend, temp_trend, false AS has_raw
+FROM attached""", *_DEVICE_CTES))
+def q_republish_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enriched records (ratios, metadata, batch statistics) published by key, their JSON read back."""
+    root = _run_transform(spark, _device_lines(spark, sf_dir))
+    fields = ("machine_id string, timestamp bigint, temperature double, vibration double, pressure double, "
+              "temp_vib_ratio double, pressure_temp_ratio double, data_version string, temp_mean double, "
+              "vib_std double, pressure_max double, trend string, temp_trend string")
+    sent = spark.read.schema("key string, value string").json(root + "/keyed")
+    return sent.select("key", F.from_json("value", fields).alias("v"),
+                       F.array_contains(F.json_object_keys("value"), F.lit("raw")).alias("has_raw")).select(
+        "key", "v.*", "has_raw")
 
 
 @register("stream_edge_rule", with_ctes("""
@@ -678,11 +692,8 @@ def q_stream_edge_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = rawsrc.stream_records(rawsrc.raw_json(readings))
     lines = records.select(F.to_json(F.struct("event_id", "data", "body")).alias("raw"),
                            _week().alias("week"))
-    glob = stream_sources.write_stream_files(lines.withColumn("event_timestamp", F.lit(None)), root + "/input",
-                                             "week")
-    stream = stream_sources.read_stream_text(spark, glob, max_files_per_trigger=1)
-    q = stream_windows.start_edge_rule(stream, root + "/out", root + "/checkpoint")
-    q.awaitTermination()
+    stream_sources.run_arrivals(lines, root, "week", lambda stream: stream_windows.start_edge_rule(
+        stream, root + "/out", root + "/checkpoint"))
     schema = "event_id bigint, machine_id string, timestamp bigint, temperature double, " \
              "vibration double, pressure double, anomaly_score int"
     return spark.read.schema(schema).json(root + "/out").select(
@@ -691,18 +702,15 @@ def q_stream_edge_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("stream_ingest", with_ctes(f"SELECT event_id, {_READING_FIELDS_SQL} FROM readings"))
 def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """File-source stream, one file per trigger, into a Parquet sink."""
+    """File-source stream, one weekly arrival per trigger, into a Parquet sink."""
     root = _scratch(spark, "stream-ingest")
     lines = _with_event_id(rawsrc.raw_json(load_readings(spark, sf_dir))).withColumn("week", _week())
-    glob = stream_sources.write_stream_files(lines, root + "/input", "week")
     from pyspark.sql import types as T
     from machinewatch.schema import READING_SCHEMA
     schema = T.StructType([T.StructField("event_id", T.LongType()), *READING_SCHEMA.fields])
-    stream = stream_sources.read_stream_text(spark, glob, max_files_per_trigger=1)
-    parsed = stream.select(F.from_json("raw", schema).alias("r")).select("r.*")
-    q = (parsed.writeStream.format("parquet").option("checkpointLocation", root + "/checkpoint")
-         .trigger(availableNow=True).start(root + "/out"))
-    q.awaitTermination()
+    stream_sources.run_arrivals(lines, root, "week", lambda stream: (
+        stream.select(F.from_json("raw", schema).alias("r")).select("r.*").writeStream.format("parquet")
+        .option("checkpointLocation", root + "/checkpoint").trigger(availableNow=True).start(root + "/out")))
     return spark.read.parquet(root + "/out")
 
 
@@ -901,78 +909,160 @@ def q_postprocess_prediction(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "prediction", "prediction_label", "severity")
 
 
-_MODELS: dict[str, tuple] = {}
+#: Forest that the scoring queries train: what they check does not depend on its size.
+SCORING_FOREST = {"num_trees": 20, "max_depth": 8}
+SPLIT_SQL = """split AS (
+    SELECT *, CASE WHEN rn <= ceil(0.2 * n) THEN 'test' ELSE 'train' END AS split
+    FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5('42-' || cast(event_id AS varchar))) AS rn,
+                 count(*) OVER (PARTITION BY label) AS n FROM feats) t
+)"""
 
 
-def trained_model(spark: SparkSession, sf_dir: str):
-    """Train once per input (fixed parameters), save the model and results."""
-    key = f"{id(spark)}:{sf_dir}"
-    if key not in _MODELS:
-        out = _scratch(spark, "training")
-        results = ml.training_run(training_features(spark, sf_dir), out)
-        _MODELS[key] = (out, results)
-    return _MODELS[key]
+def trained_model(spark: SparkSession, sf_dir: str, **params) -> tuple[str, dict]:
+    """Train, save the model and its results, evaluate the saved model; (folder, results)."""
+    out = _scratch(spark, "training")
+    return out, ml.training_run(training_features(spark, sf_dir), out, **params)
 
 
-@register("training_run")
+@register("training_run", with_ctes("""
+SELECT count(*) FILTER (WHERE split = 'train') AS train_rows, count(*) FILTER (WHERE split = 'test') AS test_rows,
+       count(*) FILTER (WHERE split = 'test') AS confusion_total, true AS metrics_agree, true AS model_saved
+FROM split""", TRAIN_SQL, SPLIT_SQL))
 def q_training_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M12 + S22: end-to-end training; the results record as saved (JSON)."""
-    out, _ = trained_model(spark, sf_dir)
-    res = spark.read.text(out + "/training_results")
-    return res.select(F.get_json_object("value", "$.accuracy").cast("double").alias("accuracy"),
-                      F.get_json_object("value", "$.roc_auc").cast("double").alias("roc_auc"),
-                      F.get_json_object("value", "$.model_path").alias("model_path"))
-
+    """M12 + S22: end-to-end training; facts of the saved results record.
 
-@register("train_fixed")
+    ``metrics_agree``: accuracy equals the confusion matrix's, the AUC lies in
+    [0.5, 1], the report's supports sum to the test rows. The metrics
+    themselves depend on the forest and have no SQL.
+    """
+    out, _ = trained_model(spark, sf_dir)
+    schema = ("model_path string, train_rows bigint, test_rows bigint, accuracy double, roc_auc double, "
+              "classification_report map<string, struct<precision: double, recall: double, support: bigint>>, "
+              "confusion_matrix array<array<bigint>>")
+    res = spark.read.text(out + "/training_results").select(F.from_json("value", schema).alias("r")).select("r.*")
+    cm = F.col("confusion_matrix")
+    total = cm[0][0] + cm[0][1] + cm[1][0] + cm[1][1]
+    agree = (F.abs(F.col("accuracy") - (cm[0][0] + cm[1][1]) / total) < 1e-9) & F.col("roc_auc").between(0.5, 1.0) & (
+        F.col("classification_report")["macro avg"]["support"] == total)
+    return res.select("train_rows", "test_rows", total.alias("confusion_total"), agree.alias("metrics_agree"),
+                      (F.col("model_path") == F.lit(out + "/model")).alias("model_saved"))
+
+
+@register("train_fixed", with_ctes("""
+SELECT cast(cast(label AS int) AS varchar) AS class, count(*) AS support, true AS in_range
+FROM split WHERE split = 'test' GROUP BY label
+UNION ALL SELECT 'macro avg', count(*), true FROM split WHERE split = 'test'
+UNION ALL SELECT 'weighted avg', count(*), true FROM split WHERE split = 'test'""", TRAIN_SQL, SPLIT_SQL))
 def q_train_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M3 + M5: fixed-parameter forest; per-class report on the held-out split."""
-    out, results = trained_model(spark, sf_dir)
-    model = ml.load_model(out + "/model")
-    test = ml.stratified_split(training_features(spark, sf_dir)).filter(F.col("split") == "test")
-    scored = ml.score(model, test)
-    return ml.classification_report(scored.withColumn("label", F.col("label").cast("int")))
-
-
-@register("model_roundtrip")
+    """M3 + M5: the fixed forest (100 trees, depth 20); its report on the held-out split."""
+    parts = ml.stratified_split(training_features(spark, sf_dir))
+    model = ml.train_fixed(parts.filter(F.col("split") == "train"))
+    scored = ml.score(model, parts.filter(F.col("split") == "test"))
+    report = ml.classification_report(scored.withColumn("label", F.col("label").cast("int")))
+    in_range = F.lit(True)
+    for measure in ("precision", "recall", "f1"):
+        in_range = in_range & F.col(measure).between(0.0, 1.0)
+    return report.select("class", "support", in_range.alias("in_range"))
+
+
+@register("model_roundtrip", with_ctes("""
+SELECT event_id, machine_id, true AS same_prediction, true AS same_probability FROM feats""", TRAIN_SQL))
 def q_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The saved model loaded back scores every reading (prediction, confidence)."""
-    out, _ = trained_model(spark, sf_dir)
-    model = ml.load_model(out + "/model")
-    return ml.score(model, training_features(spark, sf_dir)).select(
-        "event_id", "machine_id", "prediction", "anomaly_probability", "confidence")
-
-
-@register("batch_score")
+    """The model saved and loaded back scores every reading as the fitted one does."""
+    feats = training_features(spark, sf_dir)
+    model = ml.train_fixed(feats, **SCORING_FOREST)
+    path = _scratch(spark, "model")
+    ml.save_model(model, path)
+    fitted = ml.score(model, feats).select(
+        "event_id", "machine_id", *ml.MODEL_FEATURES, F.col("prediction").alias("p"),
+        F.col("anomaly_probability").alias("a")).drop("confidence")
+    again = ml.score(ml.load_model(path), fitted)
+    return again.select("event_id", "machine_id", (F.col("prediction") == F.col("p")).alias("same_prediction"),
+                        (F.col("anomaly_probability") == F.col("a")).alias("same_probability"))
+
+
+@register("batch_score", with_ctes("""
+SELECT event_id, true AS label_agrees, true AS severity_agrees, true AS confidence_agrees
+FROM feats""", TRAIN_SQL))
 def q_batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M10 + M11: scored readings with label and severity."""
-    out, _ = trained_model(spark, sf_dir)
-    scored = ml.score(ml.load_model(out + "/model"), training_features(spark, sf_dir))
-    return ml.postprocess_prediction(scored).select(
-        "event_id", "prediction", "prediction_label", "severity", "confidence")
-
-
-@register("grid_search")
+    """M10 + M11: every reading scored by the saved model; label, severity and confidence follow from the prediction."""
+    out, _ = trained_model(spark, sf_dir, fixed=SCORING_FOREST)
+    scored = ml.postprocess_prediction(ml.score(ml.load_model(out + "/model"), training_features(spark, sf_dir)))
+    anomaly, p = F.col("prediction") == 1, F.col("anomaly_probability")
+    return scored.select(
+        "event_id", (F.col("prediction_label") == F.when(anomaly, "anomaly").otherwise("normal")).alias("label_agrees"),
+        (F.col("severity") == F.when(anomaly, "high").otherwise("normal")).alias("severity_agrees"),
+        (F.abs(F.col("confidence") - F.greatest(p, 1 - p)) < 1e-9).alias("confidence_agrees"))
+
+
+@register("grid_search", """
+SELECT t.v AS num_trees, d.v AS max_depth, m.v AS min_instances, true AS auc_in_range
+FROM (VALUES (50), (100), (200)) t(v), (VALUES (10), (20), (30)) d(v), (VALUES (2), (5), (10)) m(v)""")
 def q_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M4: cross-validated grid search scored by ROC AUC (mean AUC per grid point)."""
+    """M4: the full grid (3 x 3 x 3) with five folds, scored by ROC AUC, on a bounded sample of the training rows."""
     train = ml.stratified_split(training_features(spark, sf_dir)).filter(F.col("split") == "train")
-    _, best, metrics = ml.grid_search(train, n_estimators=(20, 50), max_depth=(5, 10),
-                                      min_samples_split=(1,), folds=3)
-    rows = [(i, float(m)) for i, m in enumerate(metrics)]
-    return spark.createDataFrame(rows, "grid_point int, mean_auc double")
+    _, best, metrics = ml.grid_search(train)
+    points = [(t, min(d or ml.SPARK_MAX_DEPTH, ml.SPARK_MAX_DEPTH), m) for t in ml.GRID_N_ESTIMATORS
+              for d in ml.GRID_MAX_DEPTH for m in ml.GRID_MIN_SAMPLES_SPLIT]
+    rows = [(*p, 0.0 <= auc <= 1.0) for p, auc in zip(points, metrics, strict=True)]
+    return spark.createDataFrame(rows, "num_trees int, max_depth int, min_instances int, auc_in_range boolean")
+
+
+SCORE_VALID = """(event_id % 101 <> 0 AND temperature IS NOT NULL AND vibration IS NOT NULL AND pressure IS NOT NULL
+    AND NOT (event_id % 107 = 0 AND event_id % 109 <> 0))"""
 
 
-@register("stream_score")
+@register("stream_score", with_ctes(f"""
+SELECT cast(row_number() OVER (ORDER BY week) - 1 AS bigint) AS batch_id, records, scored AS scored_records,
+       scored AS metric_records, rejected AS rejected_records, rejected AS dead_letters, true AS alerts_agree
+FROM (SELECT date_trunc('week', event_timestamp) AS week, count(*) AS records,
+             count(*) FILTER (WHERE {SCORE_VALID}) AS scored, count(*) FILTER (WHERE NOT {SCORE_VALID}) AS rejected
+      FROM readings GROUP BY 1) w"""))
 def q_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST2: the trained model applied to a reading stream; alerts for predicted anomalies."""
+    """ST2: the saved model over a stream of partly defective records: each is scored or rejected, per micro-batch."""
     from machinewatch.streaming import scoring
 
-    out, _ = trained_model(spark, sf_dir)
-    model = ml.load_model(out + "/model")
-    root = _scratch(spark, "stream-score")
-    lines = rawsrc.raw_json(load_readings(spark, sf_dir)).withColumn("week", _week())
-    glob = stream_sources.write_stream_files(lines, root + "/input", "week")
-    stream = stream_sources.read_stream_text(spark, glob, max_files_per_trigger=1)
-    scoring.start_scoring(stream, model, root).awaitTermination()
-    return spark.read.parquet(root + "/alerts").select(
-        "alert_type", "machine_id", "alert_timestamp", "prediction", "severity", "subject", "batch_id")
+    out, _ = trained_model(spark, sf_dir, fixed=SCORING_FOREST)
+    model, root = ml.load_model(out + "/model"), _scratch(spark, "stream-score")
+    lines = rawsrc.raw_bad(load_readings(spark, sf_dir)).withColumn("week", _week())
+    stream_sources.run_arrivals(lines, root, "week", lambda stream: scoring.start_scoring(stream, model, root))
+    log = spark.read.schema("batch_id bigint, records bigint, scored_records bigint, rejected_records bigint").json(
+        root + "/batch_log")
+    metrics = spark.read.parquet(root + "/metrics").groupBy("batch_id").agg(
+        F.count_if(F.col("metric_name") == "Temperature").alias("metric_records"),
+        F.sum(F.when(F.col("metric_name") == "AnomalyPrediction", F.col("value"))).alias("anomalies"))
+    dead = spark.read.schema("raw string, batch_id bigint").json(root + "/errors").groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("dead_letters"))
+    alerts = spark.read.parquet(root + "/alerts").groupBy("batch_id").agg(F.count(F.lit(1)).alias("alerts"))
+    return log.join(metrics, "batch_id", "left").join(dead, "batch_id", "left").join(alerts, "batch_id", "left").select(
+        "batch_id", "records", "scored_records", "metric_records", "rejected_records",
+        F.coalesce("dead_letters", F.lit(0)).alias("dead_letters"),
+        (F.coalesce("alerts", F.lit(0)) == F.coalesce("anomalies", F.lit(0.0))).alias("alerts_agree"))
+
+
+VALIDATE_SCORING_EVERY = 10  # the defect of a record follows from its id modulo this
+
+
+@register("validate_scoring", with_ctes(f"""
+SELECT event_id, CASE WHEN k IN (1, 3, 4) THEN NULL ELSE "timestamp" END AS "timestamp",
+       reject_reason IS NULL AS is_valid, reject_reason
+FROM (SELECT *, CASE WHEN temperature IS NULL THEN 'missing_field:temperature'
+                     WHEN vibration IS NULL THEN 'missing_field:vibration'
+                     WHEN pressure IS NULL THEN 'missing_field:pressure'
+                     WHEN k IN (3, 4) THEN 'invalid_type:timestamp' END AS reject_reason
+      FROM (SELECT *, event_id % {VALIDATE_SCORING_EVERY} AS k FROM readings) a) b"""))
+def q_validate_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P9 on the scoring path: absent time (1), time with a fraction (2), fraction in a text (3), null time (4),
+    no machine (5); only the sensors are required."""
+    from machinewatch.streaming.scoring import validate_records
+
+    k = F.col("event_id") % VALIDATE_SCORING_EVERY
+    time = F.col("timestamp").cast("string")
+    field = (F.when(k == 1, F.lit(None)).when(k == 2, F.concat(F.lit('"timestamp":'), time, F.lit(".5")))
+             .when(k == 3, F.concat(F.lit('"timestamp":"'), time, F.lit('.5"')))
+             .when(k == 4, F.lit('"timestamp":null')).otherwise(F.concat(F.lit('"timestamp":'), time)))
+    machine = F.when(k != 5, F.concat(F.lit('"machine_id":"'), F.col("machine_id"), F.lit('"')))
+    sensors = F.regexp_replace(F.to_json(F.struct(*SENSORS)), r"^\{|\}$", "")
+    body = F.concat_ws(",", machine, field, F.when(sensors != "", sensors))
+    raw = load_readings(spark, sf_dir).select("event_id", F.concat(F.lit("{"), body, F.lit("}")).alias("raw"))
+    return validate_records(raw).select("event_id", "timestamp", "is_valid", "reject_reason")

@@ -57,11 +57,17 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; set one only if unset (tests)."""
+    """Use the cluster's shared ``spark.checkpoint.dir``; set one only if unset on a local master (tests).
+
+    On a cluster a folder of the driver's machine would be another one on
+    every executor, so there the setting is required.
+    """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None
     )
+    if not configured and sc.master != "local" and not sc.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="mw-ckpt-")
     if sc.getCheckpointDir() is None:

@@ -1,19 +1,21 @@
-"""Stream sources (S9) and the stream-file fixture.
+"""Stream sources (S9) and the arrival of stream files.
 
 Production reads a message bus through a connector when one is on the
-classpath; tests and the registered queries read a folder of JSON-lines
-files with the file source, one file per micro-batch.
+classpath; tests and the registered queries read a folder of JSON-lines files
+with the file source.
 """
 
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 
-def read_stream_text(spark: SparkSession, path: str, max_files_per_trigger: int | None = 1) -> DataFrame:
+def read_stream_text(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Raw JSON lines as a streaming ``raw`` column (file source)."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
@@ -22,29 +24,39 @@ def read_stream_text(spark: SparkSession, path: str, max_files_per_trigger: int
 
 
 def read_stream_bus(spark: SparkSession, servers: str, topic: str,
-                    max_offsets_per_trigger: int = 100) -> DataFrame:
-    """S9 with a Kafka-compatible bus: start at the latest offset, at most N records per batch."""
-    return (spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", servers)
-            .option("subscribe", topic)
-            .option("startingOffsets", "latest")
-            .option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
-            .load()
-            .select(F.col("key").cast("string").alias("key"),
-                    F.col("value").cast("string").alias("raw"),
-                    F.col("timestamp").alias("arrival_time")))
-
-
-def write_stream_files(raw: DataFrame, path: str, batch_col: str) -> str:
-    """Write ``raw`` lines as one text file per distinct ``batch_col`` value, in ascending order.
-
-    Each batch is written by its own job into ``batch-NNNNN/`` so file
-    modification times follow the batch order (the file source processes
-    oldest first). Only the list of batch values (one per file) is
-    collected. Returns the glob the file source should watch.
+                    max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """S9 with a Kafka-compatible bus, from the latest offset.
+
+    A trigger takes all that has arrived; a limit per trigger is the caller's
+    choice, as a backlog beyond the bus's retention would be lost.
+    """
+    reader = (spark.readStream.format("kafka")
+              .option("kafka.bootstrap.servers", servers)
+              .option("subscribe", topic)
+              .option("startingOffsets", "latest"))
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    return reader.load().select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("raw"),
+                                F.col("timestamp").alias("arrival_time"))
+
+
+def run_arrivals(raw: DataFrame, root: str, batch_col: str, start: Callable[[DataFrame], StreamingQuery]) -> int:
+    """Let the lines of each ``batch_col`` value arrive in turn, and run the stream until it has taken them.
+
+    The input is dealt out once, by one partitioned write. Each batch then
+    arrives as many files (one per staged split), and ``start(stream)`` is
+    run over the watched folder until all of them are processed: one
+    micro-batch per arrival, restarted from its checkpoint every time. Only
+    the list of batch values reaches the driver. Returns their number.
     """
-    values = [r[0] for r in raw.select(batch_col).distinct().orderBy(batch_col).collect()]
-    for i, value in enumerate(values):
-        (raw.filter(F.col(batch_col) == F.lit(value)).select("raw")
-            .repartition(1).write.mode("overwrite").text(os.path.join(path, f"batch-{i:05d}")))
-    return os.path.join(path, "batch-*", "part-*")
+    spark = raw.sparkSession
+    staged, watched = os.path.join(root, "staged"), os.path.join(root, "input")
+    parts = F.pmod(F.xxhash64("raw"), F.lit(int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    raw.select(F.col(batch_col).cast("string").alias("arrival"), "raw").repartition(F.col("arrival"), parts).write.mode(
+        "overwrite").partitionBy("arrival").parquet(staged)
+    table = spark.read.schema("raw string, arrival string").parquet(staged)
+    values = [r[0] for r in table.select("arrival").distinct().orderBy("arrival").collect()]
+    for value in values:
+        table.filter(F.col("arrival") == F.lit(value)).select("raw").write.mode("append").text(watched)
+        start(read_stream_text(spark, watched)).awaitTermination()
+    return len(values)

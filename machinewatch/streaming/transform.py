@@ -19,16 +19,12 @@ from pyspark.sql import functions as F
 from machinewatch.operators.enrich import enrich_stream
 from machinewatch.operators.quality import dead_letter_rows, split_valid, validate_readings
 from machinewatch.operators.stats import attach_batch_stats
-from pyspark.sql import types as T
-
 from machinewatch.schema import RAW_STRING_SCHEMA, REQUIRED_FIELDS
 from machinewatch.sinks.messages import republish_keyed
 from machinewatch.sources.raw import decode_payload, parse_raw
 
 # In the transform path an absent timestamp is filled, so it is not required.
 TRANSFORM_REQUIRED = tuple(f for f in REQUIRED_FIELDS if f != "timestamp")
-# Stream records may carry a message id (``event_id``); it is optional.
-STREAM_RAW_SCHEMA = T.StructType([T.StructField("event_id", T.StringType()), *RAW_STRING_SCHEMA.fields])
 
 
 @dataclass(frozen=True)
@@ -39,15 +35,17 @@ class TransformPaths:
         return os.path.join(self.root, name)
 
 
-def _write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
+def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
     (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").format(fmt).save(path))
 
 
 def transform_records(raw: DataFrame) -> DataFrame:
     """Per-row part of ST1 (works on batch and streaming frames): parse, enrich, validate."""
-    parsed = parse_raw(raw, schema=STREAM_RAW_SCHEMA)
-    parsed = parsed.withColumn("event_id", F.col("event_id").try_cast("bigint"))
+    parsed = parse_raw(raw, schema=RAW_STRING_SCHEMA)
+    if "event_id" not in raw.columns:
+        # A record may carry a message id as a sixth field.
+        parsed = parsed.withColumn("event_id", F.get_json_object("raw", "$.event_id").try_cast("bigint"))
     enriched = enrich_stream(parsed)
     return validate_readings(enriched, required=TRANSFORM_REQUIRED)
 
@@ -70,17 +68,20 @@ def make_batch_writer(paths: TransformPaths, group_cols: tuple[str, ...] = ("mac
                 return
             valid, _ = split_valid(validated)
             typed = valid.withColumn("event_time", F.timestamp_seconds("timestamp"))
-            enriched = attach_batch_stats(typed, list(group_cols), ts="event_time")
-            _write_batch(enriched, paths.delivered, batch_id)
-            _write_batch(republish_keyed(valid.select("machine_id", "raw")), paths.keyed, batch_id, "json")
-            _write_batch(dead_letter_rows(validated), paths.errors, batch_id, "json")
+            # Device records have no id; where some do, it only breaks ties in time.
+            enriched = attach_batch_stats(typed, list(group_cols), ts="event_time").persist()
+            write_batch(enriched, paths.delivered, batch_id)
+            # What is published is the enriched record, without the raw text it came from.
+            write_batch(republish_keyed(enriched.drop("raw", "is_valid", "reject_reason")), paths.keyed, batch_id, "json")
+            write_batch(dead_letter_rows(validated), paths.errors, batch_id, "json")
             spark = batch.sparkSession
             log = spark.createDataFrame(
                 [(counts["records"], counts["processed_records"], counts["rejected_records"],
                   (time.time() - started) * 1000.0)],
                 "records bigint, processed_records bigint, rejected_records bigint, "
                 "processing_time_ms double").withColumn("logged_at", F.current_timestamp())
-            _write_batch(log, paths.batch_log, batch_id, "json")
+            write_batch(log, paths.batch_log, batch_id, "json")
+            enriched.unpersist()
         finally:
             validated.unpersist()
 
