@@ -722,6 +722,13 @@ def _validated_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_transform.transform_records(raw)
 
 
+def _rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rollup as a written table: the alarms read it several times, the records once."""
+    path = _scratch(spark, "rollup")
+    stream_windows.window_rollup(_validated_records(spark, sf_dir)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 BUCKET_SQL = """CAST(TIMESTAMP '1970-01-01 00:00:00'
     + to_seconds(cast(floor(epoch(event_timestamp) / 300) * 300 AS bigint)) AS timestamp)"""
 ROLLUP_SQL = f"""rollup AS (
@@ -749,7 +756,7 @@ FROM {source} w LEFT JOIN {source} p ON p.window_start + INTERVAL 300 SECOND = w
 @register("alarm_errors", with_ctes(_alarm_sql("errors", "{v} > 5", "rollup"), ROLLUP_SQL))
 def q_alarm_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST5: errors > 5 in two consecutive 300 s periods."""
-    return stream_windows.alarm_errors(stream_windows.window_rollup(_validated_records(spark, sf_dir)))
+    return stream_windows.alarm_errors(_rollup(spark, sf_dir))
 
 
 @register("alarm_low_throughput", with_ctes(_alarm_sql("records", "{v} < 100", "filled"), ROLLUP_SQL, """
@@ -761,11 +768,67 @@ filled AS (
 )"""))
 def q_alarm_low_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST6: input < 100 records in two consecutive 300 s periods (empty periods count as 0)."""
-    return stream_windows.alarm_low_throughput(
-        stream_windows.window_rollup(_validated_records(spark, sf_dir)))
+    return stream_windows.alarm_low_throughput(_rollup(spark, sf_dir))
+
+
+# The same as streams: weekly arrivals, the query restarted from its checkpoint for each.
+_WHOLE_LINE = '''concat('{"machine_id":"', machine_id, '","timestamp":', "timestamp",
+        ',"vibration":', cast(k AS varchar), ',"pressure":', cast(k * 7 AS varchar),
+        CASE WHEN k % 9 = 0 THEN '' ELSE concat(',"temperature":', cast(k * 3 AS varchar)) END, '}')'''
+STREAM_ROLLUP_SQL = f"""lines AS (
+    SELECT event_timestamp, k, {_WHOLE_LINE} AS raw
+    FROM (SELECT *, event_id % 100 AS k FROM readings) r
+),
+rollup AS (
+    SELECT {BUCKET_SQL} AS window_start, {BUCKET_SQL} + INTERVAL 300 SECOND AS window_end, count(*) AS records,
+           cast(sum(length(raw)) AS bigint) AS bytes, count(*) FILTER (WHERE k % 9 = 0) AS errors
+    FROM lines GROUP BY 1, 2
+)"""
+
+
+def _stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST7's stream over records with whole numbers (every ninth of 100 without a temperature)."""
+    k = F.col("event_id") % 100
+    raw = F.concat(
+        F.lit('{"machine_id":"'), F.col("machine_id"), F.lit('","timestamp":'), F.col("timestamp").cast("string"),
+        F.lit(',"vibration":'), k.cast("string"), F.lit(',"pressure":'), (k * 7).cast("string"),
+        F.when(k % 9 == 0, F.lit("")).otherwise(F.concat(F.lit(',"temperature":'), (k * 3).cast("string"))), F.lit("}"))
+    root = _scratch(spark, "stream-rollup")
 
+    def start(stream: DataFrame):
+        records = stream_transform.transform_records(stream)
+        return stream_windows.start_rollup(records.withColumn("event_time", F.timestamp_seconds("timestamp")), root)
 
-@register("late_split", with_ctes(f"""
+    lines = load_readings(spark, sf_dir).select(raw.alias("raw"), _week().alias("week"))
+    stream_sources.run_arrivals(lines, root, "week", start)
+    return stream_windows.read_rollup(spark, root)
+
+
+@register("stream_rollup", with_ctes("SELECT * FROM rollup", STREAM_ROLLUP_SQL))
+def q_stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST7 as a stream: records, bytes and rejected records per 300 s window."""
+    return _stream_rollup(spark, sf_dir)
+
+
+@register("stream_alarm_errors", with_ctes(_alarm_sql("errors", "{v} > 5", "rollup"), STREAM_ROLLUP_SQL))
+def q_stream_alarm_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST5 over the windows that the rollup stream wrote."""
+    return stream_windows.alarm_errors(_stream_rollup(spark, sf_dir))
+
+
+@register("stream_alarm_low_throughput", with_ctes(_alarm_sql("records", "{v} < 100", "filled"), STREAM_ROLLUP_SQL, """
+filled AS (
+    SELECT s.window_start, cast(coalesce(r.records, 0) AS bigint) AS records
+    FROM (SELECT unnest(generate_series(min(window_start), max(window_start), INTERVAL 300 SECOND))
+                 AS window_start FROM rollup) s
+    LEFT JOIN rollup r USING (window_start)
+)"""))
+def q_stream_alarm_low_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST6 over the windows that the rollup stream wrote."""
+    return stream_windows.alarm_low_throughput(_stream_rollup(spark, sf_dir))
+
+
+_LATE_SQL = with_ctes(f"""
 SELECT event_id, arrival_week,
        coalesce(event_timestamp < prior_max - INTERVAL 24 HOUR, false) AS is_late
 FROM arr JOIN (
@@ -777,7 +840,10 @@ FROM arr JOIN (
                    THEN cast(date_trunc('week', event_timestamp) AS timestamp) + INTERVAL 7 DAY
                    ELSE cast(date_trunc('week', event_timestamp) AS timestamp) END AS arrival_week
     FROM readings
-)"""))
+)""")
+
+
+@register("late_split", _LATE_SQL)
 def q_late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST8: rows older than the 24 h retention behind earlier batches are routed as late."""
     arrived = _arrival_week(load_readings(spark, sf_dir))
@@ -786,6 +852,27 @@ def q_late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("event_id", "arrival_week", "is_late")
 
 
+@register("stream_late_split", _LATE_SQL)
+def q_stream_late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST8 as a stream: late rows are routed aside, micro-batch by micro-batch."""
+    root = _scratch(spark, "stream-late")
+    arrived = _arrival_week(load_readings(spark, sf_dir))
+    fields = F.struct("event_id", F.col("event_timestamp").cast("string").alias("event_time"),
+                      F.col("arrival_week").cast("string").alias("arrival_week"))
+    lines = arrived.select(F.to_json(fields).alias("raw"), F.col("arrival_week").alias("week"))
+
+    def start(stream: DataFrame):
+        records = stream.select(F.from_json(
+            "raw", "event_id bigint, event_time timestamp_ntz, arrival_week timestamp_ntz").alias("r")).select("r.*")
+        return (records.writeStream.foreachBatch(stream_windows.late_router(root))
+                .option("checkpointLocation", root + "/checkpoint").trigger(availableNow=True).start())
+
+    stream_sources.run_arrivals(lines, root, "week", start)
+    late, on_time = (spark.read.schema("event_id bigint, arrival_week timestamp_ntz, is_late boolean").parquet(
+        f"{root}/{sub}") for sub in ("late", "on_time"))
+    return late.unionByName(on_time).select("event_id", "arrival_week", "is_late")
+
+
 # ---------------------------------------------------------------------------
 # Machine learning (M1-M12, S17, S21, S22, ST2)
 # ---------------------------------------------------------------------------

@@ -74,6 +74,8 @@ ALARM_PERIOD_SECONDS = 300
 ALARM_ERROR_THRESHOLD = 5
 ALARM_LOW_INPUT_THRESHOLD = 100
 ALARM_EVALUATION_PERIODS = 2
+# Event times outside these are taken for errors where periods are enumerated.
+PLAUSIBLE_TIMES = ("2000-01-01 00:00:00", "2100-01-01 00:00:00")
 # Stream retention: 24 hours.
 RETENTION = "24 hours"
 # Alerts and metrics.

@@ -13,7 +13,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import functions as F
 
@@ -22,10 +22,12 @@ from machinewatch.schema import (
     ALARM_ERROR_THRESHOLD,
     ALARM_LOW_INPUT_THRESHOLD,
     ALARM_PERIOD_SECONDS,
+    PLAUSIBLE_TIMES,
     RETENTION,
     READING_SCHEMA,
 )
 from machinewatch.sources.raw import decode_payload
+from machinewatch.streaming.transform import write_batch
 
 PERIOD = f"{ALARM_PERIOD_SECONDS} seconds"
 
@@ -52,11 +54,24 @@ def streaming_rollup(stream: DataFrame, ts: str = "event_time", watermark: str =
     return window_rollup(stream.withWatermark(ts, watermark), ts, period)
 
 
-def window_spine(windows: DataFrame, period_seconds: int = ALARM_PERIOD_SECONDS) -> DataFrame:
-    """All period starts between the first and last observed window (empty ones included)."""
-    bounds = windows.agg(F.min("window_start").alias("lo"), F.max("window_start").alias("hi"))
-    step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(period_seconds))
-    return bounds.select(F.explode(F.sequence("lo", "hi", step)).alias("window_start"))
+def window_spine(windows: DataFrame, period_seconds: int = ALARM_PERIOD_SECONDS,
+                 block: int = 1024) -> DataFrame:
+    """All period starts between the first and last observed window (empty ones included).
+
+    Built block by block, so the blocks spread over tasks. Window starts
+    outside ``PLAUSIBLE_TIMES`` (a time in milliseconds, say) take no part.
+    """
+    low, high = (F.lit(t).cast("timestamp_ntz") for t in PLAUSIBLE_TIMES)
+    start = F.col("window_start")
+    bounds = windows.filter((start >= low) & (start < high)).agg(
+        F.min(start).alias("lo"), F.max(start).alias("hi"))
+    seconds = F.unix_seconds(F.col("hi").cast("timestamp")) - F.unix_seconds(F.col("lo").cast("timestamp"))
+    blocks = bounds.filter(F.col("lo").isNotNull()).withColumn("n", F.floor(seconds / period_seconds)).select(
+        "lo", "n", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(F.col("n") / block))).alias("block"))
+    periods = blocks.repartition("block").select("lo", "n", F.explode(F.sequence(
+        F.col("block") * block, F.col("block") * block + (block - 1))).alias("i")).filter(F.col("i") <= F.col("n"))
+    return periods.select((F.col("lo") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), F.col("i") * period_seconds)).alias("window_start"))
 
 
 def consecutive_breach(windows: DataFrame, value_col: str, breach: Column,
@@ -118,31 +133,59 @@ def late_split(df: DataFrame, batch_col: str = "batch_id", ts: str = "event_time
         "is_late", F.coalesce(F.col(ts) < bound, F.lit(False))).drop("_prior_max")
 
 
+def start_rollup(stream: DataFrame, root: str, ts: str = "event_time", available_now: bool = True) -> StreamingQuery:
+    """ST7 as a stream: every micro-batch writes the windows it changed under its batch id.
+
+    A replayed batch replaces its own rows; ``read_rollup`` takes each
+    window's latest state, over which the alarms (ST5, ST6) are evaluated.
+    """
+    writer = (streaming_rollup(stream, ts).writeStream.outputMode("update")
+              .foreachBatch(lambda batch, batch_id: write_batch(batch, os.path.join(root, "rollup"), batch_id))
+              .option("checkpointLocation", os.path.join(root, "checkpoint")))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="60 seconds")
+    return writer.start()
+
+
+def read_rollup(spark: SparkSession, root: str) -> DataFrame:
+    """The windows as last written by ``start_rollup``."""
+    rows = spark.read.parquet(os.path.join(root, "rollup"))
+    values = [c for c in rows.columns if c not in ("window_start", "window_end", "batch_id")]
+    latest = rows.groupBy("window_start", "window_end").agg(F.max_by(F.struct(*values), "batch_id").alias("_v"))
+    return latest.select("window_start", "window_end", "_v.*")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 def late_router(paths_root: str, ts: str = "event_time", retention: dt.timedelta = dt.timedelta(hours=24)):
     """ST8 (stream form): ``foreachBatch`` body routing rows older than the running
-    watermark to ``late/`` and the rest to ``on_time/``; the running max event
-    time of earlier batches is kept in a one-row table under ``state/``."""
+    watermark to ``late/`` and the rest to ``on_time/``.
+
+    ``state/`` holds the latest event time up to each batch. A batch reads its
+    predecessor's row only; a replayed batch sees the same one. Without any
+    state nothing is late; a state that cannot be read fails the batch.
+    """
     state_path = os.path.join(paths_root, "state")
 
     def route(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        try:
-            prior = spark.read.parquet(state_path).filter(F.col("batch_id") < batch_id) \
-                .agg(F.max("batch_max").alias("m")).first()["m"]
-        except Exception:  # noqa: BLE001 - no state yet on the first batch
-            prior = None
+        spark, prior = batch.sparkSession, None
+        if _exists(spark, state_path):
+            state = spark.read.schema("latest timestamp_ntz, batch_id bigint").parquet(state_path)
+            prior = state.filter(F.col("batch_id") < batch_id).agg(F.max("latest").alias("m")).first()["m"]
         marked = batch.withColumn(
             "is_late",
-            F.lit(False) if prior is None else F.col(ts) < F.lit(prior - retention).cast("timestamp_ntz"))
+            F.lit(False) if prior is None else
+            F.coalesce(F.col(ts).cast("timestamp_ntz") < F.lit(prior - retention).cast("timestamp_ntz"), F.lit(False)))
         marked = marked.persist()
         try:
             for flag, sub in ((True, "late"), (False, "on_time")):
-                (marked.filter(F.col("is_late") == flag).withColumn("batch_id", F.lit(batch_id))
-                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy("batch_id").parquet(os.path.join(paths_root, sub)))
-            (marked.agg(F.max(ts).alias("batch_max")).withColumn("batch_id", F.lit(batch_id))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(state_path))
+                write_batch(marked.filter(F.col("is_late") == flag), os.path.join(paths_root, sub), batch_id)
+            newest = F.max(F.col(ts).cast("timestamp_ntz"))
+            if prior is not None:
+                newest = F.greatest(newest, F.lit(prior).cast("timestamp_ntz"))
+            write_batch(marked.agg(newest.alias("latest")).coalesce(1), state_path, batch_id)
         finally:
             marked.unpersist()
 

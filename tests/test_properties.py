@@ -67,10 +67,9 @@ def test_streaming_rollup_equals_batch(spark):
     root = tempfile.mkdtemp(prefix="mw-roll-test-")
     readings = load_readings(spark, SMALL)
     raw = rawsrc.raw_json(readings).withColumn("week", F.date_trunc("week", "event_timestamp"))
-    glob = ss.write_stream_files(raw.withColumn(
-        "raw", F.concat(F.lit('{"event_time":"'), F.col("event_timestamp").cast("string"),
-                        F.lit('",'), F.expr("substr(raw, 2)"))), root + "/in", "week")
-    stream = ss.read_stream_text(spark, glob).select(
+    raw.select(F.concat(F.lit('{"event_time":"'), F.col("event_timestamp").cast("string"),
+                        F.lit('",'), F.expr("substr(raw, 2)")).alias("raw")).write.text(root + "/in")
+    stream = ss.read_stream_text(spark, root + "/in").select(
         "raw", F.get_json_object("raw", "$.event_time").cast("timestamp").alias("event_time"))
     agg = windows.window_rollup(stream.withWatermark("event_time", "24 hours"), valid_col=None)
     q = (agg.writeStream.outputMode("update").format("memory").queryName("rollup_test")
