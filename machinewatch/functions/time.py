@@ -39,6 +39,20 @@ def resolve_as_of(df: DataFrame, ts: str = "event_timestamp") -> dt.datetime:
     return value
 
 
+def resolve_as_of_stored(stored: DataFrame, ts: str = "event_timestamp") -> dt.datetime:
+    """Latest event time of the day-partitioned table, read from its newest day only.
+
+    The first aggregate touches partition columns alone; the second scans one
+    day's folders.
+    """
+    day = F.max(F.struct("year", "month", "day")).alias("d")
+    newest = stored.select("year", "month", "day").distinct().agg(day).first()["d"]
+    if newest is None:
+        return dt.datetime(1970, 1, 1)
+    return resolve_as_of(stored.filter(
+        (F.col("year") == newest["year"]) & (F.col("month") == newest["month"]) & (F.col("day") == newest["day"])), ts)
+
+
 def now_utc() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 

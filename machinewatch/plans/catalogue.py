@@ -20,7 +20,8 @@ from machinewatch.functions.features import (
     percent,
     score_level,
 )
-from machinewatch.functions.time import recent
+from machinewatch.functions.time import prune_recent
+from machinewatch.schema import EFFICIENCY_LIMITS, ENERGY_LIMITS
 
 
 
@@ -49,13 +50,13 @@ def recent_readings(sd: DataFrame, as_of: dt.datetime, limit: int = 100) -> Data
     cols = ["machine_id", "temperature", "vibration", "pressure", "event_timestamp",
             "total_anomaly_score"]
     order = [_ts().desc()] + ([F.col("event_id").desc()] if "event_id" in sd.columns else [])
-    return recent(sd, as_of, "24h").orderBy(*order).limit(limit).select(*cols)
+    return prune_recent(sd, as_of, "24h").orderBy(*order).limit(limit).select(*cols)
 
 
 def machine_summary(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Q2: per-machine count, averages, temperature max/min/stddev, last 7 days."""
     return (
-        recent(sd, as_of, "7d")
+        prune_recent(sd, as_of, "7d")
         .groupBy("machine_id")
         .agg(
             F.count(F.lit(1)).alias("total_readings"),
@@ -73,7 +74,7 @@ def machine_summary(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
 def recent_anomalies(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Q3: readings with score > 0 in the last 24 h, with severity."""
     return (
-        recent(sd, as_of, "24h")
+        prune_recent(sd, as_of, "24h")
         .filter(_score() > 0)
         .select(
             "machine_id", "temperature", "vibration", "pressure", "total_anomaly_score",
@@ -86,7 +87,7 @@ def recent_anomalies(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
 def anomaly_trends(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Q4: daily anomaly counts and percentage per machine, last 30 days."""
     return (
-        recent(sd, as_of, "30d")
+        prune_recent(sd, as_of, "30d")
         .groupBy("machine_id", _date().alias("date"))
         .agg(F.count(F.lit(1)).alias("total_readings"), _anomalies().alias("anomaly_count"))
         .withColumn("anomaly_percentage", percent(F.col("anomaly_count"), F.col("total_readings")))
@@ -97,7 +98,7 @@ def anomaly_trends(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
 def temp_by_hour(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Q5: temperature by hour of day per machine, last 7 days."""
     return (
-        recent(sd, as_of, "7d")
+        prune_recent(sd, as_of, "7d")
         .groupBy("machine_id", _hour().alias("hour_of_day"))
         .agg(
             F.count(F.lit(1)).alias("total_readings"),
@@ -112,7 +113,7 @@ def temp_by_hour(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
 def hourly_averages(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Q6: per machine, date and hour averages, last 7 days."""
     return (
-        recent(sd, as_of, "7d")
+        prune_recent(sd, as_of, "7d")
         .groupBy("machine_id", _date().alias("date"), _hour().alias("hour"))
         .agg(
             F.avg("temperature").alias("avg_temperature"),
@@ -127,7 +128,7 @@ def hourly_averages(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
 def daily_trends(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Q7: daily averages and temperature volatility, last 30 days."""
     return (
-        recent(sd, as_of, "30d")
+        prune_recent(sd, as_of, "30d")
         .groupBy("machine_id", _date().alias("date"))
         .agg(
             F.avg("temperature").alias("avg_temperature"),
@@ -143,7 +144,7 @@ def daily_trends(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
 def machine_comparison(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Q8: per-machine statistics then anomaly rate, highest rate first."""
     stats = (
-        recent(sd, as_of, "7d")
+        prune_recent(sd, as_of, "7d")
         .groupBy("machine_id")
         .agg(
             F.avg("temperature").alias("avg_temp"),
@@ -161,7 +162,7 @@ def machine_comparison(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
 
 def _fleet_averages(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
     return (
-        recent(sd, as_of, "7d")
+        prune_recent(sd, as_of, "7d")
         .groupBy("machine_id")
         .agg(
             F.avg("temperature").alias("avg_temperature"),
@@ -176,12 +177,9 @@ def _fleet_averages(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
 def efficiency_ranking(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Q9: efficiency rating from the 7-day averages (text order of the rating)."""
     t, v, p = F.col("avg_temperature"), F.col("avg_vibration"), F.col("avg_pressure")
-    rating = (
-        F.when((t < 60) & (v < 1.5) & (p < 120), F.lit("EXCELLENT"))
-        .when((t < 70) & (v < 2.0) & (p < 140), F.lit("GOOD"))
-        .when((t < 80) & (v < 2.5) & (p < 160), F.lit("FAIR"))
-        .otherwise(F.lit("POOR"))
-    )
+    rating = F.lit("POOR")
+    for name, (max_t, max_v, max_p) in reversed(EFFICIENCY_LIMITS.items()):
+        rating = F.when((t < max_t) & (v < max_v) & (p < max_p), F.lit(name)).otherwise(rating)
     return (
         _fleet_averages(sd, as_of)
         .withColumn("efficiency_rating", rating)
@@ -192,7 +190,7 @@ def efficiency_ranking(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
 def attention_needed(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Q10: machines with at least one reading of score >= 2 in the last 24 h."""
     return (
-        recent(sd, as_of, "24h")
+        prune_recent(sd, as_of, "24h")
         .groupBy("machine_id")
         .agg(
             F.count(F.lit(1)).alias("total_readings"),
@@ -216,7 +214,7 @@ def maintenance_trend(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
     readings; the three LAGs share one spec and so one Window node.
     """
     daily = (
-        recent(sd, as_of, "14d")
+        prune_recent(sd, as_of, "14d")
         .groupBy("machine_id", _date().alias("date"))
         .agg(
             F.avg("temperature").alias("avg_temp"),
@@ -244,7 +242,7 @@ def maintenance_trend(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
 def peak_hours(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Q12: fleet-wide load by hour of day, busiest first."""
     return (
-        recent(sd, as_of, "7d")
+        prune_recent(sd, as_of, "7d")
         .groupBy(_hour().alias("hour_of_day"))
         .agg(
             F.count(F.lit(1)).alias("total_readings"),
@@ -261,7 +259,7 @@ def weekly_summary(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Q13: weekly (Monday-start) averages and anomaly rate, last 8 weeks."""
     week = F.date_trunc("week", _ts()).cast("timestamp_ntz")
     return (
-        recent(sd, as_of, "8w")
+        prune_recent(sd, as_of, "8w")
         .groupBy("machine_id", week.alias("week_start"))
         .agg(
             F.count(F.lit(1)).alias("weekly_readings"),
@@ -280,7 +278,7 @@ def weekly_summary(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
 def completeness(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Share of non-null sensor values per machine, last 7 days."""
     out = (
-        recent(sd, as_of, "7d")
+        prune_recent(sd, as_of, "7d")
         .groupBy("machine_id")
         .agg(
             F.count(F.lit(1)).alias("total_records"),
@@ -302,7 +300,7 @@ def completeness(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
 def outliers(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Q15: readings outside the outlier ranges in the last 24 h, typed by first match."""
     return (
-        recent(sd, as_of, "24h")
+        prune_recent(sd, as_of, "24h")
         .filter(outlier_predicate())
         .select(
             "machine_id", "temperature", "vibration", "pressure", "event_timestamp",
@@ -315,11 +313,9 @@ def outliers(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
 def energy_efficiency(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Q16: energy category from the 7-day temperature and vibration averages."""
     t, v = F.col("avg_temperature"), F.col("avg_vibration")
-    category = (
-        F.when((t < 65) & (v < 1.5), F.lit("ENERGY_EFFICIENT"))
-        .when((t < 75) & (v < 2.0), F.lit("MODERATE_EFFICIENCY"))
-        .otherwise(F.lit("HIGH_ENERGY_USAGE"))
-    )
+    category = F.lit("HIGH_ENERGY_USAGE")
+    for name, (max_t, max_v) in reversed(ENERGY_LIMITS.items()):
+        category = F.when((t < max_t) & (v < max_v), F.lit(name)).otherwise(category)
     return (
         _fleet_averages(sd, as_of)
         .withColumn("efficiency_category", category)
@@ -330,7 +326,7 @@ def energy_efficiency(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
 def alert_status(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Q17: anomalous readings of the last hour, highest score then newest first."""
     return (
-        recent(sd, as_of, "1h")
+        prune_recent(sd, as_of, "1h")
         .filter(_score() > 0)
         .select(
             "machine_id", "temperature", "vibration", "pressure", "total_anomaly_score",
@@ -343,7 +339,7 @@ def alert_status(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
 def alert_frequency(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Q18: alert counts by level and last alert time per machine, last 7 days."""
     return (
-        recent(sd, as_of, "7d")
+        prune_recent(sd, as_of, "7d")
         .filter(_score() > 0)
         .groupBy("machine_id")
         .agg(
@@ -369,7 +365,7 @@ def readme_recent_anomalies(sd: DataFrame, as_of: dt.datetime | None = None,
 def readme_trends(sd: DataFrame, as_of: dt.datetime) -> DataFrame:
     """RQ2: average temperature and vibration per machine over the last 24 h."""
     return (
-        recent(sd, as_of, "24h")
+        prune_recent(sd, as_of, "24h")
         .groupBy("machine_id")
         .agg(F.avg("temperature").alias("avg_temp"), F.avg("vibration").alias("avg_vibration"))
     )

@@ -350,16 +350,54 @@ def q_scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The day predicate added by ``prune_recent`` prunes whole partitions.
     """
-    from machinewatch.functions.time import prune_recent, resolve_as_of
+    from machinewatch.functions.time import prune_recent, resolve_as_of_stored
 
     stored = spark.read.parquet(etl_output(spark, sf_dir).processed)
-    as_of = resolve_as_of(stored)
+    as_of = resolve_as_of_stored(stored)
     prune_recent(stored, as_of, "7d").createOrReplaceTempView("sensor_data_recent")
     return spark.sql("""
         SELECT machine_id, to_date(event_timestamp) AS date, count(*) AS readings
         FROM sensor_data_recent GROUP BY machine_id, to_date(event_timestamp)""")
 
 
+@register("sql_views", with_ctes("""
+SELECT machine_id, cast(year(event_timestamp) AS int) AS "year", cast(month(event_timestamp) AS int) AS "month",
+       cast(day(event_timestamp) AS int) AS "day", count(*) AS readings, count(*) AS summarized
+FROM readings GROUP BY 1, 2, 3, 4"""))
+def q_sql_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL over the documented views ``sensor_data`` and ``anomaly_summary`` of the written tables."""
+    etl.register_views(spark, etl_output(spark, sf_dir))
+    return spark.sql("""
+        SELECT r.machine_id, r.year, r.month, r.day, r.readings, s.total_records AS summarized
+        FROM (SELECT machine_id, year, month, day, count(*) AS readings FROM sensor_data
+              GROUP BY machine_id, year, month, day) r
+        JOIN anomaly_summary s ON s.machine_id = r.machine_id AND s.year = r.year AND s.month = r.month AND s.day = r.day""")
+
+
+@register("result_export", _A3_SQL)
+def q_result_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query's result exported to a folder of its own and read back."""
+    from machinewatch.sinks.files import write_table
+
+    path = scratch_path(spark, f"result-{uuid.uuid4().hex[:12]}")
+    write_table(stats.machine_performance(stats.anomaly_summary(sensor_data(spark, sf_dir))), path, sort_cols=stats.MONTH_KEYS)
+    return spark.read.parquet(path)
+
+
+@register("lake_table", with_ctes(f"""
+SELECT machine_id, "timestamp", cast(year(event_timestamp) AS int) AS "year", cast(hour(event_timestamp) AS int) AS "hour"
+FROM readings"""))
+def q_lake_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The JSON lake as a catalog table with its discovered schema and partitions."""
+    from machinewatch.sinks.files import PARTITION_KEYS
+
+    path, name = scratch_path(spark, f"lake-{uuid.uuid4().hex[:12]}"), f"sensor_data_raw_{uuid.uuid4().hex[:12]}"
+    landed = rawsrc.raw_json(load_readings(spark, sf_dir)).withColumns(dict(date_part_columns()))
+    landed.select("raw", *PARTITION_KEYS).hint("rebalance", *PARTITION_KEYS).write.partitionBy(*PARTITION_KEYS).text(path)
+    rawsrc.register_lake_table(spark, path, name)
+    return spark.table(name).select("machine_id", "timestamp", "year", "hour")
+
+
 # ---------------------------------------------------------------------------
 # Raw sources, decoding, validation, dead letters
 # ---------------------------------------------------------------------------
@@ -531,13 +569,17 @@ def rule_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_id, 'anomaly_detected' AS alert_type, coalesce(machine_id, 'unknown') AS machine_id,
        strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%f') AS alert_timestamp,
        temperature, vibration, pressure, prediction, 'high' AS severity,
-       'IoT Anomaly Alert - Machine ' || coalesce(machine_id, 'unknown') AS subject
+       'IoT Anomaly Alert - Machine ' || coalesce(machine_id, 'unknown') AS subject, true AS message_agrees
 FROM pred WHERE prediction = 1""", PRED_SQL))
 def q_alert_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alert records (message JSON kept in ``message``; flattened fields for checking)."""
     alerts = messages.alert_messages(rule_predictions(spark, sf_dir))
+    body = F.from_json("message", "alert_type string, machine_id string, timestamp string, sensor_data "
+                       "struct<temperature: double, vibration: double, pressure: double>, prediction int, severity string")
+    agrees = F.struct(*[body[c] for c in ("alert_type", "machine_id", "timestamp", "sensor_data", "prediction", "severity")]
+                      ) == F.struct("alert_type", "machine_id", "alert_timestamp", "sensor_data", "prediction", "severity")
     return alerts.select("event_id", "alert_type", "machine_id", "alert_timestamp",
-                         "sensor_data.*", "prediction", "severity", "subject")
+                         "sensor_data.*", "prediction", "severity", "subject", agrees.alias("message_agrees"))
 
 
 @register("metrics_long", sensor_sql("""
@@ -546,10 +588,13 @@ SELECT event_id, 'Temperature' AS metric_name, temperature AS value, 'None' AS u
 UNION ALL SELECT event_id, 'Vibration', vibration, 'None', 'MachineId', machine_id FROM pred
 UNION ALL SELECT event_id, 'Pressure', pressure, 'None', 'MachineId', machine_id FROM pred
 UNION ALL SELECT event_id, 'AnomalyPrediction', cast(prediction AS double), 'None', 'MachineId', machine_id
+FROM pred
+UNION ALL SELECT event_id, 'ProcessingDuration', cast(event_id % 1000 AS double), 'Milliseconds', 'MachineId', machine_id
 FROM pred""", PRED_SQL))
 def q_metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metric datapoints in long form (one row per reading and measure)."""
-    return messages.metrics_long(rule_predictions(spark, sf_dir))
+    timed = rule_predictions(spark, sf_dir).withColumn("duration_ms", (F.col("event_id") % 1000).cast("double"))
+    return messages.metrics_long(timed, duration_col="duration_ms")
 
 
 # ---------------------------------------------------------------------------

@@ -59,6 +59,17 @@ OUTLIER_RANGES = {
     "vibration": (0.0, 5.0),
     "pressure": (50.0, 200.0),
 }
+# Efficiency rating of a machine's averages, all below (temperature, vibration, pressure); else POOR.
+EFFICIENCY_LIMITS = {
+    "EXCELLENT": (60.0, 1.5, 120.0),
+    "GOOD": (70.0, 2.0, 140.0),
+    "FAIR": (80.0, 2.5, 160.0),
+}
+# Energy category of a machine's averages, both below (temperature, vibration); else HIGH_ENERGY_USAGE.
+ENERGY_LIMITS = {
+    "ENERGY_EFFICIENT": (65.0, 1.5),
+    "MODERATE_EFFICIENCY": (75.0, 2.0),
+}
 # Ratio features: temperature / (vibration + 0.001), pressure / (temperature + 0.001).
 RATIO_EPSILON = 0.001
 # Stream trend detection: last minus first beyond +-5 temperature,

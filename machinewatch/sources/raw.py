@@ -78,15 +78,16 @@ def crawl_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0) ->
 
 
 def register_lake_table(spark: SparkSession, path: str, table: str = "sensor_data_raw") -> None:
-    """Catalog table over the partitioned lake; partitions added from folders."""
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.catalog.createTable(table, path=path, source="json", schema=_lake_schema())
-    spark.catalog.recoverPartitions(table)
+    """Catalog table over the partitioned lake, with the schema found in its files.
 
-
-def _lake_schema() -> T.StructType:
-    fields = list(READING_SCHEMA.fields) + [T.StructField(k, T.IntegerType()) for k in LAKE_KEYS]
-    return T.StructType(fields)
+    An existing table of that name is an error; nothing is dropped.
+    """
+    found = spark.read.json(path).schema
+    keys = [f.name for f in found.fields if f.name in LAKE_KEYS]
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.fields)
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING json PARTITIONED BY ({', '.join(keys)}) "
+              f"LOCATION '{path}'")
+    spark.sql(f"MSCK REPAIR TABLE {table}")
 
 
 # ---------------------------------------------------------------------------
