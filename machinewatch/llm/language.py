@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from sys import intern
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,13 +32,16 @@ from machinewatch.llm.tokenizers import Memo
 #: N-gram sizes, n-grams of a profile, and labelled rows per language used to fit (bound of the sample).
 SIZES, PROFILE, SAMPLE = (1, 2, 3), 300, 2000
 UNKNOWN = "und"
+#: Words whose n-grams a worker remembers.
+WORDS = 100_000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def _grams(word: str) -> list[str]:
     padded = f"_{word}_"
-    return [padded[i:i + n] for n in SIZES for i in range(len(padded) - n + 1) if n > 1 or padded[i] != "_"]
+    # N-grams repeat from word to word: one object each keeps a memo of many words small.
+    return [intern(padded[i:i + n]) for n in SIZES for i in range(len(padded) - n + 1) if n > 1 or padded[i] != "_"]
 
 
 def count_grams(text: str, grams: Memo) -> Counter:
@@ -67,7 +71,7 @@ class RankOrder:
 
     def __init__(self, profiles: dict[str, list[str]], size: int = PROFILE):
         self.languages, self.size = sorted(profiles), size
-        self.grams = Memo(_grams)
+        self.grams = Memo(_grams, WORDS)
         missing = [size] * len(self.languages)
         self.places: dict[str, list[int]] = {}
         for column, language in enumerate(self.languages):
@@ -111,7 +115,7 @@ def fit_profiles(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.pmod(F.xxhash64("d"), F.lit(1 << 30)) < F.col("share") * (1 << 30))
 
     def start():
-        memo = Memo(_grams)
+        memo = Memo(_grams, WORDS)
 
         def run(batch: Iterator[tuple]) -> Iterator[tuple]:
             counts: dict[str, Counter] = {}

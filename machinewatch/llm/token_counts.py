@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from machinewatch.llm.common import per_text, with_struct
-from machinewatch.llm.tokenizers import SPACE, Memo, byte_letters, encoder, vocabulary_path
+from machinewatch.llm.tokenizers import MEMO, SPACE, Memo, byte_letters, encoder, vocabulary_path
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Limit of the ``over_limit`` flag.
@@ -38,8 +38,8 @@ _UNITS = regex.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 _SEGMENTS = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + SPACE + r"\p{L}\p{N}]+"
 )
-#: First bytes of pre-tokens whose states are remembered.
-HEAD = 6
+#: Numbers of first bytes of pre-tokens whose states are remembered.
+HEADS = (8, 5)
 _CONTRACTIONS = {"'s", "'t", "'re", "'ve", "'m", "'ll", "'d"}
 
 
@@ -72,9 +72,9 @@ class PrefixCounter:
         self.lengths = {
             t: tuple(sorted(x | {2} if t[-2:] in self.number else x, reverse=True)) for t, x in lengths.items()
         }
-        self.apart = Memo(lambda pair: self._apart(*pair))
-        self.heads = Memo(lambda raw: self._extend(raw, [-1], [0]))
-        self.units = Memo(self._unit)
+        self.apart = Memo(lambda pair: self._apart(*pair), MEMO // 2)
+        self.heads = Memo(self._head, MEMO // 3)
+        self.units = Memo(self._unit, 2 * MEMO)
 
     def _apart(self, a: int, b: int) -> bool:
         """Whether neighbouring tokens ``a``, ``b`` stay apart: no rule that joins across
@@ -99,11 +99,15 @@ class PrefixCounter:
 
     def _run(self, raw: bytes) -> list[int]:
         """Counts of all byte prefixes (1, 2, ...) of a pre-token."""
-        if len(raw) <= HEAD:
-            return self.heads[raw][1][1:]
-        # Words share their first bytes, and with them the program's first states.
-        last, count = self.heads[raw[:HEAD]]
-        return self._extend(raw, list(last), list(count))[1][1:]
+        return self._head(raw)[1][1:]
+
+    def _head(self, raw: bytes) -> tuple[list[int], list[int]]:
+        """The program's states; words share their first bytes, and with them the first states."""
+        for n in HEADS:
+            if len(raw) > n:
+                last, count = self.heads[raw[:n]]
+                return self._extend(raw, last[:], count[:])
+        return self._extend(raw, [-1], [0])
 
     def _extend(self, raw: bytes, last: list[int], count: list[int]) -> tuple[list[int], list[int]]:
         """Last token and count of each prefix, from those of the first prefixes on."""

@@ -24,16 +24,16 @@ BYTE_PIECES = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 WORD_PIECES = re.compile(f"[^{SPACE}]+")
 #: ASCII marks; behind letters they are a pre-token of their own.
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-#: Entries of a memo, and the longest piece that is remembered.
+#: Entries of a memo's generation, and the longest key that is remembered.
 MEMO, LONGEST = 300_000, 64
 
 
 class Memo(dict):
-    """A dictionary that computes missing values and holds two generations of at most ``MEMO`` entries."""
+    """A dictionary that computes missing values and holds two generations of at most ``size`` entries."""
 
-    def __init__(self, compute):
+    def __init__(self, compute, size: int = MEMO):
         super().__init__()
-        self.compute, self.older = compute, {}
+        self.compute, self.size, self.older = compute, size, {}
 
     def __missing__(self, key):
         value = self.older.get(key)
@@ -41,7 +41,7 @@ class Memo(dict):
             value = self.compute(key)
             if len(key) > LONGEST:
                 return value
-        if len(self) >= MEMO:
+        if len(self) >= self.size:
             self.older = dict(self)
             self.clear()
         self[key] = value
@@ -77,7 +77,7 @@ class Encoder:
         self.pieces = (BYTE_PIECES if self.byte_level else WORD_PIECES).findall
         self.letters = dict(enumerate(byte_letters()))
         self.model = self.library.model
-        self.memo = Memo(self._piece)
+        self.memo = Memo(self._piece, 2 * MEMO)
 
     def _whole(self, text: str) -> bytes:
         return _packed(self.library.encode(text, add_special_tokens=False).ids)

@@ -62,10 +62,9 @@ def test_encoder_equals_the_library():
             assert encode(text) == b"".join(i.to_bytes(4, "little") for i in ids)
 
 
-def test_memo_keeps_two_generations(monkeypatch):
-    monkeypatch.setattr("machinewatch.llm.tokenizers.MEMO", 4)
+def test_memo_keeps_two_generations():
     asked = []
-    memo = Memo(lambda k: asked.append(k) or len(k))
+    memo = Memo(lambda k: asked.append(k) or len(k), 4)
     for key in ["a", "bb", "ccc", "dddd", "a", "eeeee", "a", "x" * 100, "x" * 100]:
         assert memo[key] == len(key)
     assert asked.count("a") == 1 and asked.count("x" * 100) == 2 and len(memo) <= 4
