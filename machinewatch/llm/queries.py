@@ -12,6 +12,7 @@ from machinewatch.llm.common import crc_mod, prepare, table, with_struct, work_f
 from machinewatch.llm.decontaminate import decontaminate
 from machinewatch.llm.html_extract import extract_pages
 from machinewatch.llm.language import fit_profiles, language_udf
+from machinewatch.llm.oracle import ORACLE_SQL
 from machinewatch.llm.packing import pack_documents, with_crc
 from machinewatch.llm.quality_rules import quality_rules
 from machinewatch.llm.simhash import near_duplicates
@@ -94,8 +95,8 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_chat_formatting, op2_simhash, op3_language_id, op4_packing, op5_toxicity, op6_token_ids, op7_token_counts, op8_decontamination,
-        op9_quality_rules, op10_html_extraction)
+        op1_chat_formatting, op2_simhash, op3_language_id, op4_packing, op5_toxicity, op6_token_ids,
+        op7_token_counts, op8_decontamination, op9_quality_rules, op10_html_extraction)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
