@@ -1,7 +1,7 @@
 """Toxicity by a lexicon that also catches misspelled terms.
 
 The lexicon is learned: words, and stems that start many words, which mark
-labelled toxic texts. Its trie is intersected with Levenshtein automata (one
+labelled toxic texts beyond chance, near copies of a text counted once. Its trie is intersected with Levenshtein automata (one
 edit for terms of 5 to 8 letters, two beyond; stems only if long): a state is
 the set of trie nodes that a word's letters may have reached with their edits,
 and is determinized as words ask for it. Hits weigh by log-odds learned for
@@ -26,7 +26,10 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from operator import eq
+from zlib import crc32
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +43,8 @@ SAMPLE, TERMS = 5000, 2000
 SUPPORT, PRECISION, EVIDENCE = 4, 0.9, 36.0
 #: Stem lengths.
 STEM = (4, 10)
+#: Values of a MinHash, and the share of equal ones from which a text is a near copy.
+SIGNATURE, COPY = 32, 0.6
 BASE = 0.02
 #: Words on each side of a hit.
 WINDOW = 8
@@ -251,9 +256,30 @@ def fit_lexicon(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     rows = sums.where((F.col("term") != "") & (t >= SUPPORT) & (evidence >= EVIDENCE) & (
         t * up_toxic >= PRECISION * (t * up_toxic + c * up_clean))).orderBy(
             F.desc("t"), "term", "stem").limit(4 * TERMS).collect()
-    words, stems = _choose({(r["term"], r["stem"]): r["t"] for r in rows})
-    first = {(r["term"], 0): _log_odds(up_toxic * r["t"], up_clean * r["c"])
-             for r in rows if r["term"] in (stems if r["stem"] else words)}
+    found = {(r["term"], r["stem"]): (r["t"], r["c"]) for r in rows}
+    words, stems = _choose({term: t for term, (t, _) in found.items()})
+    chosen = [(t, False) for t in sorted(words)] + [(t, True) for t in sorted(stems)]
+
+    def holders():
+        word_at = {t: i for i, (t, stem) in enumerate(chosen) if not stem}
+        stem_at = {t: i for i, (t, stem) in enumerate(chosen) if stem}
+
+        def run(batch: Iterator[tuple]) -> Iterator[tuple]:
+            for (text,) in batch:
+                own = set(_WORD.findall(text.lower()))
+                held = {word_at[w] for w in own if w in word_at}
+                held |= {stem_at[w[:n]] for w in own for n in range(STEM[0], min(STEM[1], len(w) - 1) + 1) if w[:n] in stem_at}
+                yield sorted(held), _signature(own)
+
+        return run
+
+    # Which terms each sampled toxic text holds: at most ``sample`` rows.
+    held = map_rows(texts.where("toxic = 1").select("t"), "terms array<long>, signature array<long>", holders).collect()
+    held.sort(key=lambda r: r["signature"])
+    copy_of = _copies([r["signature"] for r in held])
+    kept = [chosen[i] for i in _independent([r["terms"] for r in held], copy_of, [found[c][1] for c in chosen], share)]
+    words, stems = {t for t, stem in kept if not stem}, {t for t, stem in kept if stem}
+    first = {(t, 0): _log_odds(up_toxic * found[t, stem][0], up_clean * found[t, stem][1]) for t, stem in kept}
     lexicon = ToxicLexicon(sorted(words), sorted(stems), first)
 
     def variants():
@@ -277,6 +303,56 @@ def fit_lexicon(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     return lexicon
 
 
+def _evidence(toxic: int, clean: int, share: float) -> float:
+    """Log-likelihood ratio of a term's texts against the sample's share of toxic ones."""
+    n, out = toxic + clean, 0.0
+    for k, p in ((toxic, share), (clean, 1 - share)):
+        out += 2 * k * math.log(k / n / p) if k else 0.0
+    return out
+
+
+def _signature(words: set[str]) -> list[int]:
+    """MinHash of a text's words."""
+    hashes = np.fromiter((crc32(w.encode()) for w in words or {""}), dtype=np.uint64, count=max(len(words), 1))
+    seeds = np.arange(1, SIGNATURE + 1, dtype=np.uint64)[:, None]
+    mixed = (hashes[None, :] + seeds) * np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= mixed >> np.uint64(29)
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    return (mixed >> np.uint64(33)).min(axis=1).astype(np.int64).tolist()
+
+
+def _copies(signatures: list[list[int]]) -> list[int]:
+    """For each text, the first text that it is a near copy of (itself, if none)."""
+    buckets: dict[tuple, list[int]] = {}
+    out = []
+    for number, own in enumerate(signatures):
+        of = number
+        for start in range(0, SIGNATURE, 4):
+            leaders = buckets.setdefault((start, *own[start:start + 4]), [])
+            near = next((x for x in leaders if sum(map(eq, own, signatures[x])) >= COPY * SIGNATURE), None)
+            if near is not None:
+                of = near
+                break
+        if of == number:
+            for start in range(0, SIGNATURE, 4):
+                buckets.setdefault((start, *own[start:start + 4]), []).append(number)
+        out.append(of)
+    return out
+
+
+def _independent(held: list[list[int]], copy_of: list[int], clean: list[int], share: float) -> list[int]:
+    """Terms that have enough evidence when all near copies of a text count once.
+
+    Copies of one toxic text hold each of its words as often as they are many.
+    """
+    texts_of: dict[int, set[int]] = {}
+    for text, terms in enumerate(held):
+        for term in terms:
+            texts_of.setdefault(term, set()).add(copy_of[text])
+    return [term for term in sorted(texts_of) if len(texts_of[term]) >= SUPPORT and (
+        share >= 1 or _evidence(len(texts_of[term]), clean[term], share) >= EVIDENCE)]
+
+
 def _choose(support: dict[tuple[str, bool], int]) -> tuple[set[str], set[str]]:
     """Stems that no longer stem nearly replaces, and words that no chosen stem starts."""
     stems: list[str] = []
