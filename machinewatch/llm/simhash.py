@@ -120,19 +120,15 @@ def _forest(left: np.ndarray, right: np.ndarray, radius: int) -> list[tuple[int,
 def links(nodes: DataFrame, radius: int = RADIUS, crowd: int = CROWD, chunk: int = CHUNK) -> DataFrame:
     """``a, b``: links between distinct fingerprints (column ``fp``), enough to connect every component."""
     entries = _entries(nodes, radius)
-    sizes = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("probe")).alias("own"))
-    # Keys that nobody else has, or where only askers meet, link nothing.
-    sizes = sizes.where((F.col("n") > 1) & (F.col("own") > 0))
-    entries = entries.join(sizes, "key")
+    crowds = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowd)
+    small, large = entries.join(crowds, "key", "left_anti"), entries.join(crowds, "key")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
-    small = entries.where(F.col("n") <= crowd)
     table = small.where(~F.col("probe")).select("key", F.col("fp").alias("a"))
     asking = small.select("key", F.col("fp").alias("b"), "probe")
     pairs = table.join(asking, (table["key"] == asking["key"]) & near & (F.col("probe") | (F.col("a") < F.col("b")))
                        ).select("a", "b").distinct()
 
     # Larger buckets: each entry goes to the pairs of chunks that hold its own chunk.
-    large = entries.where(F.col("n") > crowd)
     chunks = F.ceil(F.col("n") / chunk).cast("int")
     own = F.pmod(F.xxhash64("fp"), chunks).cast("int")
     dealt = large.select("key", "fp", "probe", own.alias("c"), chunks.alias("k")).select(
