@@ -88,22 +88,47 @@ def _order_columns(df: DataFrame, ts: str, tie_break: Sequence[str] | None) -> l
     return [ts, *tie_break]
 
 
+#: Readings that one lag group may hold, and the buckets to choose from, largest first.
+LAG_GROUP_ROWS = 1_000_000
+LAG_BUCKETS = ("day", "hour", "minute", "second")
+
+
+def choose_bucket(df: DataFrame, partition_col: str = "machine_id", ts: str = "event_timestamp",
+                  limit: int = LAG_GROUP_ROWS) -> str:
+    """The largest time bucket whose fullest (machine, bucket) group holds at most ``limit`` rows.
+
+    Measured, not assumed: rows are counted per machine and second (map-side
+    sums over two columns), and those counts are summed up to the larger buckets.
+    """
+    counts = df.groupBy(partition_col, F.date_trunc(LAG_BUCKETS[-1], F.col(ts)).alias("b")).agg(
+        F.count(F.lit(1)).alias("n"))
+    for bucket in LAG_BUCKETS:
+        fullest = counts.groupBy(partition_col, F.date_trunc(bucket, F.col("b"))).agg(
+            F.sum("n").alias("n")).agg(F.max("n").alias("n")).first()["n"]
+        if fullest is None or fullest <= limit:
+            return bucket
+    return LAG_BUCKETS[-1]
+
+
 def lag_features(
     df: DataFrame,
     partition_col: str = "machine_id",
     ts: str = "event_timestamp",
     tie_break: Sequence[str] | None = None,
-    bucket: str | None = "day",
+    bucket: str | None = "auto",
 ) -> DataFrame:
     """W1 + P21: previous reading per machine (``*_lag_1``) and the differences.
 
     ``bucket=None`` is the plain ``Window.partitionBy(machine)`` plan: one task
-    per machine, fine for many small machines. The default splits each
-    machine's series into time buckets (``date_trunc(bucket, ts)``), runs the
+    per machine, fine for many small machines. A bucket splits each
+    machine's series in time (``date_trunc(bucket, ts)``), runs the
     lag inside each bucket, and carries the last reading of the previous
     non-empty bucket into each bucket's first row through a small join. A hot
-    machine is then spread over as many tasks as it has buckets.
+    machine is then spread over as many tasks as it has buckets. The default
+    takes the largest bucket whose measured groups are small enough.
     """
+    if bucket == "auto":
+        bucket = choose_bucket(df, partition_col, ts)
     order = _order_columns(df, ts, tie_break)
     reading = F.struct(*[F.col(s).alias(s) for s in SENSORS])
     if bucket is None:

@@ -236,3 +236,17 @@ def test_raw_lake_to_features(spark):
     got = spark.read.parquet(paths.processed).select(cols)
     want = sensor_data(spark, SMALL).select(cols)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_the_lag_bucket_follows_the_fullest_group(spark):
+    from machinewatch.operators.enrich import choose_bucket, lag_features
+
+    readings = load_readings(spark, SMALL)
+    by_day = readings.groupBy("machine_id", F.to_date("event_timestamp")).count().agg(F.max("count")).first()[0]
+    assert choose_bucket(readings, limit=by_day) == "day"
+    assert choose_bucket(readings, limit=by_day - 1) == "hour"
+    assert choose_bucket(readings, limit=0) == "second"
+    assert choose_bucket(readings.filter("false")) == "day"
+    want = lag_features(readings, bucket=None).select("event_id", "temp_lag_1", "temp_diff")
+    got = lag_features(readings, bucket="second").select("event_id", "temp_lag_1", "temp_diff")
+    assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
