@@ -14,6 +14,7 @@ FAST = [
     "range_warnings", "decode_payload", "scan_concat_json", "alert_messages", "metrics_long",
     "dashboard_rollup", "alarm_errors", "alarm_low_throughput", "late_split", "stratified_split",
     "eval_auc", "classification_report", "confusion_matrix", "eval_accuracy",
+    "event_time", "validate_scoring", "result_export", "stream_batch_stats", "model_roundtrip",
 ]
 
 
