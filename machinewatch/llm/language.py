@@ -14,10 +14,19 @@ driver gets at most ``PROFILE`` n-grams per language.
 Defined results: null text, or one without a letter: ``und`` with score 0;
 equal sums: the first language in alphabetical order; equal frequencies: the
 first n-gram in code point order; no labelled rows at all: ``und``.
+
+Whether a text is in a learned language at all is told by the mean cost of its
+n-grams under the best profile. It has a bound for each size of ranking (powers
+of two), learned from windows of 1 to 64 words of the labelled sample: the
+median plus ``SPREAD`` times the way to the 95th percentile, the largest over
+the languages, so mislabelled rows do not move it. Rankings of few n-grams vary
+much and get loose bounds: a word or two are refused only without any known
+n-gram. A size without enough windows has the next smaller one's bound.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -32,6 +41,9 @@ from machinewatch.llm.tokenizers import Memo
 #: N-gram sizes, n-grams of a profile, and labelled rows per language used to fit (bound of the sample).
 SIZES, PROFILE, SAMPLE = (1, 2, 3), 300, 2000
 UNKNOWN = "und"
+#: Words of the windows that bounds are learned from, windows of a size and language needed, and steps from
+#: the median to the 95th percentile of their mean costs up to the bound.
+WINDOWS, ENOUGH, SPREAD = (1, 2, 4, 8, 16, 32, 64), 20, 4.0
 #: Words whose n-grams a worker remembers.
 WORDS = 100_000
 
@@ -79,10 +91,13 @@ class RankOrder:
                 self.places.setdefault(gram, list(missing))[column] = rank
         self.missing = missing
 
-    def distances(self, text: str) -> list[int]:
+    def ranking(self, text: str) -> list[str]:
+        return ranked(count_grams(text, self.grams), self.size)
+
+    def distances(self, ranking: list[str]) -> list[int]:
         size, missing, places = self.size, self.missing, self.places
         total = [0] * len(missing)
-        for rank, gram in enumerate(ranked(count_grams(text, self.grams), size)):
+        for rank, gram in enumerate(ranking):
             for column, place in enumerate(places.get(gram, missing)):
                 total[column] += size if place == size else abs(place - rank)
         return total
@@ -91,7 +106,9 @@ class RankOrder:
         """Predicted language, and how far it is ahead: 1 - best / (best + second), or the share of known places."""
         if text is None or not self.languages or not _LETTERS.search(text):
             return UNKNOWN, 0.0
-        total = self.distances(text)
+        return self.best(self.distances(self.ranking(text)))
+
+    def best(self, total: list[int]) -> tuple[str, float]:
         order = sorted(range(len(total)), key=lambda c: (total[c], c))
         best = total[order[0]]
         if len(order) == 1:
@@ -100,6 +117,39 @@ class RankOrder:
         return self.languages[order[0]], 0.5 if best + second == 0 else 1.0 - best / (best + second)
 
 
+def size_class(n_grams: int) -> int:
+    return n_grams.bit_length()
+
+
+class KnownLanguage:
+    """Whether a text is near enough to a profile, and that language is one of ``languages`` (any by default)."""
+
+    def __init__(self, profiles: dict[str, list[str]], bounds: dict[int, float], languages: list[str] | None = None,
+                 size: int = PROFILE):
+        self.rank_order, self.bounds = RankOrder(profiles, size), bounds
+        self.languages = set(profiles if languages is None else languages)
+
+    def __call__(self, text: str | None) -> tuple[bool]:
+        own = self.rank_order
+        if text is None or not own.languages or not _LETTERS.search(text):
+            return (False,)
+        ranking = own.ranking(text)
+        total = own.distances(ranking)
+        mean = min(total) / len(ranking)
+        near = mean < own.size and mean <= self.bounds.get(size_class(len(ranking)), own.size)
+        return (near and own.best(total)[0] in self.languages,)
+
+
+def _sampled(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int) -> DataFrame:
+    """Rows with language and text whose id's hash is below the share of ``sample`` in the language's rows."""
+    rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("t"), F.col(id_col).alias("d"))
+    share = rows.groupBy("lang").count().select(
+        "lang", F.least(F.lit(1.0), F.lit(float(sample)) / F.col("count")).alias("share"))
+    return rows.join(F.broadcast(share), "lang").where(  # one row per language
+        F.pmod(F.xxhash64("d"), F.lit(1 << 30)) < F.col("share") * (1 << 30)).select("lang", "t")
+
+
 def fit_profiles(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                  sample: int = SAMPLE, size: int = PROFILE) -> dict[str, list[str]]:
     """Profiles from rows with a language; rows without text or language are left out.
@@ -107,12 +157,7 @@ def fit_profiles(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "t
     The expected number of sampled rows of a language is ``sample`` (all, if
     it has fewer); they are those whose id's hash is below its share.
     """
-    rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(lang_col).alias("lang"), F.col(text_col).alias("t"), F.col(id_col).alias("d"))
-    share = rows.groupBy("lang").count().select(
-        "lang", F.least(F.lit(1.0), F.lit(float(sample)) / F.col("count")).alias("share"))
-    picked = rows.join(F.broadcast(share), "lang").where(  # one row per language
-        F.pmod(F.xxhash64("d"), F.lit(1 << 30)) < F.col("share") * (1 << 30))
+    picked = _sampled(labelled, id_col, text_col, lang_col, sample)
 
     def start():
         memo = Memo(_grams, WORDS)
@@ -129,7 +174,7 @@ def fit_profiles(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
         return run
 
-    counts = map_rows(picked.select("lang", "t"), "lang string, gram string, n long", start, batch_rows=20_000)
+    counts = map_rows(picked, "lang string, gram string, n long", start, batch_rows=20_000)
     sums = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     top = sums.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= size)
@@ -139,13 +184,67 @@ def fit_profiles(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return profiles
 
 
+def windows(text: str) -> Iterator[str]:
+    """The words in the text's middle, as many as ``WINDOWS`` say; the whole text where it has fewer."""
+    words = text.split()
+    for n in WINDOWS:
+        start = max(0, (len(words) - n) // 2)
+        yield " ".join(words[start:start + n])
+        if n >= len(words):
+            return
+
+
+def fit_bounds(labelled: DataFrame, profiles: dict[str, list[str]], id_col: str = "doc_id", text_col: str = "text",
+               lang_col: str = "lang", sample: int = SAMPLE, size: int = PROFILE) -> dict[int, float]:
+    """Bound of the mean cost by size class of the ranking, from the rows that ``fit_profiles`` samples."""
+
+    def start():
+        rank_order = RankOrder(profiles, size)
+
+        def run(batch: Iterator[tuple]) -> Iterator[tuple]:
+            counts: Counter = Counter()
+            for lang, text in batch if profiles else ():
+                for window in windows(text):
+                    if ranking := rank_order.ranking(window):
+                        mean = min(rank_order.distances(ranking)) / len(ranking)
+                        counts[lang, size_class(len(ranking)), math.ceil(mean)] += 1
+            yield from ((*key, n) for key, n in counts.items())
+
+        return run
+
+    picked = _sampled(labelled, id_col, text_col, lang_col, sample)
+    counts = map_rows(picked, "lang string, class long, cost long, n long", start).groupBy("lang", "class", "cost").agg(
+        F.sum("n").alias("n")).collect()  # at most languages * classes * size rows
+    costs: dict[tuple[int, str], Counter] = {}
+    for r in counts:
+        costs.setdefault((r["class"], r["lang"]), Counter())[r["cost"]] += r["n"]
+    learned: dict[int, float] = {}
+    for (of, _), own in costs.items():
+        if own.total() >= ENOUGH:
+            middle, high = (_quantile(own, q) for q in (0.5, 0.95))
+            learned[of] = max(learned.get(of, 0.0), middle + SPREAD * (high - middle))
+    bounds: dict[int, float] = {}
+    for of in range(1, size_class(size) + 1):
+        # No bound is below half of the size, where a sample of few, equal texts would put it.
+        bounds[of] = max(size / 2, learned[of]) if of in learned else bounds.get(of - 1, float(size))
+    return bounds
+
+
+def _quantile(counts: Counter, q: float) -> int:
+    below = 0
+    for value in sorted(counts):
+        below += counts[value]
+        if below >= q * counts.total():
+            break
+    return value
+
+
 def language_udf(profiles: dict[str, list[str]], size: int = PROFILE):
     """A column function from text to ``struct<lang_pred, score>``."""
     return per_text("lang_pred string, score double", lambda: RankOrder(profiles, size))
 
 
-def identified(text: Column, profiles: dict[str, list[str]], languages: list[str] | None = None) -> Column:
-    """Whether a text is predicted as one of ``languages`` (all learned ones by default)."""
-    udf = language_udf(profiles)
-    pred = udf(text)["lang_pred"]
-    return pred != UNKNOWN if languages is None else pred.isin(languages)
+def identified(text: Column, profiles: dict[str, list[str]], bounds: dict[int, float],
+               languages: list[str] | None = None) -> Column:
+    """Whether a text is near a profile and predicted as one of ``languages`` (all learned ones by default)."""
+    return per_text("known boolean", lambda: KnownLanguage(profiles, bounds, languages))(text)["known"]

@@ -64,3 +64,25 @@ def test_queries_are_registered():
     assert "pipeline" in names
     for n in range(1, 11):
         assert sum(q.startswith(f"op{n}_") for q in names) == 1
+
+
+def test_language_stage_refuses_what_was_not_learned(ready, stages):
+    """French is not learned here; planted texts in other languages and letter junk go, clean ones stay, short ones too."""
+    rows = stages["toxicity"].where("lang <> 'fr'").select("doc_id", "text", "lang")
+    foreign = stages["toxicity"].where("lang = 'fr' and length(text) > 200").selectExpr(
+        "doc_id + 1000000 as doc_id", "text", "cast(null as string) as lang")
+    junk = " ".join(f"{a}{b}{c}q{a}w{b}" for a in "xzkvj" for b in "qwkgp" for c in "zjxvb")
+    planted = ready.createDataFrame([
+        (2000000, "Все люди рождаются свободными и равными в своем достоинстве и правах.", None),
+        (2000001, "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. "
+                  "Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.", None),
+        (2000002, "日本語", None), (2000003, junk, None)], rows.schema)
+    short = rows.selectExpr("doc_id + 3000000 as doc_id", "substring_index(text, ' ', 1 + doc_id % 40) as text",
+                            "cast(null as string) as lang").where("text rlike '[a-z]{2}'")
+    n_foreign, n_short = foreign.count(), short.count()
+    docs = rows.unionByName(foreign).unionByName(planted).unionByName(short)
+    kept = {r["doc_id"] for r in dict(corpus_pipeline.STAGES)["language_id"](ready, docs, SMALL).select("doc_id").collect()}
+    assert not kept & set(range(2000000, 2000004))
+    assert n_foreign >= 15 and sum(1000000 <= i < 2000000 for i in kept) <= 0.15 * n_foreign
+    assert sum(i >= 3000000 for i in kept) >= 0.98 * n_short
+    assert {r["doc_id"] for r in rows.collect()} <= kept
