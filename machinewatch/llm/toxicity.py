@@ -15,8 +15,8 @@ Fitting uses a bounded sample of labelled rows (``SAMPLE`` per class); texts
 are whole. Only ids of that bounded sample are broadcast.
 
 Defined results: null, empty and hit-free texts get ``BASE``; rows with a null
-label or id teach nothing; an id with both labels counts as toxic; without
-toxic rows the lexicon is empty.
+label or id teach nothing; an id with both labels counts as toxic; of an id's
+texts the one with the least hash teaches; without toxic rows the lexicon is empty.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from machinewatch.llm.common import map_rows, per_text
+from machinewatch.llm.common import map_rows, per_text, written
 from machinewatch.llm.tokenizers import Memo
 
 #: Labelled rows per class used to fit (bound of the sample), terms of the lexicon at most.
@@ -222,8 +222,10 @@ def fit_lexicon(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id",
         return marked.where(F.col("toxic") == value).orderBy(F.xxhash64("d"), "d").limit(sample)
 
     picked = pick(1).unionByName(pick(0))  # at most 2 * sample ids
-    texts = documents.where(F.col(text_col).isNotNull()).select(
-        F.col(id_col).alias("d"), F.col(text_col).alias("t")).join(F.broadcast(picked), "d").select("t", "toxic")
+    # One text per id, so rows of a repeated id count once; written, as several passes read it.
+    texts = written(documents.where(F.col(text_col).isNotNull()).select(
+        F.col(id_col).alias("d"), F.col(text_col).alias("t")).join(F.broadcast(picked), "d").groupBy("d", "toxic").agg(
+            F.min_by("t", F.struct(F.xxhash64("t"), "t")).alias("t")), "labelled").select("t", "toxic")
 
     def terms():
         def run(rows: Iterator[tuple]) -> Iterator[tuple]:

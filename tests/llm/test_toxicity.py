@@ -95,3 +95,9 @@ def test_odd_rows(ready, odd, empty):
         rows = with_struct(odd, ["doc_id"], toxicity_udf(lexicon), "text").collect()
         assert len(rows) == odd.count() and all(0 <= r["score"] <= 1 for r in rows)
         assert {r["score"] for r in rows if r["doc_id"] in (1, 2, 6)} == {BASE}
+
+
+def test_rows_of_a_repeated_id_teach_once(planted):
+    docs, labels, _ = planted
+    often = docs.unionByName(docs.where("doc_id in (0, 1)").crossJoin(docs.sparkSession.range(200)).drop("id"))
+    assert often.count() == 1000 and fit_lexicon(often, labels) == fit_lexicon(docs, labels)
