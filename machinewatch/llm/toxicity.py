@@ -1,7 +1,8 @@
 """Toxicity by a lexicon that also catches misspelled terms.
 
 The lexicon is learned: words, and stems that start many words, which mark
-labelled toxic texts beyond chance, near copies of a text counted once. Its trie is intersected with Levenshtein automata (one
+labelled toxic texts beyond chance; of near copies within a class one text
+teaches, before any term is counted. Its trie is intersected with Levenshtein automata (one
 edit for terms of 5 to 8 letters, two beyond; stems only if long): a state is
 the set of trie nodes that a word's letters may have reached with their edits,
 and is determinized as words ask for it. Hits weigh by log-odds learned for
@@ -225,7 +226,25 @@ def fit_lexicon(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     # One text per id, so rows of a repeated id count once; written, as several passes read it.
     texts = written(documents.where(F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("d"), F.col(text_col).alias("t")).join(F.broadcast(picked), "d").groupBy("d", "toxic").agg(
-            F.min_by("t", F.struct(F.xxhash64("t"), "t")).alias("t")), "labelled").select("t", "toxic")
+            F.min_by("t", F.struct(F.xxhash64("t"), "t")).alias("t")), "labelled")
+
+    def signatures():
+        def run(rows: Iterator[tuple]) -> Iterator[tuple]:
+            for number, toxic, text in rows:
+                yield number, toxic, _signature(set(_WORD.findall(text.lower())))
+
+        return run
+
+    # Of near copies within a class only the first counts from here on: at most 2 * sample rows.
+    signed = map_rows(texts.select(F.xxhash64("d").alias("n"), "toxic", "t"), "n long, toxic int, signature array<long>",
+                      signatures).collect()
+    sampled = Counter(r["toxic"] for r in signed)
+    leaders = []
+    for value in sampled:
+        own = sorted((r["signature"], r["n"]) for r in signed if r["toxic"] == value)
+        leaders += [own[i][1] for i, of in enumerate(_copies([x for x, _ in own])) if i == of]
+    lead = documents.sparkSession.createDataFrame([(n,) for n in leaders], "n long")
+    texts = texts.join(F.broadcast(lead), F.xxhash64("d") == F.col("n"), "left_semi").select("t", "toxic")
 
     def terms():
         def run(rows: Iterator[tuple]) -> Iterator[tuple]:
@@ -251,7 +270,7 @@ def fit_lexicon(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id",
         return ToxicLexicon()
     n_toxic, n_clean = total[0]["t"], total[0]["c"]
     # A class whose sample is a part of it counts with all its rows.
-    up_toxic, up_clean = rows_of[1] / n_toxic, rows_of.get(0, 0) / max(n_clean, 1)
+    up_toxic, up_clean = rows_of[1] / sampled[1], rows_of.get(0, 0) / max(sampled[0], 1)
     share, t, c = n_toxic / (n_toxic + n_clean), F.col("t"), F.col("c")
     evidence = 2 * (t * F.log(t / (t + c) / F.lit(share)) + F.when(c > 0, c * F.log(c / (t + c) / F.lit(1 - share)))
                     .otherwise(0.0)) if n_clean else F.lit(EVIDENCE)
@@ -260,27 +279,7 @@ def fit_lexicon(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id",
             F.desc("t"), "term", "stem").limit(4 * TERMS).collect()
     found = {(r["term"], r["stem"]): (r["t"], r["c"]) for r in rows}
     words, stems = _choose({term: t for term, (t, _) in found.items()})
-    chosen = [(t, False) for t in sorted(words)] + [(t, True) for t in sorted(stems)]
-
-    def holders():
-        word_at = {t: i for i, (t, stem) in enumerate(chosen) if not stem}
-        stem_at = {t: i for i, (t, stem) in enumerate(chosen) if stem}
-
-        def run(batch: Iterator[tuple]) -> Iterator[tuple]:
-            for (text,) in batch:
-                own = set(_WORD.findall(text.lower()))
-                held = {word_at[w] for w in own if w in word_at}
-                held |= {stem_at[w[:n]] for w in own for n in range(STEM[0], min(STEM[1], len(w) - 1) + 1) if w[:n] in stem_at}
-                yield sorted(held), _signature(own)
-
-        return run
-
-    # Which terms each sampled toxic text holds: at most ``sample`` rows.
-    held = map_rows(texts.where("toxic = 1").select("t"), "terms array<long>, signature array<long>", holders).collect()
-    held.sort(key=lambda r: r["signature"])
-    copy_of = _copies([r["signature"] for r in held])
-    kept = [chosen[i] for i in _independent([r["terms"] for r in held], copy_of, [found[c][1] for c in chosen], share)]
-    words, stems = {t for t, stem in kept if not stem}, {t for t, stem in kept if stem}
+    kept = [*((t, False) for t in sorted(words)), *((t, True) for t in sorted(stems))]
     first = {(t, 0): _log_odds(up_toxic * found[t, stem][0], up_clean * found[t, stem][1]) for t, stem in kept}
     lexicon = ToxicLexicon(sorted(words), sorted(stems), first)
 
@@ -305,14 +304,6 @@ def fit_lexicon(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     return lexicon
 
 
-def _evidence(toxic: int, clean: int, share: float) -> float:
-    """Log-likelihood ratio of a term's texts against the sample's share of toxic ones."""
-    n, out = toxic + clean, 0.0
-    for k, p in ((toxic, share), (clean, 1 - share)):
-        out += 2 * k * math.log(k / n / p) if k else 0.0
-    return out
-
-
 def _signature(words: set[str]) -> list[int]:
     """MinHash of a text's words."""
     hashes = np.fromiter((crc32(w.encode()) for w in words or {""}), dtype=np.uint64, count=max(len(words), 1))
@@ -342,19 +333,6 @@ def _copies(signatures: list[list[int]]) -> list[int]:
     return out
 
 
-def _independent(held: list[list[int]], copy_of: list[int], clean: list[int], share: float) -> list[int]:
-    """Terms that have enough evidence when all near copies of a text count once.
-
-    Copies of one toxic text hold each of its words as often as they are many.
-    """
-    texts_of: dict[int, set[int]] = {}
-    for text, terms in enumerate(held):
-        for term in terms:
-            texts_of.setdefault(term, set()).add(copy_of[text])
-    return [term for term in sorted(texts_of) if len(texts_of[term]) >= SUPPORT and (
-        share >= 1 or _evidence(len(texts_of[term]), clean[term], share) >= EVIDENCE)]
-
-
 def _choose(support: dict[tuple[str, bool], int]) -> tuple[set[str], set[str]]:
     """Stems that no longer stem nearly replaces, and words that no chosen stem starts."""
     stems: list[str] = []

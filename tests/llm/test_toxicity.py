@@ -101,3 +101,20 @@ def test_rows_of_a_repeated_id_teach_once(planted):
     docs, labels, _ = planted
     often = docs.unionByName(docs.where("doc_id in (0, 1)").crossJoin(docs.sparkSession.range(200)).drop("id"))
     assert often.count() == 1000 and fit_lexicon(often, labels) == fit_lexicon(docs, labels)
+
+
+def test_copies_of_a_long_toxic_text_do_not_crowd_out_terms(ready):
+    rng = random.Random(11)
+    plain = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(300)]
+    long_words = ["".join(rng.choice("klmnopqrst") for _ in range(12)) for _ in range(3000)]
+    rows = []
+    for i in range(360):
+        words = [rng.choice(plain) for _ in range(40)]
+        if i < 60:  # a third of the toxic texts: near copies, each with a few words of its own
+            words = long_words + words
+        elif i < 100:
+            words[7] = "moronic"
+        rows.append((i, " ".join(words), int(i < 180)))
+    docs, labels = ready.createDataFrame(rows, "doc_id long, text string, toxic int").drop("toxic"), ready.createDataFrame(
+        [(i, x) for i, _, x in rows], "doc_id long, toxic int")
+    assert fit_lexicon(docs, labels).words == ["moronic"]
