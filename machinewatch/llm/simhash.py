@@ -29,7 +29,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from machinewatch.llm.common import fresh, per_text, written
@@ -175,31 +175,39 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         state = now
 
 
+def _named(nodes: DataFrame, radius: int, crowd: int, chunk: int) -> DataFrame:
+    """``fp, component_id`` of every node ``fp, least``: a component is named by its least document, not by its least fingerprint."""
+    parts = components(links(nodes.select("fp"), radius, crowd, chunk)).withColumnRenamed("node", "fp")
+    named = nodes.join(parts, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    return named.join(least, "component").select("fp", "component_id")
+
+
 def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, id_col: str = "doc_id",
                     text_col: str = "text", crowd: int = CROWD, chunk: int = CHUNK) -> DataFrame:
     """``doc_id, fingerprint, component_id`` of every document."""
     prints = written(fingerprints(documents, shingle, id_col, text_col), "fingerprints")
     nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    found = links(nodes.select("fp"), radius, crowd, chunk)
-    parts = components(found).withColumnRenamed("node", "fp")
-    # A component is named by its least document, not by its least fingerprint.
-    named = nodes.join(parts, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    of = named.join(least, "component").select("fp", "component_id")
+    of = _named(nodes, radius, crowd, chunk)
     return prints.join(of, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def one_of_each(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
-    """The documents with the least id of their component, with all their columns.
+    """One document of each component, with all its columns: the least id (rows without one last), then the least text hash.
 
-    Of rows with equal id and text one stays. Rows without an id stay only if
-    no document of their component has one.
+    Of rows with equal id and text any one stays.
     """
-    found = near_duplicates(documents, shingle, radius, id_col, text_col)
-    key, row = fresh(documents, "_stay"), fresh(documents, "_row")
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(key)).distinct()
-    kept = documents.join(stay, F.col(id_col).eqNullSafe(F.col(key)), "left_semi")
-    order = Window.partitionBy(id_col, F.xxhash64(text_col)).orderBy(text_col)
-    return kept.withColumn(row, F.row_number().over(order)).where(F.col(row) == 1).drop(row)
+    udf = per_text("fp long", lambda: lambda text: (fingerprint(text, shingle),))
+    prints = documents.select(
+        F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("d"), F.xxhash64(text_col).alias("h")).alias("row"),
+        udf(F.col(text_col))["fp"].alias("fp"))
+    nodes = written(prints.groupBy("fp").agg(F.min("row").alias("least")), "nodes")
+    key, hashed, row = (fresh(documents, n) for n in ("_stay", "_hash", "_row"))
+    stay = _named(nodes, radius, CROWD, CHUNK).select(
+        F.col("component_id.d").alias(key), F.col("component_id.h").alias(hashed)).distinct()
+    kept = documents.withColumn(row, F.xxhash64(text_col)).join(
+        stay, F.col(id_col).eqNullSafe(F.col(key)) & (F.col(row) == F.col(hashed)), "left_semi")
+    # Equal rows meet after each task has left one of them.
+    return kept.dropDuplicates([id_col, row]).drop(row)

@@ -98,3 +98,12 @@ def test_odd_rows(odd, empty):
 def test_fingerprint_of_a_long_text_in_stretches():
     text = " ".join(f"w{i % 977}" for i in range(70_000))
     assert fingerprint(text) % 2**64 == _slow_fingerprint(text)
+
+
+def test_one_row_of_each_component_with_repeated_and_missing_ids(ready):
+    a, b, c, e = (" ".join(f"{x}{i}" for i in range(60)) for x in ("ant", "bee", "cat", "elk"))
+    rows = [(1, a), (2, a), (2, b), (3, b), (None, a), (None, b), (None, c), (None, c), (None, c.upper()), (4, e), (4, e.upper())]
+    kept = [tuple(r) for r in one_of_each(ready.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len(kept) == 4
+    assert (1, a) in kept and (2, b) in kept
+    assert {(i, t.lower()) for i, t in kept} == {(1, a), (2, b), (None, c), (4, e)}
