@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from machinewatch.llm import chat
+from machinewatch.llm.prefix_trie import BORROWED, FAMILY
 from machinewatch.llm.quality_rules import MAX_LOST, MAX_REPEAT_PERCENT, MENU_SHARE, MIN_WORDS, SHORT_LINE, SYMBOL_NOISE
 
 _LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -129,6 +130,53 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words) AND lost <= {MAX_LOST} * word_chars AS kept
 FROM figures"""
 
+# crc32 of a number's decimal digits, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(
+    [4294967295::BIGINT] || list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+    lambda a, b: list_reduce([xor(a, b)] || [0::BIGINT, 0, 0, 0, 0, 0, 0, 0],
+                             lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+
+TRIE = f"""
+WITH turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+        PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+        sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+sizes AS (SELECT conv_id, count(*) AS size, conv_id - conv_id % {FAMILY} AS base, {_CRC32} % {BORROWED} AS h FROM turns GROUP BY conv_id),
+convs AS (
+    SELECT c.conv_id, c.base, c.h, least(c.h, coalesce(b.size, 0)) AS k FROM sizes c LEFT JOIN sizes b ON b.conv_id = c.base
+),
+rebuilt AS (
+    SELECT c.conv_id, t.pos AS d, role, text FROM convs c JOIN turns t ON t.conv_id = c.base AND t.pos <= c.k
+    UNION ALL
+    SELECT t.conv_id, t.pos - c.h + c.k, role, text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos > c.h
+),
+rows AS (
+    SELECT conv_id, d, sha256(array_to_string(list(sha256(length(role) || ':' || role || text)) OVER (
+               PARTITION BY conv_id ORDER BY d ROWS UNBOUNDED PRECEDING), ',')) AS name,
+           len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words
+    FROM rebuilt
+    UNION ALL SELECT conv_id, 0, '', 0 FROM convs
+),
+nodes AS (SELECT d, name, min(conv_id) AS rep, count(*) AS n_convs, (count(*) - 1) * max(words) AS saved FROM rows GROUP BY d, name),
+own AS (SELECT r.conv_id, r.d, n.rep FROM rows r JOIN nodes n ON n.d = r.d AND n.name = r.name),
+linked AS (SELECT n.*, p.rep AS parent FROM nodes n LEFT JOIN own p ON p.conv_id = n.rep AND p.d = n.d - 1),
+children AS (SELECT parent AS rep, d - 1 AS d, count(*) AS n FROM linked WHERE d > 0 GROUP BY ALL),
+counted AS (SELECT l.*, coalesce(c.n, 0) AS n_children FROM linked l LEFT JOIN children c ON c.rep = l.rep AND c.d = l.d),
+totals AS (
+    SELECT v.rep, v.d, count(*) FILTER (WHERE w.n_children = 0) AS n_leaves, sum(w.saved) AS saved
+    FROM counted w JOIN own v ON v.conv_id = w.rep AND v.d <= w.d GROUP BY v.rep, v.d
+),
+ends AS (
+    SELECT rep, d, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM own
+    WHERE (conv_id, d) IN (SELECT (conv_id, max(d)) FROM rows GROUP BY conv_id) GROUP BY rep, d
+)
+SELECT c.rep AS conv_id, c.d AS depth, c.parent AS parent_conv_id, c.n_convs, c.n_children, t.n_leaves,
+       cast(t.saved AS bigint) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM counted c JOIN totals t ON t.rep = c.rep AND t.d = c.d LEFT JOIN ends e ON e.rep = c.rep AND e.d = c.d"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_formatting": CHAT, "op8_decontamination": DECONTAMINATION, "op9_quality_rules": QUALITY,
+    "op13_conversation_prefix_trie": TRIE,
 }

@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 from machinewatch.llm.chat import format_windows, read_back
 from machinewatch.llm.common import crc_mod, prepare, table, with_struct, work_folder
 from machinewatch.llm.decontaminate import decontaminate
+from machinewatch.llm.fingerprint import fingerprint_edits
 from machinewatch.llm.html_extract import extract_pages
 from machinewatch.llm.language import fit_profiles, language_udf
 from machinewatch.llm.oracle import ORACLE_SQL
 from machinewatch.llm.packing import pack_documents, with_crc
+from machinewatch.llm.prefix_trie import prefix_trie, rebuilt_turns
 from machinewatch.llm.quality_rules import quality_rules
 from machinewatch.llm.simhash import near_duplicates
 from machinewatch.llm.token_counts import token_counts
 from machinewatch.llm.toxicity import fit_lexicon, toxicity_udf
 from machinewatch.llm.wavelet import read_documents, write_shards
+from machinewatch.llm.whitening import whiten
 
 
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,10 +96,29 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to sixteen whitened components of every embedding."""
+    prepare(spark)
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its text with the later half replaced."""
+    prepare(spark)
+    return fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes and totals of the prefix trie over all rebuilt conversations."""
+    prepare(spark)
+    return prefix_trie(rebuilt_turns(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_chat_formatting, op2_simhash, op3_language_id, op4_packing, op5_toxicity, op6_token_ids,
-        op7_token_counts, op8_decontamination, op9_quality_rules, op10_html_extraction)
+        op7_token_counts, op8_decontamination, op9_quality_rules, op10_html_extraction, op11_embedding_whitening,
+        op12_document_fingerprints, op13_conversation_prefix_trie)
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
