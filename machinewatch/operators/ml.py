@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import math
 import os
+import uuid
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
@@ -21,6 +22,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from machinewatch.operators.ranges import in_ranges, running_offsets
 from machinewatch.schema import (
     CV_FOLDS,
     FIXED_MAX_DEPTH,
@@ -32,6 +34,7 @@ from machinewatch.schema import (
     SEED,
     TEST_FRACTION,
 )
+from machinewatch.session import scratch_path
 
 #: Rows that the grid search is fitted on at most (bounded sample of labelled rows).
 GRID_FIT_ROWS = 1000
@@ -156,8 +159,8 @@ def grid_search(train: DataFrame, n_estimators=GRID_N_ESTIMATORS, max_depth=GRID
     ``min_samples_split`` maps to Spark's nearest knob ``minInstancesPerNode``
     (minimum rows per child, a stricter rule); ``None`` depth maps to 30.
     The search is fitted on at most about ``max_rows`` rows, those whose id
-    hash is lowest (all rows with ``None``); the caller's final model may
-    then be trained on everything with the best parameters.
+    hash is lowest (all rows with ``None``); the model returned is fitted on
+    all of ``train`` with the best parameters.
     Returns (best PipelineModel, best params dict, mean AUC per grid point).
     """
     pipe = rf_pipeline()
@@ -182,7 +185,9 @@ def grid_search(train: DataFrame, n_estimators=GRID_N_ESTIMATORS, max_depth=GRID
         rows.unpersist()
     best_idx = max(range(len(grid)), key=lambda i: cv_model.avgMetrics[i])
     best = {p.name: v for p, v in grid[best_idx].items()}
-    return cv_model.bestModel, best, list(cv_model.avgMetrics)
+    model = train_fixed(train, num_trees=best["numTrees"], max_depth=best["maxDepth"],
+                        min_instances=best["minInstancesPerNode"], seed=seed)
+    return model, best, list(cv_model.avgMetrics)
 
 
 # ---------------------------------------------------------------------------
@@ -260,36 +265,27 @@ def classification_report(df: DataFrame, label: str = "label", pred: str = "pred
     return both.select(F.inline(F.concat("per", F.array("macro", "weighted"))))
 
 
-def roc_auc(df: DataFrame, label: str = "label", score_col: str = "score", buckets: int = 1024) -> DataFrame:
+def roc_auc(df: DataFrame, label: str = "label", score_col: str = "score") -> DataFrame:
     """M7: exact ROC AUC by rank sum with mid-ranks for tied scores.
 
     AUC = sum over distinct scores s of pos(s) * (neg(<s) + neg(s)/2) / (P*N).
-    ``neg(<s)`` is a running sum over distinct scores, computed in two
-    levels so no task sees every score: the distinct-score table is cut
-    into ``buckets`` ranges by approximate quantiles; a running sum over the
-    bucket totals (<= ``buckets`` rows) gives each bucket's offset, and a
-    running sum inside each bucket finishes the prefix.
+    ``neg(<s)`` is a prefix sum over the distinct scores, which are written in
+    ranges of their order: one row per range gives each its offset, and a
+    running sum within the range does the rest. A tied score is one row, so
+    no tie crosses a border.
     """
     y = F.col(label).cast("int")
     per_score = df.groupBy(F.col(score_col).cast("double").alias("s")).agg(
         F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
-    splits = per_score.approxQuantile("s", [i / buckets for i in range(1, buckets)], 0.0001)
-    edges = sorted(set(v for v in splits if v is not None))
-    bucket = F.lit(0)
-    if edges:
-        # Bucket id = number of edges strictly below s (monotone in s).
-        arr = F.array(*[F.lit(float(e)) for e in edges])
-        bucket = F.size(F.filter(arr, lambda e: e < F.col("s")))
-    keyed = per_score.withColumn("b", bucket)
-    totals = keyed.groupBy("b").agg(F.sum("neg").alias("bneg"))
-    offsets = totals.select("b", F.coalesce(F.sum("bneg").over(
-        Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("off"))
-    within = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = keyed.join(offsets, "b").withColumn(
-        "neg_below", F.col("off") + F.coalesce(F.sum("neg").over(within), F.lit(0)))
+    ranged = in_ranges(per_score, [F.col("s")], scratch_path(df.sparkSession, f"auc-{uuid.uuid4().hex}"))
+    within = Window.partitionBy("part").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range.
+    offsets = F.broadcast(running_offsets(ranged, F.col("neg")))
+    ranked = ranged.withColumn("inside", F.coalesce(F.sum("neg").over(within), F.lit(0))).join(offsets, "part").withColumn(
+        "neg_below", F.col("offset") + F.col("inside"))
     return ranked.agg(
         (F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0))
-         / (F.sum("pos").cast("double") * F.sum("neg").cast("double"))).alias("roc_auc"))
+         / F.nullif(F.sum("pos").cast("double") * F.sum("neg").cast("double"), F.lit(0.0))).alias("roc_auc"))
 
 
 # ---------------------------------------------------------------------------

@@ -33,8 +33,25 @@ def test_training_auc_and_roundtrip(spark):
 def test_exact_auc_matches_brute_force(spark):
     rows = [(0, 0.1), (0, 0.4), (1, 0.35), (1, 0.8), (0, 0.8), (1, 0.9)]
     df = spark.createDataFrame(rows, "label int, score double")
-    got = ml.roc_auc(df, buckets=4).first()["roc_auc"]
+    got = ml.roc_auc(df).first()["roc_auc"]
     pos = [s for y, s in rows if y == 1]
     neg = [s for y, s in rows if y == 0]
     brute = sum((p > q) + 0.5 * (p == q) for p in pos for q in neg) / (len(pos) * len(neg))
     assert abs(got - brute) < 1e-12
+
+
+def test_exact_auc_over_many_ranges_and_ties(spark):
+    rows = [(int((i * 7919) % 11 < 3 + i % 5), float((i * 31) % 97) / 97 if i % 3 else float(i % 4)) for i in range(3000)]
+    got = ml.roc_auc(spark.createDataFrame(rows, "label int, score double")).first()["roc_auc"]
+    pos = [s for y, s in rows if y == 1]
+    neg = [s for y, s in rows if y == 0]
+    brute = sum((p > q) + 0.5 * (p == q) for p in pos for q in neg) / (len(pos) * len(neg))
+    assert abs(got - brute) < 1e-12
+    one_class = spark.createDataFrame([(1, 0.5), (1, 0.7)], "label int, score double")
+    assert ml.roc_auc(one_class).first()["roc_auc"] is None
+
+
+def test_auc_has_no_list_of_edges(spark):
+    df = spark.range(1000).select((F.col("id") % 2).cast("int").alias("label"), F.col("id").cast("double").alias("score"))
+    plan = ml.roc_auc(df)._jdf.queryExecution().toString()
+    assert "filter(array(" not in plan.lower() and "lambda" not in plan.lower()

@@ -58,8 +58,11 @@ def test_grid_is_whole_and_its_rows_are_bounded(spark, monkeypatch):
             return type("Model", (), {"avgMetrics": [0.5] * len(seen["estimatorParamMaps"]), "bestModel": None})
 
     monkeypatch.setattr(ml, "CrossValidator", Search)
+    monkeypatch.setattr(ml, "train_fixed", lambda rows, **params: params | {"rows": rows.count()})
     train = _features(spark)
-    ml.grid_search(train, max_rows=300)
+    model, best, _ = ml.grid_search(train, max_rows=300)
+    # The model that is kept is fitted on all rows with the best parameters.
+    assert model["rows"] == train.count() and model["num_trees"] == best["numTrees"]
     assert len(seen["estimatorParamMaps"]) == 27 and seen["numFolds"] == 5
     assert 200 < seen["rows"] < 400
     ml.grid_search(train, max_rows=None)
