@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from machinewatch.functions.features import (
     date_part_columns,
@@ -15,6 +19,7 @@ from machinewatch.functions.features import (
     score_column,
 )
 from machinewatch.schema import DATA_VERSION, ETL_RULES, MODEL_FEATURES, SENSORS, Thresholds
+from machinewatch.session import scratch_path
 
 LAG_NAMES = {"temperature": "temp", "vibration": "vib", "pressure": "pressure"}
 
@@ -110,28 +115,90 @@ def choose_bucket(df: DataFrame, partition_col: str = "machine_id", ts: str = "e
     return LAG_BUCKETS[-1]
 
 
+def _shifted(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
+    """Sorted rows of one range with the row before: ``_lag_*``, and marks on the range's first and last row."""
+    def marked(batch: pa.RecordBatch, mark: pa.BooleanArray) -> pa.RecordBatch:
+        return batch.append_column("_last", mark)
+
+    before = held = None
+    for batch in batches:
+        n = len(batch)
+        if not n:
+            continue
+        rows = pa.Table.from_batches([batch.select([key, *SENSORS])])
+        opening = before is None
+        # The first row of a range has no row before it here; it stands in for one, and is marked.
+        shifted = pa.concat_tables([rows.slice(0, 1) if opening else before, rows.slice(0, n - 1)]).combine_chunks()
+        same = pc.or_(pc.fill_null(pc.equal(shifted[key], rows[key]), False),
+                      pc.and_(pc.is_null(shifted[key]), pc.is_null(rows[key]))).combine_chunks()
+        first = pa.array([opening] + [False] * (n - 1))
+        same = pc.and_(same, pc.invert(first))
+        before = rows.slice(n - 1)
+        for s in SENSORS:
+            lagged = pc.if_else(same, shifted[s].combine_chunks(), pa.scalar(None, batch.schema.field(s).type))
+            batch = batch.append_column(f"_lag_{s}", lagged)
+        batch = batch.append_column("_first", first)
+        if held is not None:
+            yield marked(held, pa.array([False] * len(held)))
+        held = batch
+    if held is not None:
+        yield marked(held, pa.array([False] * (len(held) - 1) + [True]))
+
+
+def lag_pass(df: DataFrame, order: Sequence[str], partition_col: str = "machine_id") -> DataFrame:
+    """Rows in ranges of (machine, order), each with the row before it in its range: one scan, one shuffle."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    line = [F.col(partition_col), *[F.col(c) for c in order]]
+    ranged = df.repartitionByRange(parts, *line).sortWithinPartitions(*line).withColumn("_part", F.spark_partition_id())
+    fields = [T.StructField(f"_lag_{s}", df.schema[s].dataType) for s in SENSORS]
+    marks = [T.StructField(m, T.BooleanType()) for m in ("_first", "_last")]
+    schema = T.StructType([*ranged.schema.fields, *fields, *marks])
+    return ranged.mapInArrow(lambda batches: _shifted(batches, partition_col), schema)
+
+
+def lag_over_ranges(df: DataFrame, order: Sequence[str], partition_col: str = "machine_id") -> DataFrame:
+    """``df`` with ``_prev``, the machine's reading before each row.
+
+    Ranges are of about equal size whatever the machines are, so one that
+    holds most rows is spread over most ranges. A machine that goes on over a
+    border gets the last row of the range before: one row per range.
+    """
+    path = scratch_path(df.sparkSession, f"lag-{uuid.uuid4().hex}")
+    lag_pass(df, order, partition_col).write.parquet(path)
+    stored = df.sparkSession.read.parquet(path)
+    lasts = stored.filter("_last").select("_part", F.struct(F.col(partition_col).alias("key"), *SENSORS).alias("_end"))
+    carried = lasts.select("_part", F.lag("_end").over(Window.partitionBy(F.lit(0)).orderBy("_part")).alias("_end"))
+    # A row per range: as many as the session has shuffle partitions.
+    joined = stored.join(F.broadcast(carried), "_part", "left")
+    over = F.col("_first") & F.col("_end").isNotNull() & F.col("_end.key").eqNullSafe(F.col(partition_col))
+    prev = F.struct(*[F.when(over, F.col(f"_end.{s}")).otherwise(F.col(f"_lag_{s}")).alias(s) for s in SENSORS])
+    return joined.select(*df.columns, prev.alias("_prev"))
+
+
 def lag_features(
     df: DataFrame,
     partition_col: str = "machine_id",
     ts: str = "event_timestamp",
     tie_break: Sequence[str] | None = None,
-    bucket: str | None = "auto",
+    bucket: str | None = "ranges",
 ) -> DataFrame:
     """W1 + P21: previous reading per machine (``*_lag_1``) and the differences.
 
-    ``bucket=None`` is the plain ``Window.partitionBy(machine)`` plan: one task
-    per machine, fine for many small machines. A bucket splits each
-    machine's series in time (``date_trunc(bucket, ts)``), runs the
-    lag inside each bucket, and carries the last reading of the previous
-    non-empty bucket into each bucket's first row through a small join. A hot
-    machine is then spread over as many tasks as it has buckets. The default
-    takes the largest bucket whose measured groups are small enough.
+    ``bucket="ranges"`` deals the rows by sampled ranges of (machine, time):
+    one scan, one shuffle, and a hot machine over many tasks. ``None`` is the
+    plain ``Window.partitionBy(machine)`` plan: one task per machine, fine for
+    many small machines. A time bucket splits each machine's series by
+    ``date_trunc(bucket, ts)`` and carries the last reading of the previous
+    non-empty bucket through a small join; ``"auto"`` takes the largest bucket
+    whose measured groups are small enough.
     """
     if bucket == "auto":
         bucket = choose_bucket(df, partition_col, ts)
     order = _order_columns(df, ts, tie_break)
     reading = F.struct(*[F.col(s).alias(s) for s in SENSORS])
-    if bucket is None:
+    if bucket == "ranges":
+        out = lag_over_ranges(df, order, partition_col)
+    elif bucket is None:
         w = Window.partitionBy(partition_col).orderBy(*order)
         prev = F.lag(reading, 1).over(w)
         out = df.withColumn("_prev", prev)

@@ -46,7 +46,7 @@ class EtlPaths:
         return os.path.join(self.root, "analytics", "machine_performance")
 
 
-def process(readings: DataFrame, lag_bucket: str | None = "auto", processing_time: bool = True) -> DataFrame:
+def process(readings: DataFrame, lag_bucket: str | None = "ranges", processing_time: bool = True) -> DataFrame:
     """P1-P6 then W1/P21: the processed ``sensor_data`` rows."""
     return lag_features(derive_features(readings, processing_time=processing_time), bucket=lag_bucket)
 
@@ -55,7 +55,7 @@ def run_etl(
     spark: SparkSession,
     readings: DataFrame,
     out_root: str,
-    lag_bucket: str | None = "auto",
+    lag_bucket: str | None = "ranges",
     processing_time: bool = True,
 ) -> dict:
     """Run the whole batch job; returns the run statistics."""
