@@ -164,8 +164,8 @@ SELECT event_id, machine_id, event_timestamp, temp_lag_1, vib_lag_1, pressure_la
        temp_diff, vib_diff, pressure_diff
 FROM lagged""", LAG_SQL))
 def q_lag_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W1 + P21: previous reading per machine and differences (day-bucketed, skew-safe plan)."""
-    out = enrich.lag_features(sensor_data(spark, sf_dir), bucket="day")
+    """W1 + P21: previous reading per machine and differences, over ranges of (machine, time)."""
+    out = enrich.lag_features(sensor_data(spark, sf_dir))
     return out.select("event_id", "machine_id", "event_timestamp",
                       "temp_lag_1", "vib_lag_1", "pressure_lag_1",
                       "temp_diff", "vib_diff", "pressure_diff")
@@ -831,21 +831,25 @@ rollup AS (
 )"""
 
 
-def _stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST7's stream over records with whole numbers (every ninth of 100 without a temperature)."""
+def whole_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly arrivals of records with whole numbers (every ninth of 100 without a temperature)."""
     k = F.col("event_id") % 100
     raw = F.concat(
         F.lit('{"machine_id":"'), F.col("machine_id"), F.lit('","timestamp":'), F.col("timestamp").cast("string"),
         F.lit(',"vibration":'), k.cast("string"), F.lit(',"pressure":'), (k * 7).cast("string"),
         F.when(k % 9 == 0, F.lit("")).otherwise(F.concat(F.lit(',"temperature":'), (k * 3).cast("string"))), F.lit("}"))
+    return load_readings(spark, sf_dir).select(raw.alias("raw"), _week().alias("week"))
+
+
+def _stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST7's stream over ``whole_lines``."""
     root = _scratch(spark, "stream-rollup")
 
     def start(stream: DataFrame):
         records = stream_transform.transform_records(stream)
         return stream_windows.start_rollup(records.withColumn("event_time", F.timestamp_seconds("timestamp")), root)
 
-    lines = load_readings(spark, sf_dir).select(raw.alias("raw"), _week().alias("week"))
-    stream_sources.run_arrivals(lines, root, "week", start)
+    stream_sources.run_arrivals(whole_lines(spark, sf_dir), root, "week", start)
     return stream_windows.read_rollup(spark, root)
 
 
@@ -1041,8 +1045,6 @@ def q_postprocess_prediction(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "prediction", "prediction_label", "severity")
 
 
-#: Forest that the scoring queries train: what they check does not depend on its size.
-SCORING_FOREST = {"num_trees": 20, "max_depth": 8}
 SPLIT_SQL = """split AS (
     SELECT *, CASE WHEN rn <= ceil(0.2 * n) THEN 'test' ELSE 'train' END AS split
     FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5('42-' || cast(event_id AS varchar))) AS rn,
@@ -1081,12 +1083,12 @@ def q_training_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("train_fixed", with_ctes("""
-SELECT cast(cast(label AS int) AS varchar) AS class, count(*) AS support, true AS in_range
+SELECT cast(cast(label AS int) AS varchar) AS class, count(*) AS support, true AS in_range, true AS learned
 FROM split WHERE split = 'test' GROUP BY label
-UNION ALL SELECT 'macro avg', count(*), true FROM split WHERE split = 'test'
-UNION ALL SELECT 'weighted avg', count(*), true FROM split WHERE split = 'test'""", TRAIN_SQL, SPLIT_SQL))
+UNION ALL SELECT 'macro avg', count(*), true, true FROM split WHERE split = 'test'
+UNION ALL SELECT 'weighted avg', count(*), true, true FROM split WHERE split = 'test'""", TRAIN_SQL, SPLIT_SQL))
 def q_train_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M3 + M5: the fixed forest (100 trees, depth 20); its report on the held-out split."""
+    """M3 + M5: the fixed forest (100 trees, depth 20); its report on the held-out split, which it must have learned."""
     parts = ml.stratified_split(training_features(spark, sf_dir))
     model = ml.train_fixed(parts.filter(F.col("split") == "train"))
     scored = ml.score(model, parts.filter(F.col("split") == "test"))
@@ -1094,7 +1096,20 @@ def q_train_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     in_range = F.lit(True)
     for measure in ("precision", "recall", "f1"):
         in_range = in_range & F.col(measure).between(0.0, 1.0)
-    return report.select("class", "support", in_range.alias("in_range"))
+    return report.select("class", "support", in_range.alias("in_range"), F.lit(_learned(scored)).alias("learned"))
+
+
+def _learned(scored: DataFrame) -> bool:
+    """Whether a model is better than the majority class and ranks better than the rule score does."""
+    stored = _scratch(scored.sparkSession, "scored")
+    flags = sum((F.coalesce(c, F.lit(0)) for c in flag_columns().values()), F.lit(0))
+    scored.select(F.col("label").cast("int").alias("label"), "prediction", "anomaly_probability",
+                  flags.alias("rule")).write.parquet(stored)
+    rows = scored.sparkSession.read.parquet(stored)
+    sizes = [r["count"] for r in rows.groupBy("label").count().collect()]
+    auc = {c: ml.roc_auc(rows, score_col=c).first()["roc_auc"] for c in ("anomaly_probability", "rule")}
+    right = ml.accuracy(rows).first()["accuracy"]
+    return bool(right >= max(sizes) / sum(sizes) and auc["anomaly_probability"] > auc["rule"])
 
 
 @register("model_roundtrip", with_ctes("""
@@ -1102,7 +1117,7 @@ SELECT event_id, machine_id, true AS same_prediction, true AS same_probability F
 def q_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The model saved and loaded back scores every reading as the fitted one does."""
     feats = training_features(spark, sf_dir)
-    model = ml.train_fixed(feats, **SCORING_FOREST)
+    model = ml.train_fixed(feats)
     path = _scratch(spark, "model")
     ml.save_model(model, path)
     fitted = ml.score(model, feats).select(
@@ -1118,7 +1133,7 @@ SELECT event_id, true AS label_agrees, true AS severity_agrees, true AS confiden
 FROM feats""", TRAIN_SQL))
 def q_batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M10 + M11: every reading scored by the saved model; label, severity and confidence follow from the prediction."""
-    out, _ = trained_model(spark, sf_dir, fixed=SCORING_FOREST)
+    out, _ = trained_model(spark, sf_dir)
     scored = ml.postprocess_prediction(ml.score(ml.load_model(out + "/model"), training_features(spark, sf_dir)))
     anomaly, p = F.col("prediction") == 1, F.col("anomaly_probability")
     return scored.select(
@@ -1127,17 +1142,22 @@ def q_batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.abs(F.col("confidence") - F.greatest(p, 1 - p)) < 1e-9).alias("confidence_agrees"))
 
 
-@register("grid_search", """
-SELECT t.v AS num_trees, d.v AS max_depth, m.v AS min_instances, true AS auc_in_range
-FROM (VALUES (50), (100), (200)) t(v), (VALUES (10), (20), (30)) d(v), (VALUES (2), (5), (10)) m(v)""")
+@register("grid_search", with_ctes("""
+SELECT t.v AS num_trees, d.v AS max_depth, m.v AS min_instances, true AS auc_above_chance, true AS refitted,
+       (SELECT count(*) FROM split WHERE split = 'train') AS train_rows
+FROM (VALUES (50), (100), (200)) t(v), (VALUES (10), (20), (30)) d(v), (VALUES (2), (5), (10)) m(v)""", TRAIN_SQL, SPLIT_SQL))
 def q_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M4: the full grid (3 x 3 x 3) with five folds, scored by ROC AUC, on a bounded sample of the training rows."""
     train = ml.stratified_split(training_features(spark, sf_dir)).filter(F.col("split") == "train")
-    _, best, metrics = ml.grid_search(train)
+    model, best, metrics = ml.grid_search(train)
     points = [(t, min(d or ml.SPARK_MAX_DEPTH, ml.SPARK_MAX_DEPTH), m) for t in ml.GRID_N_ESTIMATORS
               for d in ml.GRID_MAX_DEPTH for m in ml.GRID_MIN_SAMPLES_SPLIT]
-    rows = [(*p, 0.0 <= auc <= 1.0) for p, auc in zip(points, metrics, strict=True)]
-    return spark.createDataFrame(rows, "num_trees int, max_depth int, min_instances int, auc_in_range boolean")
+    # Every point separates the classes, and the model that is used was fitted on all training rows.
+    whole = len(model.stages[-1].trees) == best["numTrees"] and model.stages[-1].trees[0].depth <= best["maxDepth"]
+    fitted = train.count()
+    rows = [(*p, bool(0.5 < auc <= 1.0), bool(whole), fitted) for p, auc in zip(points, metrics, strict=True)]
+    return spark.createDataFrame(
+        rows, "num_trees int, max_depth int, min_instances int, auc_above_chance boolean, refitted boolean, train_rows bigint")
 
 
 SCORE_VALID = """(event_id % 101 <> 0 AND temperature IS NOT NULL AND vibration IS NOT NULL AND pressure IS NOT NULL
@@ -1154,7 +1174,7 @@ def q_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST2: the saved model over a stream of partly defective records: each is scored or rejected, per micro-batch."""
     from machinewatch.streaming import scoring
 
-    out, _ = trained_model(spark, sf_dir, fixed=SCORING_FOREST)
+    out, _ = trained_model(spark, sf_dir)
     model, root = ml.load_model(out + "/model"), _scratch(spark, "stream-score")
     lines = rawsrc.raw_bad(load_readings(spark, sf_dir)).withColumn("week", _week())
     stream_sources.run_arrivals(lines, root, "week", lambda stream: scoring.start_scoring(stream, model, root))

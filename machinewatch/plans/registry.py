@@ -54,7 +54,7 @@ for _name, _fn in CATALOGUE.items():
 
 def _load_all() -> None:
     # Import for side effects: each module registers its queries.
-    from machinewatch.plans import registered  # noqa: F401
+    from machinewatch.plans import live, registered  # noqa: F401
 
 
 def _configured(fn: QueryFn) -> QueryFn:

@@ -19,8 +19,10 @@ from pyspark.sql.streaming import StreamingQuery
 from machinewatch.operators.enrich import lenient_features
 from machinewatch.operators.ml import postprocess_prediction, score
 from machinewatch.operators.quality import dead_letter_rows, range_warnings, split_valid, validate_readings
+from machinewatch.sinks.files import session_conf
 from machinewatch.sinks.messages import alert_messages, metrics_long
 from machinewatch.sources.raw import decode_payload, parse_raw
+from machinewatch.streaming.dedupe import STATE_STORE, drop_redelivered
 from machinewatch.streaming.transform import write_batch
 
 SCORE_REQUIRED = ("temperature", "vibration", "pressure")
@@ -79,9 +81,13 @@ def make_score_writer(root: str, model: PipelineModel):
 
 
 def start_scoring(stream: DataFrame, model: PipelineModel, root: str, available_now: bool = True,
-                  payload: bool = False) -> StreamingQuery:
+                  payload: bool = False, redelivered_within: str | None = None) -> StreamingQuery:
+    """ST2; ``redelivered_within`` scores a record that arrives again within that time once."""
     raw = decode_payload(stream) if payload else stream
+    if redelivered_within:
+        raw = drop_redelivered(raw, redelivered_within)
     writer = (validate_records(raw).writeStream.foreachBatch(make_score_writer(root, model))
               .option("checkpointLocation", os.path.join(root, "checkpoint")))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 seconds")
-    return writer.start()
+    with session_conf(stream.sparkSession, STATE_STORE if redelivered_within else {}):
+        return writer.start()

@@ -20,8 +20,10 @@ from machinewatch.operators.enrich import enrich_stream
 from machinewatch.operators.quality import dead_letter_rows, split_valid, validate_readings
 from machinewatch.operators.stats import attach_batch_stats
 from machinewatch.schema import RAW_STRING_SCHEMA, REQUIRED_FIELDS
+from machinewatch.sinks.files import session_conf
 from machinewatch.sinks.messages import republish_keyed
 from machinewatch.sources.raw import decode_payload, parse_raw
+from machinewatch.streaming.dedupe import STATE_STORE, drop_redelivered
 
 # In the transform path an absent timestamp is filled, so it is not required.
 TRANSFORM_REQUIRED = tuple(f for f in REQUIRED_FIELDS if f != "timestamp")
@@ -70,9 +72,12 @@ def make_batch_writer(paths: TransformPaths, group_cols: tuple[str, ...] = ("mac
             typed = valid.withColumn("event_time", F.timestamp_seconds("timestamp"))
             # Device records have no id; where some do, it only breaks ties in time.
             enriched = attach_batch_stats(typed, list(group_cols), ts="event_time").persist()
-            write_batch(enriched, paths.delivered, batch_id)
-            # What is published is the enriched record, without the raw text it came from.
-            write_batch(republish_keyed(enriched.drop("raw", "is_valid", "reject_reason")), paths.keyed, batch_id, "json")
+            try:
+                write_batch(enriched, paths.delivered, batch_id)
+                # What is published is the enriched record, without the raw text it came from.
+                write_batch(republish_keyed(enriched.drop("raw", "is_valid", "reject_reason")), paths.keyed, batch_id, "json")
+            finally:
+                enriched.unpersist()
             write_batch(dead_letter_rows(validated), paths.errors, batch_id, "json")
             spark = batch.sparkSession
             log = spark.createDataFrame(
@@ -81,7 +86,6 @@ def make_batch_writer(paths: TransformPaths, group_cols: tuple[str, ...] = ("mac
                 "records bigint, processed_records bigint, rejected_records bigint, "
                 "processing_time_ms double").withColumn("logged_at", F.current_timestamp())
             write_batch(log, paths.batch_log, batch_id, "json")
-            enriched.unpersist()
         finally:
             validated.unpersist()
 
@@ -89,12 +93,20 @@ def make_batch_writer(paths: TransformPaths, group_cols: tuple[str, ...] = ("mac
 
 
 def start_transform(stream: DataFrame, paths: TransformPaths, available_now: bool = True,
-                    processing_time: str = "5 seconds", payload: bool = False) -> StreamingQuery:
-    """ST1: ``stream`` carries ``raw`` (or ``data``/``body`` when ``payload``)."""
+                    processing_time: str = "5 seconds", payload: bool = False,
+                    redelivered_within: str | None = None) -> StreamingQuery:
+    """ST1: ``stream`` carries ``raw`` (or ``data``/``body`` when ``payload``).
+
+    ``redelivered_within`` ("24 hours") takes records that arrive again within
+    that time once; without it every delivery counts.
+    """
     raw = decode_payload(stream) if payload else stream
+    if redelivered_within:
+        raw = drop_redelivered(raw, redelivered_within)
     validated = transform_records(raw)
     writer = (validated.writeStream.foreachBatch(make_batch_writer(paths))
               .option("checkpointLocation", paths.checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime=processing_time)
-    return writer.start()
+    with session_conf(stream.sparkSession, STATE_STORE if redelivered_within else {}):
+        return writer.start()

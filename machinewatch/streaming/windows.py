@@ -27,6 +27,7 @@ from machinewatch.schema import (
     READING_SCHEMA,
 )
 from machinewatch.sources.raw import decode_payload
+from machinewatch.streaming.progress import observed
 from machinewatch.streaming.transform import write_batch
 
 PERIOD = f"{ALARM_PERIOD_SECONDS} seconds"
@@ -133,12 +134,16 @@ def late_split(df: DataFrame, batch_col: str = "batch_id", ts: str = "event_time
         "is_late", F.coalesce(F.col(ts) < bound, F.lit(False))).drop("_prior_max")
 
 
-def start_rollup(stream: DataFrame, root: str, ts: str = "event_time", available_now: bool = True) -> StreamingQuery:
+def start_rollup(stream: DataFrame, root: str, ts: str = "event_time", available_now: bool = True,
+                 observe: str | None = None) -> StreamingQuery:
     """ST7 as a stream: every micro-batch writes the windows it changed under its batch id.
 
     A replayed batch replaces its own rows; ``read_rollup`` takes each
     window's latest state, over which the alarms (ST5, ST6) are evaluated.
+    ``observe`` names a progress table's metrics (``progress.ProgressTable``).
     """
+    if observe:
+        stream = observed(stream, observe, ts)
     writer = (streaming_rollup(stream, ts).writeStream.outputMode("update")
               .foreachBatch(lambda batch, batch_id: write_batch(batch, os.path.join(root, "rollup"), batch_id))
               .option("checkpointLocation", os.path.join(root, "checkpoint")))
