@@ -13,6 +13,7 @@ from machinewatch.operators import distinct
 from machinewatch.plans import registered as base
 from machinewatch.plans.registry import register
 from machinewatch.schema import SENSORS
+from machinewatch.sources import crawl
 from machinewatch.sources import raw as rawsrc
 from machinewatch.sources import records as json_records
 from machinewatch.streaming import alarms, delivery, progress, sources, transform, windows
@@ -174,3 +175,51 @@ def q_scan_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested = "machine_id string, timestamp bigint, sensors struct<temperature: double, vibration: double, pressure: double>"
     out = json_records.json_records(spark, path).select(F.from_json("raw", nested).alias("r"))
     return out.select("r.machine_id", "r.timestamp", "r.sensors.*")
+
+
+# --- schema with drift (S18) ---------------------------------------------------------------------
+
+#: Every such temperature is a text, and records carry a firmware from the second week of the table on.
+TEXT_EVERY = 101
+
+
+@register("schema_drift", with_ctes(f"""
+SELECT column_name, data_type, types, records, first_seen, last_seen, changed_type,
+       first_seen > min(first_seen) OVER () AS appeared_late, last_seen < max(last_seen) OVER () AS vanished
+FROM (
+    SELECT column_name, CASE WHEN count(DISTINCT kind) = 1 THEN min(kind) ELSE 'string' END AS data_type,
+           string_agg(DISTINCT kind, ',' ORDER BY kind) AS types, count(*) AS records,
+           cast(date_trunc('hour', min(event_timestamp)) AS timestamp) AS first_seen,
+           cast(date_trunc('hour', max(event_timestamp)) AS timestamp) AS last_seen, count(DISTINCT kind) > 1 AS changed_type
+    FROM (
+        SELECT event_timestamp, unnest([
+            {{'column_name': 'machine_id', 'kind': 'string'}}, {{'column_name': 'timestamp', 'kind': 'bigint'}},
+            {{'column_name': 'temperature', 'kind': CASE WHEN event_id % {TEXT_EVERY} = 0 THEN 'string'
+                                                      WHEN temperature IS NOT NULL THEN 'double' END}},
+            {{'column_name': 'vibration', 'kind': CASE WHEN vibration IS NOT NULL THEN 'double' END}},
+            {{'column_name': 'pressure', 'kind': CASE WHEN pressure IS NOT NULL THEN 'double' END}},
+            {{'column_name': 'firmware', 'kind': CASE WHEN event_timestamp >= (SELECT min(ts) FROM events) + INTERVAL 7 DAY
+                                                   THEN 'struct<major: bigint>' END}}], recursive := true)
+        FROM readings) e
+    WHERE kind IS NOT NULL GROUP BY column_name
+) c"""))
+def q_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lake crawled in two steps (new folders only); columns that change type or appear late are reported."""
+    readings = load_readings(spark, sf_dir)
+    first = readings.agg(F.min("event_timestamp").alias("t")).first()["t"]
+    number = F.when(F.col("event_id") % TEXT_EVERY != 0, F.col("temperature").cast("string"))
+    fields = F.concat_ws(
+        ",", F.concat(F.lit('"machine_id":"'), "machine_id", F.lit('","timestamp":'), F.col("timestamp").cast("string")),
+        F.when(F.col("event_id") % TEXT_EVERY == 0, F.lit('"temperature":"bad"')).otherwise(
+            F.concat(F.lit('"temperature":'), number)),
+        *[F.concat(F.lit(f'"{s}":'), F.col(s).cast("string")) for s in ("vibration", "pressure")],
+        F.when(F.col("event_timestamp") >= F.lit(first).cast("timestamp_ntz") + F.expr("INTERVAL 7 DAYS"), F.lit('"firmware":{"major":2}')))
+    landed = readings.select(F.concat(F.lit("{"), fields, F.lit("}")).alias("value"), *[
+        c.alias(n) for n, c in date_part_columns().items()])
+    path, store = base._scratch(spark, "drift-lake"), base._scratch(spark, "drift-store")
+    early = F.col("day") <= 10
+    for part in (early, ~early):
+        landed.filter(part).hint("rebalance", *base.rawsrc.LAKE_KEYS).write.mode("append").partitionBy(
+            *base.rawsrc.LAKE_KEYS).text(path)
+        crawl.crawl(spark, path, store)
+    return crawl.lake_schema(spark, store)

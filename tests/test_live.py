@@ -14,11 +14,11 @@ from machinewatch.fixtures import load_readings
 from machinewatch.operators import distinct, enrich
 from machinewatch.operators.ranges import in_ranges, running_offsets
 from machinewatch.sinks.files import session_conf
-from machinewatch.sources import records
+from machinewatch.sources import crawl, records
 from machinewatch.streaming import alarms, dedupe, delivery, progress, sources, transform, windows
 
 LIVE = ["stream_dedup", "distinct_devices", "live_alarms", "closed_alarms", "stream_dashboard", "stream_delivery",
-        "scan_json_records", "lag_features"]
+        "scan_json_records", "lag_features", "schema_drift"]
 
 
 @pytest.mark.parametrize("name", LIVE)
@@ -394,3 +394,51 @@ def test_offsets_over_ranges(spark):
         own = [p for key, _, p in rows if key == k]
         assert own == sorted(own)
         assert all(offsets[k, p] == own.index(p) for p in set(own))
+
+
+# --- schema with drift ---------------------------------------------------------------------------
+
+def _land(path, folder, lines, name="part.json"):
+    os.makedirs(os.path.join(path, folder), exist_ok=True)
+    with open(os.path.join(path, folder, name), "w") as f:
+        f.write("\n".join(lines))
+
+
+def test_drift_is_reported_and_only_new_folders_are_read(spark, monkeypatch):
+    path, store = _root("drift"), _root("drift-store")
+    day = "year=2024/month={}/day=1/hour=0".format
+    _land(path, day(2), ['{"a":1,"b":1.5,"gone":"x"}', '{"a":2,"n":null}', "not json", ""])
+    assert crawl.crawl(spark, path, store) == [day(2)]
+    _land(path, day(10), ['{"a":"text","b":2,"late":{"x":[1]}}', "[1]"])
+    _land(path, day(11), ['{"a":3,"b":2.25,"odd `name":true}'])
+    read = []
+    lines = crawl.folder_types
+    monkeypatch.setattr(crawl, "folder_types", lambda df: read.append(sorted(r[0] for r in df.select("month").distinct().collect())) or lines(df))
+    assert crawl.crawl(spark, path, store) == [day(10), day(11)] and read == [[10, 11]]
+    assert crawl.crawl(spark, path, store) == []
+    got = {r["column_name"]: r for r in crawl.lake_schema(spark, store).collect()}
+    kinds = {c: (r["data_type"], r["types"], r["records"], r["changed_type"], r["appeared_late"], r["vanished"]) for c, r in got.items()}
+    assert kinds == {
+        "a": ("string", "bigint,string", 4, True, False, False), "b": ("double", "bigint,double", 3, True, False, False),
+        "gone": ("string", "string", 1, False, False, True), "n": ("string", "", 1, False, False, True),
+        "late": ("struct<x: array<bigint>>", "struct<x: array<bigint>>", 1, False, True, True),
+        "odd `name": ("boolean", "boolean", 1, False, True, False), "_corrupt": ("string", "", 2, False, False, True)}
+    assert got["late"]["first_seen"] == dt.datetime(2024, 10, 1)
+    # A folder that changes is read again, and its counts replaced.
+    _land(path, day(11), ['{"a":4}', '{"a":5}'], "more.json")
+    assert crawl.crawl(spark, path, store) == [day(11)]
+    assert crawl.lake_schema(spark, store).filter("column_name = 'a'").first()["records"] == 6
+    assert spark.read.schema(crawl.schema_ddl(spark, store)).json(path).filter("a = '4'").count() == 1
+
+
+def test_an_interrupted_crawl_is_done_again(spark, monkeypatch):
+    path, store = _root("drift-dies"), _root("drift-dies-store")
+    _land(path, "year=2024/month=1/day=1/hour=5", ['{"a":1}'])
+    keys = crawl._keys_of
+    monkeypatch.setattr(crawl, "_keys_of", lambda f: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError, match="lost"):
+        crawl.crawl(spark, path, store)
+    monkeypatch.setattr(crawl, "_keys_of", keys)
+    assert len(crawl.crawl(spark, path, store)) == 1
+    assert [r["records"] for r in crawl.lake_schema(spark, store).collect()] == [1]
+    assert crawl.crawl(spark, _root("drift-empty"), _root("drift-empty-store")) == []
