@@ -152,7 +152,7 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def _succession(rows: DataFrame) -> DataFrame:
-    """``key, copies, before_key, before_chars``: each distinct row with the one that it follows.
+    """``key, id, n_chars, copies, before_key, before_chars``: each distinct row with the one that it follows.
 
     Only keys and lengths are sorted. Within a range the row before is a lag;
     a range's first row follows the last one of the range before, and the very
@@ -171,7 +171,7 @@ def _succession(rows: DataFrame) -> DataFrame:
     whole = ranges.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     borders = lasts.select("part", F.coalesce(F.lag("me").over(ranges), F.last("me").over(whole)).alias("carried"))
     linked = keys.join(F.broadcast(borders), "part").withColumn("before", F.coalesce("before", "carried"))
-    return written(linked.select("key", "copies", F.col("before.key").alias("before_key"),
+    return written(linked.select("key", "id", "n_chars", "copies", F.col("before.key").alias("before_key"),
                                  F.col("before.n_chars").alias("before_chars")), "fingerprint-links")
 
 
@@ -190,8 +190,8 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     links = _succession(rows)
     most = links.agg(F.max("copies")).first()[0] or 0
 
-    distinct = rows.groupBy("key").agg(F.first("id").alias("id"), F.first("text").alias("text"), F.first("n_chars").alias(
-        "n_chars")).join(links, "key")
+    # Key and text alone, so that both sides of the join below read one shuffle.
+    distinct = rows.groupBy("key").agg(F.first("text").alias("text")).join(links, "key")
     half = F.floor(F.col("n_chars") / 2).cast("int")
     given = distinct.select(
         F.col("before_key").alias("key"),
