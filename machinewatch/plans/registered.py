@@ -859,22 +859,27 @@ def q_stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stream_rollup(spark, sf_dir)
 
 
-@register("stream_alarm_errors", with_ctes(_alarm_sql("errors", "{v} > 5", "rollup"), STREAM_ROLLUP_SQL))
+# The stream goes on: its newest window is open and not judged.
+CLOSED_ROLLUP_SQL = "closed AS (SELECT * FROM rollup WHERE window_end <= (SELECT max(window_start) FROM rollup))"
+
+
+@register("stream_alarm_errors", with_ctes(_alarm_sql("errors", "{v} > 5", "closed"), STREAM_ROLLUP_SQL, CLOSED_ROLLUP_SQL))
 def q_stream_alarm_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST5 over the windows that the rollup stream wrote."""
-    return stream_windows.alarm_errors(_stream_rollup(spark, sf_dir))
+    """ST5 over the closed windows that the rollup stream wrote."""
+    return stream_windows.alarm_errors(stream_windows.closed_windows(_stream_rollup(spark, sf_dir)))
 
 
-@register("stream_alarm_low_throughput", with_ctes(_alarm_sql("records", "{v} < 100", "filled"), STREAM_ROLLUP_SQL, """
+@register("stream_alarm_low_throughput", with_ctes(_alarm_sql("records", "{v} < 100", "filled"), STREAM_ROLLUP_SQL,
+                                                   CLOSED_ROLLUP_SQL, """
 filled AS (
     SELECT s.window_start, cast(coalesce(r.records, 0) AS bigint) AS records
     FROM (SELECT unnest(generate_series(min(window_start), max(window_start), INTERVAL 300 SECOND))
-                 AS window_start FROM rollup) s
-    LEFT JOIN rollup r USING (window_start)
+                 AS window_start FROM closed) s
+    LEFT JOIN closed r USING (window_start)
 )"""))
 def q_stream_alarm_low_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST6 over the windows that the rollup stream wrote."""
-    return stream_windows.alarm_low_throughput(_stream_rollup(spark, sf_dir))
+    """ST6 over the closed windows that the rollup stream wrote."""
+    return stream_windows.alarm_low_throughput(stream_windows.closed_windows(_stream_rollup(spark, sf_dir)))
 
 
 _LATE_SQL = with_ctes(f"""

@@ -159,9 +159,29 @@ def read_rollup(spark: SparkSession, root: str) -> DataFrame:
     return latest.select("window_start", "window_end", "_v.*")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+def closed_windows(rollup: DataFrame, delay_seconds: int = 0) -> DataFrame:
+    """The windows that can no longer change: those that end by the start of the newest one, less the allowed delay.
+
+    The newest window has only begun; judged as it stands, it would be a low
+    one. Windows outside ``PLAUSIBLE_TIMES`` close nothing.
+    """
+    low, high = (F.lit(t).cast("timestamp_ntz") for t in PLAUSIBLE_TIMES)
+    start = F.col("window_start")
+    newest = rollup.filter((start >= low) & (start < high)).agg(F.max(start)).first()[0]
+    bound = None if newest is None else newest - dt.timedelta(seconds=delay_seconds)
+    return rollup.filter(F.col("window_end") <= F.lit(bound).cast("timestamp_ntz"))
+
+
+def _state_before(spark: SparkSession, path: str, batch_id: int) -> int | None:
+    """The last batch before ``batch_id`` with a state: its predecessor, else found by the folders' names."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(conf)
+    if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id={batch_id - 1}")):
+        return batch_id - 1
+    names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    earlier = [int(n.split("=", 1)[1]) for n in names if n.startswith("batch_id=")]
+    return max((i for i in earlier if i < batch_id), default=None)
 
 
 def late_router(paths_root: str, ts: str = "event_time", retention: dt.timedelta = dt.timedelta(hours=24)):
@@ -169,16 +189,18 @@ def late_router(paths_root: str, ts: str = "event_time", retention: dt.timedelta
     watermark to ``late/`` and the rest to ``on_time/``.
 
     ``state/`` holds the latest event time up to each batch. A batch reads its
-    predecessor's row only; a replayed batch sees the same one. Without any
-    state nothing is late; a state that cannot be read fails the batch.
+    predecessor's row only, whatever came before; a replayed batch sees the same
+    one. Without any state nothing is late; a state that cannot be read fails
+    the batch.
     """
     state_path = os.path.join(paths_root, "state")
 
     def route(batch: DataFrame, batch_id: int) -> None:
         spark, prior = batch.sparkSession, None
-        if _exists(spark, state_path):
-            state = spark.read.schema("latest timestamp_ntz, batch_id bigint").parquet(state_path)
-            prior = state.filter(F.col("batch_id") < batch_id).agg(F.max("latest").alias("m")).first()["m"]
+        before = _state_before(spark, state_path, batch_id)
+        if before is not None:
+            state = spark.read.schema("latest timestamp_ntz").parquet(f"{state_path}/batch_id={before}")
+            prior = state.agg(F.max("latest").alias("m")).first()["m"]
         marked = batch.withColumn(
             "is_late",
             F.lit(False) if prior is None else

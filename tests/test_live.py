@@ -187,6 +187,33 @@ def test_no_period_of_an_empty_table(spark):
     assert alarms.closed_alarms(frame).collect() == []
 
 
+def test_the_newest_window_is_open(spark):
+    start = dt.datetime(2024, 1, 1)
+    rows = [(start + dt.timedelta(minutes=5 * i), start + dt.timedelta(minutes=5 * i + 5), n, 0)
+            for i, n in ((0, 500), (1, 5), (2, 500), (3, 4), (4, 3))] + [(dt.datetime(9999, 1, 1), dt.datetime(9999, 1, 1, 0, 5), 1, 0)]
+    rollup = spark.createDataFrame(rows, "window_start timestamp_ntz, window_end timestamp_ntz, records long, errors long")
+    got = windows.alarm_low_throughput(windows.closed_windows(rollup)).orderBy("window_start").collect()
+    assert [(r["records"], r["breach"], r["alarm"]) for r in got] == [
+        (500, False, False), (5, True, False), (500, False, False), (4, True, False)]
+    assert windows.closed_windows(rollup, 300).count() == 3
+    assert windows.closed_windows(rollup.filter("false")).count() == 0
+
+
+def test_the_late_router_reads_one_state(spark):
+    root = _root("late-gap")
+    route = windows.late_router(root)
+
+    def batch(day):
+        return spark.createDataFrame([(1, dt.datetime(2024, 1, day))], "event_id long, event_time timestamp_ntz")
+
+    for i, day in ((0, 9), (1, 3), (7, 7), (8, 8)):
+        route(batch(day), i)
+    # Batch 7 follows a gap: its predecessor is batch 1, which carried the newest time on.
+    late = {r["batch_id"] for r in spark.read.parquet(root + "/late").collect()}
+    assert late == {1, 7} and windows._state_before(spark, root + "/state", 7) == 1
+    assert windows._state_before(spark, root + "/state", 0) is None
+
+
 # --- progress ------------------------------------------------------------------------------------
 
 def test_progress_equals_the_batches(spark):
