@@ -30,52 +30,69 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from sys import intern
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from machinewatch.llm.common import map_rows, per_text
-from machinewatch.llm.tokenizers import Memo
 
-#: N-gram sizes, n-grams of a profile, and labelled rows per language used to fit (bound of the sample).
-SIZES, PROFILE, SAMPLE = (1, 2, 3), 300, 2000
+#: N-grams (of one to three code points) of a profile, and labelled rows per language used to fit (bound of the sample).
+PROFILE, SAMPLE = 300, 2000
 UNKNOWN = "und"
 #: Words of the windows that bounds are learned from, windows of a size and language needed, and steps from
 #: the median to the 95th percentile of their mean costs up to the bound.
 WINDOWS, ENOUGH, SPREAD = (1, 2, 4, 8, 16, 32, 64), 20, 4.0
-#: Words whose n-grams a worker remembers.
-WORDS = 100_000
+#: Words whose n-grams are counted at once, and bits of a code point in an n-gram's number.
+BLOCK, _BITS = 50_000, 21
+_MARK = ord("_")
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def _grams(word: str) -> list[str]:
-    padded = f"_{word}_"
-    # N-grams repeat from word to word: one object each keeps a memo of many words small.
-    return [intern(padded[i:i + n]) for n in SIZES for i in range(len(padded) - n + 1) if n > 1 or padded[i] != "_"]
+def _grams(words: list[str]) -> np.ndarray:
+    """N-grams of words marked at both ends, repeats included, as 64-bit numbers that sort as the n-grams do.
 
+    Code points stand from the top, 0 where an n-gram is shorter. A mark
+    between two words ends one and begins the other: it is no n-gram of its
+    own, and three code points around it are none either.
+    """
+    points = np.frombuffer(f"_{'_'.join(words)}_".encode("utf-32-le"), "<u4").astype(np.int64)
+    first, letters = points << (2 * _BITS), points != _MARK
+    pairs = first[:-1] | points[1:] << _BITS
+    return np.concatenate([first[letters], pairs, (pairs[:-1] | points[2:])[letters[1:-1]]])
+
+
+def gram_number(gram: str) -> int:
+    return sum(ord(c) << (_BITS * (2 - i)) for i, c in enumerate(gram))
+
+
+def gram_text(number: int) -> str:
+    points = (number >> (_BITS * i) & ((1 << _BITS) - 1) for i in (2, 1, 0))
+    return "".join(chr(p) for p in points if p)
 
-def count_grams(text: str, grams: Memo) -> Counter:
-    """N-grams of a whole text's words, in lower case."""
-    counts: Counter = Counter()
-    get = counts.get
-    for word, times in Counter(_LETTERS.findall(text.lower())).items():
-        # A word of any length is counted whole; long ones are not remembered.
-        for gram in grams[word]:
-            counts[gram] = get(gram, 0) + times
-    return counts
 
+def count_grams(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """N-grams of a whole text's words, in lower case: their numbers (ascending) and counts."""
+    words = _LETTERS.findall(text.lower())
+    numbers, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+    for at in range(0, len(words), BLOCK):
+        found, times = np.unique(_grams(words[at:at + BLOCK]), return_counts=True)
+        if at:
+            numbers, where = np.unique(np.concatenate([numbers, found]), return_inverse=True)
+            counts = np.bincount(where, np.concatenate([counts, times]), len(numbers)).astype(np.int64)
+        else:
+            numbers, counts = found, times
+    return numbers, counts
 
-def ranked(counts: Counter, size: int) -> list[str]:
-    """The ``size`` most frequent n-grams, most frequent first."""
+
+def ranked(numbers: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
+    """The ``size`` most frequent n-grams, most frequent first, equal ones in code point order."""
     if len(counts) > size:
-        least = sorted(counts.values(), reverse=True)[size - 1]
-        pairs = [(-n, g) for g, n in counts.items() if n >= least]
-    else:
-        pairs = [(-n, g) for g, n in counts.items()]
-    pairs.sort()
-    return [g for _, g in pairs[:size]]
+        frequent = counts >= np.partition(counts, -size)[-size]
+        numbers, counts = numbers[frequent], counts[frequent]
+    # The numbers ascend, so a stable sort keeps equal counts in their order.
+    return numbers[np.argsort(-counts, kind="stable")[:size]]
 
 
 class RankOrder:
@@ -83,24 +100,26 @@ class RankOrder:
 
     def __init__(self, profiles: dict[str, list[str]], size: int = PROFILE):
         self.languages, self.size = sorted(profiles), size
-        self.grams = Memo(_grams, WORDS)
-        missing = [size] * len(self.languages)
-        self.places: dict[str, list[int]] = {}
+        known = sorted({gram_number(g) for grams in profiles.values() for g in grams})
+        # One row of places for each known n-gram, and a last one for all others.
+        self.known = np.array(known, dtype=np.int64)
+        self.places = np.full((len(known) + 1, len(self.languages)), size, dtype=np.int64)
         for column, language in enumerate(self.languages):
-            for rank, gram in enumerate(profiles[language]):
-                self.places.setdefault(gram, list(missing))[column] = rank
-        self.missing = missing
-
-    def ranking(self, text: str) -> list[str]:
-        return ranked(count_grams(text, self.grams), self.size)
-
-    def distances(self, ranking: list[str]) -> list[int]:
-        size, missing, places = self.size, self.missing, self.places
-        total = [0] * len(missing)
-        for rank, gram in enumerate(ranking):
-            for column, place in enumerate(places.get(gram, missing)):
-                total[column] += size if place == size else abs(place - rank)
-        return total
+            rows = np.searchsorted(self.known, [gram_number(g) for g in profiles[language]])
+            self.places[rows, column] = np.arange(len(rows))
+
+    def ranking(self, text: str) -> np.ndarray:
+        return ranked(*count_grams(text), self.size)
+
+    def distances(self, ranking: np.ndarray) -> list[int]:
+        if not len(ranking) or not len(self.known):
+            return [self.size * len(ranking)] * len(self.languages)
+        rows = np.searchsorted(self.known, ranking)
+        rows[rows == len(self.known)] = 0
+        rows = np.where(self.known[rows] == ranking, rows, len(self.known))
+        places = self.places[rows]
+        costs = np.where(places == self.size, self.size, np.abs(places - np.arange(len(ranking))[:, None]))
+        return costs.sum(axis=0).tolist()
 
     def __call__(self, text: str | None) -> tuple[str, float]:
         """Predicted language, and how far it is ahead: 1 - best / (best + second), or the share of known places."""
@@ -160,17 +179,16 @@ def fit_profiles(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "t
     picked = _sampled(labelled, id_col, text_col, lang_col, sample)
 
     def start():
-        memo = Memo(_grams, WORDS)
-
         def run(batch: Iterator[tuple]) -> Iterator[tuple]:
             counts: dict[str, Counter] = {}
             for lang, text in batch:
                 own = counts.setdefault(lang, Counter())
-                own.update(count_grams(text, memo))
+                for number, n in zip(*(values.tolist() for values in count_grams(text)), strict=True):
+                    own[number] += n
                 if len(own) > 200_000:  # hand over what there is; sums are taken later
-                    yield from ((lang, g, n) for g, n in counts.pop(lang).items())
+                    yield from ((lang, gram_text(g), n) for g, n in counts.pop(lang).items())
             for lang, own in counts.items():
-                yield from ((lang, g, n) for g, n in own.items())
+                yield from ((lang, gram_text(g), n) for g, n in own.items())
 
         return run
 
@@ -205,7 +223,8 @@ def fit_bounds(labelled: DataFrame, profiles: dict[str, list[str]], id_col: str
             counts: Counter = Counter()
             for lang, text in batch if profiles else ():
                 for window in windows(text):
-                    if ranking := rank_order.ranking(window):
+                    ranking = rank_order.ranking(window)
+                    if len(ranking):
                         mean = min(rank_order.distances(ranking)) / len(ranking)
                         counts[lang, size_class(len(ranking)), math.ceil(mean)] += 1
             yield from ((*key, n) for key, n in counts.items())

@@ -2,6 +2,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from machinewatch.llm import language
 from machinewatch.llm.common import crc_mod, with_struct
 from machinewatch.llm.language import PROFILE, RankOrder, fit_profiles, language_udf
 
@@ -29,8 +30,10 @@ def _slow_rank(counts, size=PROFILE):
 
 def _slow_predict(text, profiles):
     mine = _slow_rank(_slow_counts(text))
-    cost = {lang: sum(abs(p.index(g) - i) if g in p else PROFILE for i, g in enumerate(mine))
-            for lang, p in profiles.items()}
+    cost = {}
+    for lang, p in profiles.items():
+        places = {g: i for i, g in enumerate(p)}
+        cost[lang] = sum(abs(places[g] - i) if g in places else PROFILE for i, g in enumerate(mine))
     return min(sorted(cost), key=cost.get)
 
 
@@ -42,11 +45,21 @@ def test_profiles_and_predictions_equal_brute_force(documents, texts):
         sums.setdefault(r["lang"], Counter()).update(_slow_counts(r["text"]))
     assert profiles == {lang: _slow_rank(c) for lang, c in sums.items()}
     rows = with_struct(documents, ["doc_id", "lang"], language_udf(profiles), "text").collect()
-    short = [r for r in rows if len(texts[r["doc_id"]]) < 5000]
-    assert [r["lang_pred"] for r in short] == [_slow_predict(texts[r["doc_id"]], profiles) for r in short]
+    assert [r["lang_pred"] for r in rows] == [_slow_predict(texts[r["doc_id"]], profiles) for r in rows]
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_rankings_of_any_script_and_length(monkeypatch):
+    hard = ["", "_ a _b_ c1d", "aaa a aa", "ı İ ß ǅ 日本語 \U0001d49c\U0001d4b7 \U00010400", "x" * 3000 + " y",
+            " ".join(f"w{i} été" for i in range(500)), "12 34", "e\u0301e \u0301"]
+    for block in (50_000, 7, 1):
+        monkeypatch.setattr(language, "BLOCK", block)
+        for text in hard:
+            for size in (1, 5, PROFILE):
+                got = [language.gram_text(int(n)) for n in language.ranked(*language.count_grams(text), size)]
+                assert got == _slow_rank(_slow_counts(text), size)
+
+
 def test_held_out_accuracy(documents):
     held_out = crc_mod(F.col("doc_id"), 4) == 2
     profiles = fit_profiles(documents.where(~held_out))
