@@ -7,7 +7,7 @@ lacks costs the profile's size, and the language of the least sum is
 predicted.
 
 Profiles are fitted on a bounded sample of labelled rows (``SAMPLE`` per
-language, by a hash of the id); whole texts are used both here and in
+language, by a hash of id and text); whole texts are used both here and in
 predictions. Sample counts are summed per task before they are shuffled; the
 driver gets at most ``PROFILE`` n-grams per language.
 
@@ -160,13 +160,13 @@ class KnownLanguage:
 
 
 def _sampled(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int) -> DataFrame:
-    """Rows with language and text whose id's hash is below the share of ``sample`` in the language's rows."""
+    """Rows with language and text whose hash of id and text is below the share of ``sample`` in the language's rows."""
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("t"), F.col(id_col).alias("d"))
     share = rows.groupBy("lang").count().select(
         "lang", F.least(F.lit(1.0), F.lit(float(sample)) / F.col("count")).alias("share"))
     return rows.join(F.broadcast(share), "lang").where(  # one row per language
-        F.pmod(F.xxhash64("d"), F.lit(1 << 30)) < F.col("share") * (1 << 30)).select("lang", "t")
+        F.pmod(F.xxhash64("d", "t"), F.lit(1 << 30)) < F.col("share") * (1 << 30)).select("lang", "t")
 
 
 def fit_profiles(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -174,7 +174,7 @@ def fit_profiles(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """Profiles from rows with a language; rows without text or language are left out.
 
     The expected number of sampled rows of a language is ``sample`` (all, if
-    it has fewer); they are those whose id's hash is below its share.
+    it has fewer); they are those whose hash of id and text is below its share.
     """
     picked = _sampled(labelled, id_col, text_col, lang_col, sample)
 

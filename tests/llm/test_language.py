@@ -73,6 +73,14 @@ def test_sample_is_bounded(ready):
     assert profiles == {"xx": ["_a", "_ab", "a", "ab", "ab_", "b", "b_"]}
 
 
+def test_a_shared_id_does_not_stretch_the_sample(ready):
+    """A third of the rows without an id, a third with one id."""
+    rows = ready.range(30_000).selectExpr("case when id % 3 = 0 then null when id % 3 = 1 then 5 else id end as doc_id",
+                                          "concat('text ', id) as text", "'xx' as lang")
+    n = language._sampled(rows, "doc_id", "text", "lang", 2000).count()
+    assert 1800 < n < 2200
+
+
 def test_odd_rows(odd, empty):
     profiles = fit_profiles(odd)
     rows = with_struct(odd, ["doc_id"], language_udf(profiles), "text").collect()
