@@ -7,7 +7,7 @@ lengths. From one file, without decoding it, ``access`` gives tokens at
 positions, ``rank`` / ``count`` occurrences of a token and ``select`` the
 place of its k-th occurrence.
 
-Job shape: documents are range-partitioned on their id and sorted within the
+Job shape: documents are range-partitioned on id and text hash and sorted within the
 partitions, so each task writes consecutive shards as it reads; a worker
 holds one shard. Shards close at ``shard_tokens`` ids (a longer document is a
 shard of its own size). Files are written by Spark's committer (a lost
@@ -180,6 +180,12 @@ def read_shard(raw: bytes) -> tuple[list[int | None], np.ndarray, WaveletMatrix]
     return doc_ids, np.frombuffer(docs, "<u8", n, 9 * n), WaveletMatrix.from_bytes(memoryview(raw)[20 + size:])
 
 
+def _dealt(own: DataFrame, n: int) -> DataFrame:
+    """Rows ``d, t`` in ranges of id and text hash, sorted: an id that many rows share is dealt over several ranges."""
+    order = [F.col("d").asc_nulls_first(), F.xxhash64("t")]
+    return own.repartitionByRange(n, *order).sortWithinPartitions(*order, "t")
+
+
 def write_shards(documents: DataFrame, path: str, vocabulary: str | None = None, end_id: int = END_ID,
                  shard_tokens: int = SHARD_TOKENS, partitions: int | None = None,
                  id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -219,8 +225,7 @@ def write_shards(documents: DataFrame, path: str, vocabulary: str | None = None,
         return run
 
     own = documents.select(F.col(id_col).cast("long").alias("d"), F.col(text_col).alias("t"))
-    dealt = own.repartitionByRange(n, F.col("d").asc_nulls_first()).sortWithinPartitions(
-        F.col("d").asc_nulls_first(), F.xxhash64("t"), "t")
+    dealt = _dealt(own, n)
     shards = map_rows(dealt.select(F.spark_partition_id().cast("long").alias("p"), "d", "t"),
                       "part long, shard long, n_docs long, n_tokens long, payload binary", start,
                       batch_rows=4, batch_bytes=1)

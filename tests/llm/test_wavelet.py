@@ -2,10 +2,11 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from machinewatch.llm.common import work_folder
 from machinewatch.llm.tokenizers import encoder, vocabulary_path
-from machinewatch.llm.wavelet import VOCABULARY, WaveletMatrix, pack_shard, read_documents, read_shard, write_shards
+from machinewatch.llm.wavelet import VOCABULARY, WaveletMatrix, _dealt, pack_shard, read_documents, read_shard, write_shards
 
 
 @pytest.mark.parametrize("n", [0, 1, 511, 512, 513, 3000])
@@ -58,3 +59,12 @@ def test_odd_rows(ready, odd, empty):
     path = work_folder(ready, "test-empty")
     write_shards(empty, path)
     assert read_documents(ready, path).count() == 0
+
+
+def test_a_shared_id_is_dealt_over_partitions(ready):
+    """A third of the rows has one id, a tenth none."""
+    rows = ready.range(20_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 10 != 0, F.col("id")).alias("d"),
+        F.concat(F.lit("text "), F.col("id").cast("string")).alias("t"))
+    sizes = [r["count"] for r in _dealt(rows, 8).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 20_000 / 8
