@@ -35,14 +35,14 @@ def typed_value(name: str, raw_col: str = "raw") -> Column:
     return F.coalesce(value, F.when(F.abs(number) < F.lit(2.0**62), number).cast("bigint"))
 
 
-def reject_reason(raw_col: str = "raw", required: Sequence[str] = REQUIRED_FIELDS) -> Column:
-    """First failing check, or NULL when the row is valid.
+def reject_reason(raw_col: str = "raw", required: Sequence[str] = REQUIRED_FIELDS, keys: Column | None = None) -> Column:
+    """First failing check, or NULL when the row is valid. ``keys`` are the record's, if they are at hand.
 
     Order: malformed JSON; missing key (in the order of ``required``); value
     not convertible (sensors to double, timestamp to bigint; a JSON null
     counts as not convertible); NaN or infinite sensor value.
     """
-    keys = F.json_object_keys(F.col(raw_col))
+    keys = F.json_object_keys(F.col(raw_col)) if keys is None else keys
     expr = F.when(keys.isNull(), F.lit("malformed_json"))
     for name in required:
         expr = expr.when(~_present(keys, name), F.lit(f"missing_field:{name}"))
@@ -63,10 +63,11 @@ def validate_readings(parsed: DataFrame, raw_col: str = "raw",
 
     ``parsed`` holds ``raw`` and the string-typed fields (``parse_raw``).
     """
-    reason = reject_reason(raw_col, required)
+    # The keys are a column of their own: every check reads them, and the record is parsed for them once.
+    reason = reject_reason(raw_col, required, F.col("_keys"))
     typed = {name: typed_value(name, raw_col) for name in TYPED}
-    return parsed.withColumn("reject_reason", reason).withColumns(typed).withColumn(
-        "is_valid", F.col("reject_reason").isNull())
+    return parsed.withColumn("_keys", F.json_object_keys(F.col(raw_col))).withColumn("reject_reason", reason).drop(
+        "_keys").withColumns(typed).withColumn("is_valid", F.col("reject_reason").isNull())
 
 
 def split_valid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:

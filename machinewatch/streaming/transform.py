@@ -10,9 +10,12 @@ from __future__ import annotations
 
 import os
 import time
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import functions as F
 
@@ -42,6 +45,13 @@ def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -
        .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").format(fmt).save(path))
 
 
+def together(spark: SparkSession, *jobs: Callable[[], None]) -> None:
+    """Run independent jobs of one batch at the same time; all have ended when this returns or raises."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]:
+            done.result()
+
+
 def transform_records(raw: DataFrame) -> DataFrame:
     """Per-row part of ST1 (works on batch and streaming frames): parse, enrich, validate."""
     parsed = parse_raw(raw, schema=RAW_STRING_SCHEMA)
@@ -72,13 +82,14 @@ def make_batch_writer(paths: TransformPaths, group_cols: tuple[str, ...] = ("mac
             typed = valid.withColumn("event_time", F.timestamp_seconds("timestamp"))
             # Device records have no id; where some do, it only breaks ties in time.
             enriched = attach_batch_stats(typed, list(group_cols), ts="event_time").persist()
+            # What is published is the enriched record, without the raw text it came from.
+            keyed = republish_keyed(enriched.drop("raw", "is_valid", "reject_reason"))
             try:
-                write_batch(enriched, paths.delivered, batch_id)
-                # What is published is the enriched record, without the raw text it came from.
-                write_batch(republish_keyed(enriched.drop("raw", "is_valid", "reject_reason")), paths.keyed, batch_id, "json")
+                together(batch.sparkSession, lambda: write_batch(enriched, paths.delivered, batch_id),
+                         lambda: write_batch(keyed, paths.keyed, batch_id, "json"),
+                         lambda: write_batch(dead_letter_rows(validated), paths.errors, batch_id, "json"))
             finally:
                 enriched.unpersist()
-            write_batch(dead_letter_rows(validated), paths.errors, batch_id, "json")
             spark = batch.sparkSession
             log = spark.createDataFrame(
                 [(counts["records"], counts["processed_records"], counts["rejected_records"],
