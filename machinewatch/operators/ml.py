@@ -22,6 +22,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from machinewatch.operators.forest import FlatForest
 from machinewatch.operators.ranges import in_ranges, running_offsets
 from machinewatch.schema import (
     CV_FOLDS,
@@ -193,8 +194,10 @@ def grid_search(train: DataFrame, n_estimators=GRID_N_ESTIMATORS, max_depth=GRID
 # ---------------------------------------------------------------------------
 # Scoring and prediction records
 # ---------------------------------------------------------------------------
-def score(model: PipelineModel, df: DataFrame) -> DataFrame:
+def score(model: PipelineModel | FlatForest, df: DataFrame) -> DataFrame:
     """Class, probability of anomaly and confidence (max class probability)."""
+    if isinstance(model, FlatForest):
+        return model.score(model_input(df))
     # A model fitted in this session keeps its training summary, and with it the
     # session; a copy does not, so it can always be sent to executors.
     out = model.copy().transform(model_input(df))

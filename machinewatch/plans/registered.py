@@ -931,6 +931,7 @@ def q_stream_late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Machine learning (M1-M12, S17, S21, S22, ST2)
 # ---------------------------------------------------------------------------
 from machinewatch.operators import ml  # noqa: E402
+from machinewatch.operators.forest import load_forest  # noqa: E402
 from machinewatch.sinks.files import write_csv  # noqa: E402
 
 
@@ -1133,6 +1134,20 @@ def q_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("anomaly_probability") == F.col("a")).alias("same_probability"))
 
 
+@register("flat_forest", with_ctes("""
+SELECT event_id, true AS same_prediction, true AS same_probability, true AS same_confidence FROM feats""", TRAIN_SQL))
+def q_flat_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The saved forest as flat arrays scores every reading as the saved pipeline does, to the last bit."""
+    feats, path = training_features(spark, sf_dir), _scratch(spark, "flat-forest")
+    ml.save_model(ml.train_fixed(feats), path)
+    own = ml.score(ml.load_model(path), feats).select(
+        "event_id", "machine_id", *ml.MODEL_FEATURES, F.col("prediction").alias("p"), F.col("anomaly_probability").alias("a"),
+        F.col("confidence").alias("c"))
+    flat = ml.score(load_forest(spark, path), own)
+    return flat.select("event_id", (F.col("prediction") == F.col("p")).alias("same_prediction"), (
+        F.col("anomaly_probability") == F.col("a")).alias("same_probability"), (F.col("confidence") == F.col("c")).alias("same_confidence"))
+
+
 @register("batch_score", with_ctes("""
 SELECT event_id, true AS label_agrees, true AS severity_agrees, true AS confidence_agrees
 FROM feats""", TRAIN_SQL))
@@ -1176,11 +1191,11 @@ FROM (SELECT date_trunc('week', event_timestamp) AS week, count(*) AS records,
              count(*) FILTER (WHERE {SCORE_VALID}) AS scored, count(*) FILTER (WHERE NOT {SCORE_VALID}) AS rejected
       FROM readings GROUP BY 1) w"""))
 def q_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST2: the saved model over a stream of partly defective records: each is scored or rejected, per micro-batch."""
+    """ST2: the saved model, as flat arrays, over a stream of partly defective records: each is scored or rejected, per micro-batch."""
     from machinewatch.streaming import scoring
 
     out, _ = trained_model(spark, sf_dir)
-    model, root = ml.load_model(out + "/model"), _scratch(spark, "stream-score")
+    model, root = load_forest(spark, out + "/model"), _scratch(spark, "stream-score")
     lines = rawsrc.raw_bad(load_readings(spark, sf_dir)).withColumn("week", _week())
     stream_sources.run_arrivals(lines, root, "week", lambda stream: scoring.start_scoring(stream, model, root))
     log = spark.read.schema("batch_id bigint, records bigint, scored_records bigint, rejected_records bigint").json(

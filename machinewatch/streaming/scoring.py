@@ -2,7 +2,7 @@
 
 Every record of a micro-batch is either scored or rejected with a reason: the
 log holds both counts. The saved ``PipelineModel`` scores the batch on the
-executors (no per-record service call). All outputs are written per batch id
+executors (no per-record service call), as does a ``FlatForest`` loaded from it, with less to do per batch. All outputs are written per batch id
 with dynamic overwrite, so a replayed batch replaces its own output.
 """
 
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from machinewatch.operators.enrich import lenient_features
+from machinewatch.operators.forest import FlatForest
 from machinewatch.operators.ml import postprocess_prediction, score
 from machinewatch.operators.quality import dead_letter_rows, range_warnings, split_valid, validate_readings
 from machinewatch.sinks.files import session_conf
@@ -33,17 +34,17 @@ def validate_records(raw: DataFrame) -> DataFrame:
     return validate_readings(parse_raw(raw), required=SCORE_REQUIRED)
 
 
-def score_valid(valid: DataFrame, model: PipelineModel) -> DataFrame:
+def score_valid(valid: DataFrame, model: PipelineModel | FlatForest) -> DataFrame:
     """Warnings, features, prediction, label and severity of validated records."""
     return postprocess_prediction(score(model, lenient_features(range_warnings(valid))))
 
 
-def score_records(raw: DataFrame, model: PipelineModel) -> DataFrame:
+def score_records(raw: DataFrame, model: PipelineModel | FlatForest) -> DataFrame:
     """Per-row part of ST2 on a batch frame: the valid records, scored."""
     return score_valid(split_valid(validate_records(raw))[0], model)
 
 
-def make_score_writer(root: str, model: PipelineModel):
+def make_score_writer(root: str, model: PipelineModel | FlatForest):
     """``foreachBatch`` body over validated records."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -80,7 +81,7 @@ def make_score_writer(root: str, model: PipelineModel):
     return write
 
 
-def start_scoring(stream: DataFrame, model: PipelineModel, root: str, available_now: bool = True,
+def start_scoring(stream: DataFrame, model: PipelineModel | FlatForest, root: str, available_now: bool = True,
                   payload: bool = False, redelivered_within: str | None = None) -> StreamingQuery:
     """ST2; ``redelivered_within`` scores a record that arrives again within that time once."""
     raw = decode_payload(stream) if payload else stream

@@ -1,10 +1,13 @@
 """Model: AUC > 0.9 on a separable two-class fixture, save/load gives equal predictions."""
 import tempfile
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from machinewatch.operators import ml
 from machinewatch.operators.enrich import feature_matrix
+from machinewatch.operators.forest import load_forest
 
 
 def _separable(spark, n=2000):
@@ -55,3 +58,30 @@ def test_auc_has_no_list_of_edges(spark):
     df = spark.range(1000).select((F.col("id") % 2).cast("int").alias("label"), F.col("id").cast("double").alias("score"))
     plan = ml.roc_auc(df)._jdf.queryExecution().toString()
     assert "filter(array(" not in plan.lower() and "lambda" not in plan.lower()
+
+
+def test_flat_forest_equals_the_pipeline(spark):
+    """Every row of another table too, rows on thresholds and far outside included."""
+    feats = _separable(spark)
+    path = tempfile.mkdtemp(prefix="mw-flat-")
+    ml.save_model(ml.train_fixed(feats, num_trees=30, max_depth=12), path)
+    model, flat = ml.load_model(path), load_forest(spark, path)
+    edges = flat.arrays.value
+    on = edges.threshold[np.isfinite(edges.threshold)][:200] / edges.scale[0] + edges.mean[0]
+    odd = [(i, float(t), 1.0, 100.0, 60.0, 1.6) for i, t in enumerate(on)] + [(900, 1e9, -1e9, 0.0, -5.0, 1e300), (901, 0.0, 0.0, 0.0, None, None)]
+    other = spark.createDataFrame(odd, "event_id long, temperature double, vibration double, pressure double, "
+                                  "temp_vib_ratio double, pressure_temp_ratio double")
+    for rows in (feats, other):
+        cols = ["event_id", "prediction", "anomaly_probability", "confidence"]
+        want = sorted(map(tuple, ml.score(model, rows).select(cols).collect()))
+        assert sorted(map(tuple, ml.score(flat, rows).select(cols).collect())) == want and len(want) == rows.count()
+
+
+def test_flat_forest_refuses_what_cannot_be_scored(spark):
+    path = tempfile.mkdtemp(prefix="mw-flat-")
+    feats = _separable(spark, 200)
+    ml.save_model(ml.train_fixed(feats, num_trees=2, max_depth=2), path)
+    flat = load_forest(spark, path)
+    with pytest.raises(Exception, match="has no value"):
+        ml.score(flat, feats.withColumn("temperature", F.lit(None).cast("double"))).collect()
+    assert ml.score(flat, feats.filter("false")).count() == 0
