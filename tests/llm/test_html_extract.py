@@ -1,4 +1,8 @@
-from machinewatch.llm.html_extract import best_path, extract, extract_pages, parse
+import re
+
+import pytest
+
+from machinewatch.llm.html_extract import best_path, extract, extract_pages, host_paths, parse
 
 WORDS = "A sentence of the article that is long enough to count, with a comma or two. "
 
@@ -51,9 +55,78 @@ def test_host_consensus_overrules_a_page(ready):
     assert all(got[i] == (WORDS * 3).strip() for i in range(5))
 
 
+BODY, LEAD = f"<p>{WORDS * 4}</p>", "The lead says what the article is about, in a sentence or two of its own. "
+
+
+@pytest.mark.parametrize("page, expected", [
+    (f'<article class="post comments-open">{BODY}</article>', WORDS * 4),
+    (f'<section class="post comments-open">{BODY}</section>', WORDS * 4),
+    (f'<div class="content no-sidebar">{BODY}</div>', WORDS * 4),
+    (f'<div class="layout has-sidebar"><div class="sidebar"><p>{WORDS}</p></div><div class="text">{BODY}</div></div>', WORDS * 4),
+    (f'<div class="wrap"><div class="lead"><p>{LEAD}</p></div><div class="body">{BODY}</div></div>', LEAD + WORDS * 4),
+    (f'<div class="page"><div class="lead"><p>{LEAD}</p></div><div class="a-b"><div class="body">{BODY}</div></div></div>', LEAD + WORDS * 4),
+    (f'<div id="widget-area"><article>{BODY}</article></div>', WORDS * 4),
+    (f'<div class="banner page"><h1>Head</h1>{BODY}</div>', "Head " + WORDS * 4),
+    (f'<div class="post">{BODY}</div><div class="comments"><article class="comment"><p>{WORDS * 9}</p></article></div>', WORDS * 4),
+    (f'<article>{BODY}<div class="comments-area"><p>{WORDS * 9}</p></div></article>', WORDS * 4),
+    (f'<div class="w-1/2 text">{BODY}</div>', WORDS * 4)])
+def test_names_and_wrappers(page, expected):
+    assert extract(_page(page), []) == expected.strip()
+
+
+def test_deep_and_stray_markup():
+    import time
+    import tracemalloc
+
+    tracemalloc.start()
+    began = time.time()
+    assert extract("<div>" * 100_000 + WORDS, []) == WORDS.strip()
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+    assert extract("<div>" * 20_000 + "</span></section>" * 20_000 + WORDS, []) == WORDS.strip()
+    assert extract("<custom>" * 20_000 + "<p>x</p>" * 20_000, []) == " ".join("x" * 20_000)
+    assert time.time() - began < 60
+
+
+def _slow_votes(rows):
+    """Votes and winners host by host, from the definition."""
+    votes = {}
+    for _, url, page in rows:
+        host = re.match(r"[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", url or "")
+        best = best_path(parse(page)) if host and page else None
+        if best:
+            own = votes.setdefault(host[1].lower(), {})
+            own[best[0]] = own.get(best[0], 0) + 1
+    out = {}
+    for host, own in votes.items():
+        order = sorted(own, key=lambda p: (-own[p], p))[:5]
+        out[host] = [p for i, p in enumerate(order) if i == 0 or own[p] >= 0.05 * sum(own.values())]
+    return out
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_votes_and_pages_equal_brute_force(ready, limit):
+    """One host with most pages, hosts with several layouts, pages without a host; broadcast and salted."""
+    kinds = [f'<div class="{c}"><p>{WORDS * n}</p></div><div class="x{i % 3}"><p>Short {i}.</p></div>'
+             for i, (c, n) in enumerate([("a-1", 1), ("a-2", 2), ("b", 3), ("c", 2), ("d", 1), ("e", 4), ("f", 1)])]
+    rows = [(i, "http://Big.example/%d" % i if i % 10 else [None, "no url", "https://u@h%d.example:1/x" % (i // 30 % 3)][i // 10 % 3],
+             _page(kinds[i * i % 7]) if i % 23 else None) for i in range(300)]
+    pages = ready.createDataFrame([(*r, "k", 1) for r in rows], "page_id long, url string, html string, k string, salt int")
+    won = {r["host"]: list(r["paths"]) for r in host_paths(pages).collect()}
+    assert won == _slow_votes(rows) and len(won) == 4
+    got = {r["page_id"]: r["text"] for r in extract_pages(pages, limit=limit).collect()}
+    hosts = {i: re.search(r"(big|h\d)\.example", (url or "").lower()) for i, url, _ in rows}
+    assert got == {i: extract(page, won.get(hosts[i][0], []) if hosts[i] else []) for i, _, page in rows}
+
+
+def test_html_is_not_shuffled_by_host(ready):
+    pages = ready.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    plan = extract_pages(pages)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(h" not in plan
+
+
 def test_pages_of_the_tables(ready):
     import html
-    import re
 
     pages = ready.read.parquet("/root/testdata/sf0.001/pages.parquet")
     source = {r["page_id"]: r["html"] for r in pages.collect()}
