@@ -15,8 +15,9 @@ summed per task first). Only if there is more than one block are the blocks'
 hits brought together by document.
 
 Defined results: null text has no words and no hit; an item without words has
-no window; equal items all count; repeated documents are judged each; an
-empty benchmark contaminates nothing.
+no window; equal items all count; an item without an id hits words like any
+other, and is not among the ids; repeated documents are judged each; an empty
+benchmark contaminates nothing.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from machinewatch.llm.common import map_rows, per_text
+from machinewatch.llm.common import map_rows, per_text, written
 
 #: Words of a window and of a shingle; bytes of item texts in one broadcast block.
 WINDOW, SHINGLE = 10, 3
@@ -59,8 +60,8 @@ def shingles_of(words: Words | list[bytes], size: int) -> list[Words]:
 class WindowIndex:
     """A block's windows by their necessary prefix."""
 
-    def __init__(self, items: list[tuple[int, str]], window: int = WINDOW, shingle: int = SHINGLE):
-        self.items_of: dict[Words, list[int]] = {}
+    def __init__(self, items: list[tuple[int | None, str]], window: int = WINDOW, shingle: int = SHINGLE):
+        self.items_of: dict[Words, list[int | None]] = {}
         for item_id, text in items:
             for w in set(windows_of(words_of(text), window)):
                 self.items_of.setdefault(w, []).append(item_id)
@@ -102,7 +103,7 @@ class WindowIndex:
         """Words, hit stretches (starts and ends in turn, apart from each other) and ids of found items."""
         words = words_of(text)
         found = self.find(words)
-        ids = sorted({i for w in {w for *_, w in found} for i in self.items_of[w]})
+        ids = sorted({i for w in {w for *_, w in found} for i in self.items_of[w] if i is not None})
         return len(words), merge((a, b) for a, b, _ in found), ids
 
 
@@ -117,10 +118,10 @@ def merge(stretches) -> list[int]:
     return out
 
 
-def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[int, str]]]:
+def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[int | None, str]]]:
     """The benchmark's items in blocks of at most ``block_bytes`` of text (or one longer item)."""
     block, size = [], 0
-    rows = benchmark.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(id_col, text_col)
+    rows = benchmark.where(F.col(text_col).isNotNull()).select(id_col, text_col)
     for item_id, text in rows.toLocalIterator():
         n = len(text.encode())
         if block and size + n > block_bytes:
@@ -132,7 +133,7 @@ def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int
         yield block
 
 
-def build_index(documents: DataFrame, items: list[tuple[int, str]], text_col: str = "text", window: int = WINDOW,
+def build_index(documents: DataFrame, items: list[tuple[int | None, str]], text_col: str = "text", window: int = WINDOW,
                 shingle: int = SHINGLE) -> WindowIndex:
     """Index of one block, its shingles ordered by their frequency in all documents."""
     index = WindowIndex(items, window, shingle)
@@ -204,9 +205,15 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, **names) -> DataFr
         F.sha2(F.array_join(names_of, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
-def clean(documents: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """The documents without a benchmark passage, with all their columns."""
-    for items in blocks_of(benchmark, "item_id", "text", BLOCK_BYTES):
+def clean(documents: DataFrame, benchmark: DataFrame, text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The documents without a benchmark passage, with all their columns.
+
+    What a block leaves is written before the next one reads it, so each block
+    judges and counts once what is left, not through all earlier blocks again.
+    """
+    for n, items in enumerate(blocks_of(benchmark, "item_id", "text", block_bytes)):
+        if n:
+            documents = written(documents, f"clean-{n}")
         shared = documents.sparkSession.sparkContext.broadcast(build_index(documents, items, text_col))
         udf = per_text("n long", lambda shared=shared: lambda text: (len(shared.value.find(words_of(text))),))
         documents = documents.where(udf(F.col(text_col))["n"] == 0)

@@ -62,7 +62,7 @@ _DECON_WORDS = (f"regexp_extract_all(translate(coalesce(text, ''), '{_LETTERS}',
 
 DECONTAMINATION = f"""
 WITH docs AS (SELECT doc_id, {_DECON_WORDS} AS w FROM documents),
-items AS (SELECT item_id, {_DECON_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+items AS (SELECT item_id, {_DECON_WORDS} AS w FROM benchmark),
 windows AS (
     SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(list_slice(w, i, i + 9), ' ') AS words
     FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0) x
@@ -77,7 +77,7 @@ found AS (
 hits AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (
     SELECT doc_id, unnest(range(i, i + n)) AS pos FROM found) x GROUP BY doc_id),
 ids AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (
-    SELECT DISTINCT doc_id, cast(item_id AS varchar) AS id FROM found) x GROUP BY doc_id)
+    SELECT DISTINCT doc_id, cast(item_id AS varchar) AS id FROM found WHERE item_id IS NOT NULL) x GROUP BY doc_id)
 SELECT d.doc_id, len(d.w) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, h.n_hit IS NOT NULL AS contaminated
 FROM docs d LEFT JOIN hits h ON h.doc_id = d.doc_id LEFT JOIN ids i ON i.doc_id = d.doc_id"""

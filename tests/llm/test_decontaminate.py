@@ -23,6 +23,7 @@ def _slow(text, items):
                 if words[i:i + len(window)] == window:
                     hit.update(range(i, i + len(window)))
                     found.add(item_id)
+    found.discard(None)
     digest = hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest()
     return len(words), len(hit), len(found), digest, bool(hit)
 
@@ -51,19 +52,22 @@ def test_documents_equal_brute_force(ready, documents, texts, block_bytes):
 
 
 ITEMS = [(10, "One two three four five six seven eight nine ten eleven"), (2, "short item"), (3, "word"), (4, None), (5, " .,"),
-         (6, "One two three four five six seven eight nine ten eleven"), (7, "a a a a a a a a a a a a"), (None, "no id")]
+         (6, "One two three four five six seven eight nine ten eleven"), (7, "a a a a a a a a a a a a"), (None, "no id"), (None, None),
+         (None, "one two three four five six seven eight nine ten eleven")]
 TEXTS = ["zero ONE, two three four five six seven eight nine ten! Eleven twelve", "one two three four five six seven eight nine",
          "a SHORT item and a word", "short", "a " * 30, None, "", "two three four five six seven eight nine ten eleven",
-         "ten eleven one two three", "the word word word"]
+         "ten eleven one two three", "the word word word", "found by no id alone"]
 
 
 @pytest.mark.parametrize("block_bytes", [4 << 20, 20])
 def test_small_windows_and_nulls(ready, block_bytes):
-    docs = ready.createDataFrame(list(enumerate(TEXTS)) + [(9, TEXTS[9])], "doc_id long, text string")
+    docs = ready.createDataFrame(list(enumerate(TEXTS)) + [(10, TEXTS[10])], "doc_id long, text string")
     benchmark = ready.createDataFrame(ITEMS, "item_id long, text string")
-    items = [(i, t) for i, t in ITEMS if i is not None]
-    expected = [_slow(t, items) for t in [*TEXTS, TEXTS[9]]]
+    expected = [_slow(t, ITEMS) for t in [*TEXTS, TEXTS[10]]]
     assert _result(decontaminate(docs, benchmark, block_bytes=block_bytes)) == expected
+    assert expected[-1][1:] == (2, 0, hashlib.sha256(b"").hexdigest(), True)
+    kept = clean(docs, benchmark, block_bytes=block_bytes).collect()
+    assert sorted(r["doc_id"] for r in kept) == [i for i, e in enumerate(expected[:-1]) if not e[-1]]
 
 
 def test_odd_rows(ready, odd, empty):
