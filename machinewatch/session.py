@@ -25,6 +25,10 @@ BASE_CONF = {
 }
 
 
+#: The folder made for each local application that names none.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def get_session(
     master: str | None = None,
     app_name: str = "machinewatch",
@@ -69,7 +73,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc.master != "local" and not sc.master.startswith("local["):
         raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not configured:
-        configured = tempfile.mkdtemp(prefix="mw-ckpt-")
+        if sc.applicationId not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[sc.applicationId] = tempfile.mkdtemp(prefix="mw-ckpt-")
+        configured = _LOCAL_FOLDERS[sc.applicationId]
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(configured)
     return configured
