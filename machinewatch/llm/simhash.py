@@ -11,10 +11,14 @@ values that differ in one bit, the one with the zero asks for the other).
 
 Job shape: texts are read once; only (id, fingerprint) is kept, as a table.
 Equal fingerprints are one node (a group of copies costs one row after
-map-side sums). Buckets of up to ``CROWD`` entries are joined in the JVM. Larger
-buckets, where a third of all fingerprints may lie, are dealt into chunks;
-each pair of chunks is one small task group that returns only a spanning
-forest of its links, so no group's pairs are ever listed and none is skipped.
+map-side sums). Segments follow from the number of nodes, so that a bucket of
+unrelated fingerprints stays small: three of them up to ``MANY`` nodes, beyond
+that two of 32 bits, one with a ball of two bits. Buckets of up to ``CROWD``
+entries are joined in the JVM. Larger buckets, where a third of all
+fingerprints may lie, are dealt into chunks of the table's own entries and of
+all entries; a pair of chunks is one small task group that returns only a
+spanning forest of its links, so no group's pairs are ever listed and none is
+skipped. A value that is only asked for has nothing to be fetched.
 Components follow from rounds of star contraction on the links, each round
 written to the shared folder.
 
@@ -35,10 +39,10 @@ from pyspark.sql import functions as F
 from machinewatch.llm.common import fresh, per_text, written
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
-#: Bit widths of the segments, from the least significant.
-SEGMENTS = (22, 21, 21)
+#: Bit widths of the segments, from the least significant: up to that many nodes, and beyond.
+SEGMENTS, MANY, WIDE = (22, 21, 21), 1 << 25, (32, 32)
 #: Entries of a bucket joined in the JVM, and of a chunk of a larger one.
-CROWD, CHUNK = 512, 1024
+CROWD, CHUNK = 512, 8192
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -68,16 +72,16 @@ def fingerprints(documents: DataFrame, shingle: int = SHINGLE, id_col: str = "do
     return documents.select(F.col(id_col).cast("long").alias("doc_id"), udf(F.col(text_col))["fp"].alias("fp"))
 
 
-def _entries(nodes: DataFrame, radius: int) -> DataFrame:
+def _entries(nodes: DataFrame, radius: int, segments: tuple[int, ...] = SEGMENTS) -> DataFrame:
     """``fp, key, probe``: a node's own segment values, and those around them that it asks for.
 
     With ``radius = a * segments + b`` a linked pair differs by at most ``a``
     bits in one of the first ``b + 1`` segments or by at most ``a - 1`` in
     another one.
     """
-    whole, rest = divmod(radius, len(SEGMENTS))
+    whole, rest = divmod(radius, len(segments))
     entries, shift = [], 0
-    for number, width in enumerate(SEGMENTS):
+    for number, width in enumerate(segments):
         value = F.shiftrightunsigned(F.col("fp"), shift).bitwiseAND(F.lit((1 << width) - 1))
         key = value.bitwiseOR(F.lit(number << 32))
         entries.append(F.array(F.struct(key.alias("key"), F.lit(False).alias("probe"))))
@@ -98,7 +102,7 @@ def _asked(key: Column, masks: Column, upwards: bool) -> Column:
 
 
 def _forest(left: np.ndarray, right: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links between two chunks (or inside one, if they are the same)."""
+    """A spanning forest of the links between two chunks."""
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -117,35 +121,39 @@ def _forest(left: np.ndarray, right: np.ndarray, radius: int) -> list[tuple[int,
     return out
 
 
-def links(nodes: DataFrame, radius: int = RADIUS, crowd: int = CROWD, chunk: int = CHUNK) -> DataFrame:
+def links(nodes: DataFrame, radius: int = RADIUS, crowd: int = CROWD, chunk: int = CHUNK,
+          segments: tuple[int, ...] | None = None) -> DataFrame:
     """``a, b``: links between distinct fingerprints (column ``fp``), enough to connect every component."""
-    entries = _entries(nodes, radius)
-    crowds = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowd)
-    small, large = entries.join(crowds, "key", "left_anti"), entries.join(crowds, "key")
+    if segments is None:
+        segments = SEGMENTS if nodes.count() <= MANY else WIDE
+    entries = _entries(nodes, radius, segments)
+    crowds = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("probe")).alias("own")).where(
+        F.col("n") > crowd)
+    small, large = entries.join(crowds, "key", "left_anti"), entries.join(crowds.where("own > 0"), "key")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
     table = small.where(~F.col("probe")).select("key", F.col("fp").alias("a"))
     asking = small.select("key", F.col("fp").alias("b"), "probe")
     pairs = table.join(asking, (table["key"] == asking["key"]) & near & (F.col("probe") | (F.col("a") < F.col("b")))
                        ).select("a", "b").distinct()
 
-    # Larger buckets: each entry goes to the pairs of chunks that hold its own chunk.
-    chunks = F.ceil(F.col("n") / chunk).cast("int")
-    own = F.pmod(F.xxhash64("fp"), chunks).cast("int")
-    dealt = large.select("key", "fp", "probe", own.alias("c"), chunks.alias("k")).select(
-        "key", "fp", "probe", "c", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("o")).select(
-            "key", "fp", "probe", "c", F.least("c", "o").alias("lo"), F.greatest("c", "o").alias("hi"))
+    # Larger buckets: chunks of the table's own entries meet chunks of all entries; an own entry stands in both.
+    def dealt(rows: DataFrame, mine: Column, others: Column, own: bool) -> DataFrame:
+        k, o = F.ceil(mine / chunk), F.ceil(others / chunk)
+        place = F.pmod(F.xxhash64("fp"), k).cast("int")
+        across = F.explode(F.sequence(F.lit(0), o.cast("int") - 1))
+        at, over = ("t", "q") if own else ("q", "t")
+        return rows.select("key", "fp", F.lit(own).alias("own"), place.alias(at), across.alias(over)).select(
+            "key", "t", "q", "fp", "own")
+
+    both = dealt(large.where(~F.col("probe")), F.col("own"), F.col("n"), True).unionByName(
+        dealt(large, F.col("n"), F.col("own"), False))
 
     def forest(group: pd.DataFrame) -> pd.DataFrame:
-        fp = group["fp"].to_numpy().view(np.uint64)
-        lo, hi, mine = group["lo"].iloc[0], group["hi"].iloc[0], group["c"].to_numpy()
-        if lo == hi:
-            found = _forest(fp, fp, radius)
-        else:
-            found = _forest(fp[mine == lo], fp[mine == hi], radius)
-        pairs = np.array(found, dtype=np.uint64).reshape(-1, 2).view(np.int64)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    crowded = dealt.groupBy("key", "lo", "hi").applyInPandas(forest, "a long, b long")
+        fp, own = group["fp"].to_numpy().view(np.uint64), group["own"].to_numpy()
+        found = np.array(_forest(fp[own], fp[~own], radius), dtype=np.uint64).reshape(-1, 2).view(np.int64)
+        return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
+
+    crowded = both.groupBy("key", "t", "q").applyInPandas(forest, "a long, b long")
     return pairs.unionByName(crowded.where("a <> b"))
 
 

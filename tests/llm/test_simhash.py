@@ -3,7 +3,7 @@ import re
 import numpy as np
 import xxhash
 
-from machinewatch.llm.simhash import components, fingerprint, links, near_duplicates, one_of_each
+from machinewatch.llm.simhash import WIDE, components, fingerprint, links, near_duplicates, one_of_each
 
 
 def _slow_fingerprint(text):
@@ -73,6 +73,36 @@ def test_links_of_common_and_crowded_buckets_equal_brute_force(ready):
         assert _joined(ready, signed, nodes, radius=radius) == expected
         # Small limits send nearly all buckets through the chunks.
         assert _joined(ready, signed, nodes, radius=radius, crowd=8, chunk=16) == expected
+        # As many nodes would have it: two wide segments.
+        assert _joined(ready, signed, nodes, radius=radius, segments=WIDE) == expected
+        assert _joined(ready, signed, nodes, radius=radius, segments=WIDE, crowd=8, chunk=16) == expected
+
+
+def test_a_crowd_that_agrees_in_two_segments(ready):
+    """All in one bucket of two segments: few links of each node, and no bucket of probes alone."""
+    rng = np.random.default_rng(1)
+    high = int(rng.integers(0, 2**42)) << 22
+    signed = sorted({high + int(v) for v in rng.integers(0, 1 << 21, 6000)})
+    nodes = ready.createDataFrame([(v - 2**64 if v >= 2**63 else v,) for v in signed], "fp long")
+    found = links(nodes).collect()
+    assert len(found) < 10 * len(signed)
+    expected = {}
+    for v, c in _slow_components({v: v for v in signed}).items():
+        expected.setdefault(c, set()).add(v)
+    parent = {v: v for v in signed}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in ((r["a"] % 2**64, r["b"] % 2**64) for r in found):
+        assert (a ^ b).bit_count() <= 4
+        parent[root(a)] = root(b)
+    groups = {}
+    for v in signed:
+        groups.setdefault(root(v), set()).add(v)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
 
 
 def test_components_of_a_long_chain(ready):
