@@ -85,3 +85,18 @@ def test_flat_forest_refuses_what_cannot_be_scored(spark):
     with pytest.raises(Exception, match="has no value"):
         ml.score(flat, feats.withColumn("temperature", F.lit(None).cast("double"))).collect()
     assert ml.score(flat, feats.filter("false")).count() == 0
+
+
+def test_the_registered_grid_search_runs(spark, monkeypatch):
+    """The query itself with Spark's own search, on a smaller grid."""
+    from functools import partial
+
+    from machinewatch.plans.registry import queries
+
+    grid = {"n_estimators": (2, 4), "max_depth": (3, None), "min_samples_split": (2,)}
+    monkeypatch.setattr(ml, "grid_search", partial(ml.grid_search, **grid, folds=2))
+    for name, values in (("GRID_N_ESTIMATORS", (2, 4)), ("GRID_MAX_DEPTH", (3, None)), ("GRID_MIN_SAMPLES_SPLIT", (2,))):
+        monkeypatch.setattr(ml, name, values)
+    rows = queries()["grid_search"](spark, "/root/testdata/sf0.001").collect()
+    assert sorted((r["num_trees"], r["max_depth"], r["min_instances"]) for r in rows) == [(2, 3, 2), (2, 30, 2), (4, 3, 2), (4, 30, 2)]
+    assert all(r["auc_above_chance"] and r["refitted"] and r["train_rows"] > 700 for r in rows)
