@@ -40,6 +40,8 @@ from machinewatch.session import scratch_path
 #: Rows that the grid search is fitted on at most (bounded sample of labelled rows).
 GRID_FIT_ROWS = 1000
 SPARK_MAX_DEPTH = 30  # Spark's cap; stands in for "unlimited depth"
+#: Rows of a task that fits or walks a forest, at most; fewer rows go to one task per core.
+FOREST_ROWS = 500_000
 
 
 # ---------------------------------------------------------------------------
@@ -136,19 +138,33 @@ def model_input(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in ratios})
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt over all cores: a forest costs far more per row than its bytes tell, and a small file is one task."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(cores, -(-df.count() // FOREST_ROWS)))
+
+
 def rf_pipeline(num_trees: int = FIXED_N_ESTIMATORS, max_depth: int | None = FIXED_MAX_DEPTH,
-                min_instances: int = 1, seed: int = SEED) -> Pipeline:
-    """M3: assemble -> standardize (mean and std) -> random forest."""
+                min_instances: int = 1, seed: int = SEED, keep_places: bool = False) -> Pipeline:
+    """M3: assemble -> standardize (mean and std) -> random forest.
+
+    With ``keep_places`` each row's node in each tree is kept from layer to
+    layer: no layer walks the trees from their roots or sends them to the tasks.
+    """
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
     rf = RandomForestClassifier(featuresCol="scaled", labelCol="label", numTrees=num_trees,
                                 maxDepth=min(max_depth or SPARK_MAX_DEPTH, SPARK_MAX_DEPTH),
-                                minInstancesPerNode=min_instances, seed=seed)
+                                minInstancesPerNode=min_instances, seed=seed, cacheNodeIds=keep_places)
     return Pipeline(stages=[assembler(), scaler, rf])
 
 
 def train_fixed(train: DataFrame, **params) -> PipelineModel:
-    """M5: fixed parameters (100 trees, depth 20)."""
-    return rf_pipeline(**params).fit(model_input(train))
+    """M5: fixed parameters (100 trees, depth 20), fitted by all cores on rows that are computed once."""
+    rows = spread(model_input(train)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return rf_pipeline(keep_places=True, **params).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def grid_search(train: DataFrame, n_estimators=GRID_N_ESTIMATORS, max_depth=GRID_MAX_DEPTH,
@@ -318,7 +334,7 @@ def evaluate(model: PipelineModel, test: DataFrame) -> dict:
 def training_run(features: DataFrame, out_dir: str, use_grid: bool = False, fixed: dict | None = None,
                  **grid_args) -> dict:
     """Split -> train (grid or fixed) -> evaluate -> save model and results."""
-    split = stratified_split(features).cache()
+    split = spread(stratified_split(features)).cache()
     train = split.filter(F.col("split") == "train")
     test = split.filter(F.col("split") == "test")
     if use_grid:

@@ -1095,7 +1095,7 @@ UNION ALL SELECT 'macro avg', count(*), true, true FROM split WHERE split = 'tes
 UNION ALL SELECT 'weighted avg', count(*), true, true FROM split WHERE split = 'test'""", TRAIN_SQL, SPLIT_SQL))
 def q_train_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M3 + M5: the fixed forest (100 trees, depth 20); its report on the held-out split, which it must have learned."""
-    parts = ml.stratified_split(training_features(spark, sf_dir))
+    parts = ml.spread(ml.stratified_split(training_features(spark, sf_dir)))
     model = ml.train_fixed(parts.filter(F.col("split") == "train"))
     scored = ml.score(model, parts.filter(F.col("split") == "test"))
     report = ml.classification_report(scored.withColumn("label", F.col("label").cast("int")))
@@ -1122,7 +1122,7 @@ def _learned(scored: DataFrame) -> bool:
 SELECT event_id, machine_id, true AS same_prediction, true AS same_probability FROM feats""", TRAIN_SQL))
 def q_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The model saved and loaded back scores every reading as the fitted one does."""
-    feats = training_features(spark, sf_dir)
+    feats = ml.spread(training_features(spark, sf_dir))
     model = ml.train_fixed(feats)
     path = _scratch(spark, "model")
     ml.save_model(model, path)
@@ -1138,7 +1138,7 @@ def q_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_id, true AS same_prediction, true AS same_probability, true AS same_confidence FROM feats""", TRAIN_SQL))
 def q_flat_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The saved forest as flat arrays scores every reading as the saved pipeline does, to the last bit."""
-    feats, path = training_features(spark, sf_dir), _scratch(spark, "flat-forest")
+    feats, path = ml.spread(training_features(spark, sf_dir)), _scratch(spark, "flat-forest")
     ml.save_model(ml.train_fixed(feats), path)
     own = ml.score(ml.load_model(path), feats).select(
         "event_id", "machine_id", *ml.MODEL_FEATURES, F.col("prediction").alias("p"), F.col("anomaly_probability").alias("a"),
@@ -1154,7 +1154,7 @@ FROM feats""", TRAIN_SQL))
 def q_batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M10 + M11: every reading scored by the saved model; label, severity and confidence follow from the prediction."""
     out, _ = trained_model(spark, sf_dir)
-    scored = ml.postprocess_prediction(ml.score(ml.load_model(out + "/model"), training_features(spark, sf_dir)))
+    scored = ml.postprocess_prediction(ml.score(ml.load_model(out + "/model"), ml.spread(training_features(spark, sf_dir))))
     anomaly, p = F.col("prediction") == 1, F.col("anomaly_probability")
     return scored.select(
         "event_id", (F.col("prediction_label") == F.when(anomaly, "anomaly").otherwise("normal")).alias("label_agrees"),

@@ -100,3 +100,21 @@ def test_the_registered_grid_search_runs(spark, monkeypatch):
     rows = queries()["grid_search"](spark, "/root/testdata/sf0.001").collect()
     assert sorted((r["num_trees"], r["max_depth"], r["min_instances"]) for r in rows) == [(2, 3, 2), (2, 30, 2), (4, 3, 2), (4, 30, 2)]
     assert all(r["auc_above_chance"] and r["refitted"] and r["train_rows"] > 700 for r in rows)
+
+
+def test_a_forest_is_fitted_by_all_cores(spark, monkeypatch):
+    """Rows that come as one partition, as a small file does, are dealt over the cores and keep their places in the trees."""
+    from pyspark.ml import Pipeline
+
+    feats, seen, fit = _separable(spark, 300).coalesce(1), {}, Pipeline.fit
+
+    def probe(self, rows, params=None):
+        seen.update(parts=rows.rdd.getNumPartitions(), rows=rows.count(), kept=self.getStages()[-1].getCacheNodeIds())
+        return fit(self, rows, params)
+
+    monkeypatch.setattr(Pipeline, "fit", probe)
+    model = ml.train_fixed(feats, num_trees=2, max_depth=3)
+    assert seen == {"parts": spark.sparkContext.defaultParallelism, "rows": 300, "kept": True}
+    assert len(model.stages[-1].trees) == 2
+    monkeypatch.setattr(ml, "FOREST_ROWS", 10)
+    assert ml.spread(feats).rdd.getNumPartitions() == 30 and ml.spread(feats.filter("false")).count() == 0
