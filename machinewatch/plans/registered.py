@@ -1134,11 +1134,11 @@ def _learned(scored: DataFrame) -> bool:
 SELECT event_id, machine_id, true AS same_prediction, true AS same_probability FROM feats""", TRAIN_SQL))
 def q_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The model saved and loaded back scores every reading as the fitted one does."""
-    feats = ml.spread(training_features(spark, sf_dir))
+    feats = _stored(model_features(spark, sf_dir), "features")
     model = ml.train_fixed(feats)
     path = _scratch(spark, "model")
     ml.save_model(model, path)
-    fitted = ml.score(model, feats).select(
+    fitted = ml.score(model, ml.spread(feats)).select(
         "event_id", "machine_id", *ml.MODEL_FEATURES, F.col("prediction").alias("p"),
         F.col("anomaly_probability").alias("a")).drop("confidence")
     again = ml.score(ml.load_model(path), fitted)
