@@ -1150,9 +1150,9 @@ def q_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_id, true AS same_prediction, true AS same_probability, true AS same_confidence FROM feats""", TRAIN_SQL))
 def q_flat_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The saved forest as flat arrays scores every reading as the saved pipeline does, to the last bit."""
-    feats, path = ml.spread(training_features(spark, sf_dir)), _scratch(spark, "flat-forest")
+    feats, path = _stored(model_features(spark, sf_dir), "features"), _scratch(spark, "flat-forest")
     ml.save_model(ml.train_fixed(feats), path)
-    own = ml.score(ml.load_model(path), feats).select(
+    own = ml.score(ml.load_model(path), ml.spread(feats)).select(
         "event_id", "machine_id", *ml.MODEL_FEATURES, F.col("prediction").alias("p"), F.col("anomaly_probability").alias("a"),
         F.col("confidence").alias("c"))
     flat = ml.score(load_forest(spark, path), own)
