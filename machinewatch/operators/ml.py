@@ -334,7 +334,7 @@ def evaluate(model: PipelineModel, test: DataFrame) -> dict:
 def training_run(features: DataFrame, out_dir: str, use_grid: bool = False, fixed: dict | None = None,
                  **grid_args) -> dict:
     """Split -> train (grid or fixed) -> evaluate -> save model and results."""
-    split = spread(stratified_split(features)).cache()
+    split = stratified_split(spread(features)).cache()
     train = split.filter(F.col("split") == "train")
     test = split.filter(F.col("split") == "test")
     if use_grid:

@@ -1074,7 +1074,7 @@ SPLIT_SQL = """split AS (
 def trained_model(spark: SparkSession, sf_dir: str, **params) -> tuple[str, dict]:
     """Train, save the model and its results, evaluate the saved model; (folder, results)."""
     out = _scratch(spark, "training")
-    return out, ml.training_run(training_features(spark, sf_dir), out, **params)
+    return out, ml.training_run(model_features(spark, sf_dir), out, **params)
 
 
 @register("training_run", with_ctes("""
@@ -1166,7 +1166,7 @@ FROM feats""", TRAIN_SQL))
 def q_batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M10 + M11: every reading scored by the saved model; label, severity and confidence follow from the prediction."""
     out, _ = trained_model(spark, sf_dir)
-    scored = ml.postprocess_prediction(ml.score(ml.load_model(out + "/model"), ml.spread(training_features(spark, sf_dir))))
+    scored = ml.postprocess_prediction(ml.score(ml.load_model(out + "/model"), model_features(spark, sf_dir)))
     anomaly, p = F.col("prediction") == 1, F.col("anomaly_probability")
     return scored.select(
         "event_id", (F.col("prediction_label") == F.when(anomaly, "anomaly").otherwise("normal")).alias("label_agrees"),
@@ -1208,7 +1208,7 @@ def q_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out, _ = trained_model(spark, sf_dir)
     model, root = load_forest(spark, out + "/model"), _scratch(spark, "stream-score")
-    lines = rawsrc.raw_bad(load_readings(spark, sf_dir)).withColumn("week", _week())
+    lines = rawsrc.raw_bad(events_to_readings(ml.spread(read_table(spark, sf_dir, "events")))).withColumn("week", _week())
     stream_sources.run_arrivals(lines, root, "week", lambda stream: scoring.start_scoring(stream, model, root))
     log = spark.read.schema("batch_id bigint, records bigint, scored_records bigint, rejected_records bigint").json(
         root + "/batch_log")
