@@ -118,3 +118,35 @@ def test_a_forest_is_fitted_by_all_cores(spark, monkeypatch):
     assert len(model.stages[-1].trees) == 2
     monkeypatch.setattr(ml, "FOREST_ROWS", 10)
     assert ml.spread(feats).rdd.getNumPartitions() == 30 and ml.spread(feats.filter("false")).count() == 0
+
+
+def test_model_queries_compute_their_rows_once(spark, monkeypatch):
+    """What is fitted, scored and compared is read from a stored table; no pass goes back to the events."""
+    from functools import partial
+
+    from machinewatch.plans.registry import queries
+
+    read, fit = {}, partial(ml.train_fixed, num_trees=2, max_depth=3)
+
+    def probe(rows, **_):
+        read[name] = rows.inputFiles()
+        return fit(rows)
+
+    monkeypatch.setattr(ml, "train_fixed", probe)
+    monkeypatch.setattr(ml, "grid_search", lambda rows: (probe(rows), {"numTrees": 2, "maxDepth": 3}, [0.6] * 27))
+    for name in ("flat_forest", "model_roundtrip", "train_fixed", "grid_search"):
+        assert queries()[name](spark, "/root/testdata/sf0.001").count() > 0
+        assert read[name] and not [f for f in read[name] if "/root/testdata" in f], name
+
+
+def test_the_split_is_computed_by_all_cores(spark, monkeypatch):
+    """``training_run`` (stream_score, batch_score) deals its rows before they are split, not after."""
+    parts, split = [], ml.stratified_split
+
+    def probe(rows, *args, **kwargs):
+        parts.append(rows.rdd.getNumPartitions())
+        return split(rows, *args, **kwargs)
+
+    monkeypatch.setattr(ml, "stratified_split", probe)
+    ml.training_run(_separable(spark, 300).coalesce(1), tempfile.mkdtemp(prefix="mw-model-"), fixed={"num_trees": 2, "max_depth": 3})
+    assert parts == [spark.sparkContext.defaultParallelism]
