@@ -56,17 +56,21 @@ def with_edge_rule(df: DataFrame) -> DataFrame:
     return df.withColumn("anomaly_score", edge_rule())
 
 
-def enrich_stream(df: DataFrame, raw_col: str | None = "raw", now_ts: Column | None = None) -> DataFrame:
+def enrich_stream(df: DataFrame, raw_col: str | None = "raw", now_ts: Column | None = None,
+                  whole_col: str | None = None) -> DataFrame:
     """Fill an absent ``timestamp`` with now, add ratios, ``processed_at``, ``data_version``.
 
     "Absent" means the key is missing from the JSON text (``json_object_keys``);
-    a present-but-null timestamp stays NULL so the validator rejects it.
+    a present-but-null timestamp stays NULL so the validator rejects it. Where
+    ``whole_col`` is true (``parse_raw``), a timestamp that is not null is present.
     """
     now = now_ts if now_ts is not None else F.current_timestamp()
     if raw_col and raw_col in df.columns:
         present = F.coalesce(
             F.array_contains(F.json_object_keys(F.col(raw_col)), F.lit("timestamp")), F.lit(False)
         )
+        if whole_col:
+            present = F.when(F.col(whole_col) & F.col("timestamp").isNotNull(), F.lit(True)).otherwise(present)
         filled = F.when(present, F.col("timestamp")).otherwise(
             F.unix_seconds(now).cast("string" if _is_string(df, "timestamp") else "bigint")
         )

@@ -58,15 +58,23 @@ def reject_reason(raw_col: str = "raw", required: Sequence[str] = REQUIRED_FIELD
 
 
 def validate_readings(parsed: DataFrame, raw_col: str = "raw",
-                      required: Sequence[str] = REQUIRED_FIELDS) -> DataFrame:
+                      required: Sequence[str] = REQUIRED_FIELDS, whole_col: str | None = None) -> DataFrame:
     """Typed reading columns plus ``is_valid`` and ``reject_reason``.
 
     ``parsed`` holds ``raw`` and the string-typed fields (``parse_raw``).
+    Where its ``whole_col`` is true and no field is null, all keys are present
+    and the text is not read for them.
     """
     # The keys are a column of their own: every check reads them, and the record is parsed for them once.
     reason = reject_reason(raw_col, required, F.col("_keys"))
     typed = {name: typed_value(name, raw_col) for name in TYPED}
-    return parsed.withColumn("_keys", F.json_object_keys(F.col(raw_col))).withColumn("reject_reason", reason).drop(
+    keys = F.json_object_keys(F.col(raw_col))
+    if whole_col:
+        complete = F.col(whole_col)
+        for name in REQUIRED_FIELDS:
+            complete = complete & F.col(name).isNotNull()
+        keys = F.when(complete, F.array(*[F.lit(name) for name in REQUIRED_FIELDS])).otherwise(keys)
+    return parsed.withColumn("_keys", keys).withColumn("reject_reason", reason).drop(
         "_keys").withColumns(typed).withColumn("is_valid", F.col("reject_reason").isNull())
 
 

@@ -17,8 +17,6 @@ from machinewatch.functions.features import count_when
 from machinewatch.operators.enrich import LAG_NAMES
 from machinewatch.schema import SENSORS, TREND_DELTAS, TREND_MIN_READINGS, TREND_NAMES
 
-#: Parts that a group's rows are spread over when its latest row is looked for.
-SPREAD = 64
 HOUR_KEYS = ("machine_id", "year", "month", "day", "hour")
 DAY_KEYS = ("machine_id", "year", "month", "day")
 MONTH_KEYS = ("machine_id", "year", "month")
@@ -173,34 +171,48 @@ STAT_COLUMNS = [f"{LAG_NAMES[s]}_{m}" for s in SENSORS for m in ("mean", "std",
 TREND_COLUMNS = ["trend", *[TREND_NAMES[s] for s in SENSORS]]
 
 
-def attach_batch_stats(
+def latest_with_stats(
     df: DataFrame, group_cols: Sequence[str] = ("machine_id",), ts: str = "event_timestamp"
+) -> DataFrame:
+    """J1's side of groups: one row per group of > 1 row, with its statistics, trends and the key of its latest row.
+
+    Records need no id: the latest row goes by time, then by the id if there
+    is one, else by the sensor values, then by a hash of its whole content.
+    """
+    latest = F.max(F.struct(_order_key(df, ts).alias("o"), _content(df).alias("c")))
+    agg = _grouped(df, group_cols).agg(*_stats_aggs(), *_trend_aggs(df, ts), latest.alias("_latest"))
+    return agg.filter(F.col("_n") > 1).withColumns(_trend_columns()).select(
+        *[F.col(c).alias(f"_g_{c}") for c in group_cols], F.col("_latest.o").alias("_g_order"),
+        F.col("_latest.c").alias("_g_content"), *STAT_COLUMNS, *TREND_COLUMNS)
+
+
+def _content(df: DataFrame) -> Column:
+    return F.xxhash64(*[F.col(c) for c in df.columns])
+
+
+def attach_batch_stats(
+    df: DataFrame, group_cols: Sequence[str] = ("machine_id",), ts: str = "event_timestamp",
+    groups: DataFrame | None = None
 ) -> DataFrame:
     """Statistics and trends of the group on its latest row only (groups of > 1 row).
 
-    Records need no id: rows are dealt by a hash of their whole content, so
-    equal (redelivered) rows meet and a hot group is spread over ``SPREAD``
-    parts. Each part numbers its rows; the group's winner is the part whose
-    first row is the latest, and only that one row gets the statistics. Ties
-    in time go by the id if there is one, else by the sensor values, then by
-    the content hash. The join back uses the parts' own partitioning.
+    ``groups`` is ``latest_with_stats`` of the same rows, if the caller holds
+    it. Rows meet it by group and content hash, so a hot group is no hot key;
+    held and small, it is sent to the rows and these are not shuffled at all.
+    Only copies of a latest row (redelivered records) are numbered, and the
+    first of them gets the statistics; all others keep their place.
     """
     if not group_cols:
         # Batch-wide: one constant group key.
-        return attach_batch_stats(df.withColumn("_batch", F.lit(0)), ["_batch"], ts).drop("_batch")
-    order = _order_key(df, ts)
-    dealt = df.withColumn("_content", F.xxhash64(*[F.col(c) for c in df.columns])).withColumn(
-        "_part", F.pmod("_content", F.lit(SPREAD)))
-    newest = Window.partitionBy(*group_cols, "_part").orderBy(order.desc(), F.col("_content").desc())
-    dealt = dealt.withColumn("_newest", F.row_number().over(newest) == 1)
-    winner = F.struct(order.alias("o"), F.col("_content").alias("c"), F.col("_part").alias("p"))
-    agg = dealt.groupBy(*group_cols).agg(
-        *_stats_aggs(), *_trend_aggs(df, ts), F.max(winner).alias("_winner"))
-    per_group = agg.filter(F.col("_n") > 1).withColumns(_trend_columns()).select(
-        *[F.col(c).alias(f"_g_{c}") for c in group_cols], F.col("_winner.p").alias("_g_part"),
-        *STAT_COLUMNS, *TREND_COLUMNS)
-    same = F.col("_newest") & (F.col("_part") == F.col("_g_part"))
+        return attach_batch_stats(df.withColumn("_batch", F.lit(0)), ["_batch"], ts, groups).drop("_batch")
+    if groups is None:
+        groups = latest_with_stats(df, group_cols, ts)
+    same = (F.col("_content") == F.col("_g_content")) & (F.col("_order") == F.col("_g_order"))
     for c in group_cols:
         same = same & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
-    out = dealt.join(per_group, same, "left")
-    return out.select(*df.columns, *STAT_COLUMNS, *TREND_COLUMNS)
+    joined = df.withColumns({"_content": _content(df), "_order": _order_key(df, ts)}).join(groups, same, "left")
+    attached = [*STAT_COLUMNS, *TREND_COLUMNS]
+    copies = Window.partitionBy(*group_cols).orderBy("_content")
+    numbered = joined.filter(F.col("_g_content").isNotNull()).withColumn("_copy", F.row_number().over(copies))
+    latest = numbered.select(*df.columns, *[F.when(F.col("_copy") == 1, F.col(c)).alias(c) for c in attached])
+    return joined.filter(F.col("_g_content").isNull()).select(*df.columns, *attached).unionByName(latest)

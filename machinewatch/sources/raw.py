@@ -61,9 +61,20 @@ def decode_payload(records: DataFrame, data_col: str = "data", body_col: str = "
     return records.withColumn("raw", text)
 
 
-def parse_raw(df: DataFrame, raw_col: str = "raw", schema: T.StructType = RAW_STRING_SCHEMA) -> DataFrame:
-    """Parse ``raw`` into string-typed fields (so bad values are kept for routing)."""
-    return df.withColumn("_r", F.from_json(F.col(raw_col), schema)).select("*", "_r.*").drop("_r")
+def parse_raw(df: DataFrame, raw_col: str = "raw", schema: T.StructType = RAW_STRING_SCHEMA,
+              whole_col: str | None = None) -> DataFrame:
+    """Parse ``raw`` into string-typed fields (so bad values are kept for routing).
+
+    ``whole_col`` is true where the text is one object that was read to its end
+    without an error, by rules that ``json_object_keys`` shares: there a value
+    that is not null shows that its key is present.
+    """
+    if not whole_col:
+        return df.withColumn("_r", F.from_json(F.col(raw_col), schema)).select("*", "_r.*").drop("_r")
+    parsed = F.from_json(F.col(raw_col), T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())]),
+                         {"columnNameOfCorruptRecord": "_corrupt", "allowNonNumericNumbers": "false"})
+    whole = F.coalesce(F.col(raw_col).startswith("{") & F.col("_corrupt").isNull(), F.lit(False))
+    return df.withColumn("_r", parsed).select("*", "_r.*").withColumn(whole_col, whole).drop("_r", "_corrupt")
 
 
 def crawl_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> DataFrame:

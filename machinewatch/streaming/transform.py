@@ -2,8 +2,8 @@
 per-batch statistics, and idempotent fan-out to the sinks.
 
 ``foreachBatch`` is at-least-once, so every sink writes the batch into its
-own ``batch_id=N`` folder with dynamic partition overwrite: a replayed batch
-replaces its own output instead of appending duplicates.
+own ``batch_id=N`` folder and overwrites that: a replayed batch replaces its
+own output instead of appending duplicates.
 """
 
 from __future__ import annotations
@@ -18,10 +18,11 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from machinewatch.operators.enrich import enrich_stream
 from machinewatch.operators.quality import dead_letter_rows, split_valid, validate_readings
-from machinewatch.operators.stats import attach_batch_stats
+from machinewatch.operators.stats import attach_batch_stats, latest_with_stats
 from machinewatch.schema import RAW_STRING_SCHEMA, REQUIRED_FIELDS
 from machinewatch.sinks.files import session_conf
 from machinewatch.sinks.messages import republish_keyed
@@ -41,8 +42,8 @@ class TransformPaths:
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
-    (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").format(fmt).save(path))
+    """Replace the batch's own folder. Written as such, its rows need no sort by a column that is the same in all of them."""
+    df.drop("batch_id").write.mode("overwrite").format(fmt).save(os.path.join(path, f"batch_id={batch_id}"))
 
 
 def together(spark: SparkSession, *jobs: Callable[[], None]) -> None:
@@ -54,12 +55,18 @@ def together(spark: SparkSession, *jobs: Callable[[], None]) -> None:
 
 def transform_records(raw: DataFrame) -> DataFrame:
     """Per-row part of ST1 (works on batch and streaming frames): parse, enrich, validate."""
-    parsed = parse_raw(raw, schema=RAW_STRING_SCHEMA)
-    if "event_id" not in raw.columns:
-        # A record may carry a message id as a sixth field.
-        parsed = parsed.withColumn("event_id", F.get_json_object("raw", "$.event_id").try_cast("bigint"))
-    enriched = enrich_stream(parsed)
-    return validate_readings(enriched, required=TRANSFORM_REQUIRED)
+    # A sound record is parsed once; its keys and its id are looked up in the text again only where that leaves a question.
+    own_id = "event_id" not in raw.columns  # a record may carry a message id as a sixth field
+    schema = T.StructType([*RAW_STRING_SCHEMA.fields, *[T.StructField("event_id", T.StringType())] * own_id])
+    parsed = parse_raw(raw, schema=schema, whole_col="_whole")
+    if own_id:
+        text, value = F.col("event_id"), F.col("event_id").try_cast("bigint")
+        looked_up = F.get_json_object("raw", "$.event_id").try_cast("bigint")
+        twice = F.call_function("locate", F.lit("event_id"), F.col("raw"), F.locate("event_id", "raw") + F.lit(1)) > 0
+        open_question = ~F.col("_whole") | (text.isNotNull() & value.isNull()) | twice
+        parsed = parsed.withColumn("event_id", F.when(open_question, looked_up).otherwise(value))
+    enriched = enrich_stream(parsed, whole_col="_whole")
+    return validate_readings(enriched, required=TRANSFORM_REQUIRED, whole_col="_whole").drop("_whole")
 
 
 def make_batch_writer(paths: TransformPaths, group_cols: tuple[str, ...] = ("machine_id",)):
@@ -81,21 +88,24 @@ def make_batch_writer(paths: TransformPaths, group_cols: tuple[str, ...] = ("mac
             valid, _ = split_valid(validated)
             typed = valid.withColumn("event_time", F.timestamp_seconds("timestamp"))
             # Device records have no id; where some do, it only breaks ties in time.
-            enriched = attach_batch_stats(typed, list(group_cols), ts="event_time").persist()
-            # What is published is the enriched record, without the raw text it came from.
-            keyed = republish_keyed(enriched.drop("raw", "is_valid", "reject_reason"))
+            # Held and counted first, the groups are of known size: few are sent to the records, which stay where they are.
+            # A held plan keeps all its shuffle partitions, also empty ones; one part a core is as parallel.
+            groups = latest_with_stats(typed, list(group_cols), ts="event_time").coalesce(
+                batch.sparkSession.sparkContext.defaultParallelism).persist()
             try:
+                groups.count()
+                enriched = attach_batch_stats(typed, list(group_cols), ts="event_time", groups=groups)
+                # What is published is the enriched record, without the raw text it came from.
+                keyed = republish_keyed(enriched.drop("raw", "is_valid", "reject_reason"))
                 together(batch.sparkSession, lambda: write_batch(enriched, paths.delivered, batch_id),
                          lambda: write_batch(keyed, paths.keyed, batch_id, "json"),
                          lambda: write_batch(dead_letter_rows(validated), paths.errors, batch_id, "json"))
             finally:
-                enriched.unpersist()
-            spark = batch.sparkSession
-            log = spark.createDataFrame(
-                [(counts["records"], counts["processed_records"], counts["rejected_records"],
-                  (time.time() - started) * 1000.0)],
-                "records bigint, processed_records bigint, rejected_records bigint, "
-                "processing_time_ms double").withColumn("logged_at", F.current_timestamp())
+                groups.unpersist()
+            log = batch.sparkSession.range(0, 1, 1, 1).select(
+                *[F.lit(counts[c]).cast("bigint").alias(c) for c in ("records", "processed_records", "rejected_records")],
+                F.lit((time.time() - started) * 1000.0).alias("processing_time_ms"),
+                F.current_timestamp().alias("logged_at"))
             write_batch(log, paths.batch_log, batch_id, "json")
         finally:
             validated.unpersist()

@@ -101,6 +101,53 @@ def test_a_null_machine_keeps_its_statistics(spark):
     assert out.filter("temp_mean is not null").count() == 1
 
 
+def test_held_statistics_are_sent_to_the_records(spark):
+    df, rows = _device_rows(spark)
+    groups = stats.latest_with_stats(df, ["machine_id"], ts="timestamp").coalesce(2).persist()
+    assert groups.count() == 4
+    out = stats.attach_batch_stats(df, ["machine_id"], ts="timestamp", groups=groups)
+    # Records are shuffled nowhere: only the copies of a latest record, which met the groups before, are numbered.
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
+    assert sorted(map(str, out.collect())) == sorted(map(str, stats.attach_batch_stats(df, ["machine_id"], ts="timestamp").collect()))
+    assert out.count() == len(rows) and out.filter("temp_mean is not null").count() == 4
+    groups.unpersist()
+
+
+def test_a_batch_is_written_as_it_arrived_and_replaced_whole(spark):
+    df, rows = _device_rows(spark)
+    records = transform.transform_records(rawsrc.raw_json(df.withColumn("event_id", F.lit(1)).withColumn(
+        "event_timestamp", F.timestamp_seconds("timestamp"))).select("raw").coalesce(1))
+    paths = transform.TransformPaths(tempfile.mkdtemp(prefix="mw-files-"))
+    transform.make_batch_writer(paths)(records, 0)
+    delivered = spark.read.parquet(paths.delivered)
+    assert delivered.count() == len(rows) and dict(delivered.dtypes)["batch_id"] == "int"
+    assert delivered.filter("temp_mean is not null").count() == 4
+    # One part of records and one of latest records, not a file for each shuffle partition.
+    assert len(delivered.inputFiles()) <= 2
+    transform.write_batch(delivered.limit(3).localCheckpoint(), paths.delivered, 0)
+    assert spark.read.parquet(paths.delivered).count() == 3
+    transform.write_batch(delivered.limit(0).localCheckpoint(), paths.delivered, 0)
+    assert spark.read.parquet(paths.delivered).count() == 0
+
+
+def test_a_record_parsed_once_is_judged_as_before(spark):
+    body = '"machine_id":"M","timestamp":1,"temperature":1,"vibration":1,"pressure":1'
+    cases = [
+        (f'{{"event_id":1,{body}}}', 1, None), (f'[{{"event_id":1,{body}}}]', None, "malformed_json"),
+        (f'{{"event_id":xx,{body}}}', None, "malformed_json"), (f'{{"humidity":NaN,{body}}}', None, "malformed_json"),
+        (f'{{"event_id":7,{body},"temperature":bad}}', None, "malformed_json"), (f'{{{body}', None, "malformed_json"),
+        (f'  {{"event_id":"12",{body}}}', 12, None), (f'{{"event_id":3,"event_id":4,{body}}}', 3, None),
+        (f'{{"_corrupt":"x","event_id":null,{body}}}', None, None), (None, None, "malformed_json"),
+        ('{"event_id":2,"machine_id":"M","temperature":1,"vibration":1,"pressure":1}', 2, None),
+        ('{"event_id":2,"machine_id":"M","timestamp":null,"temperature":1,"vibration":1,"pressure":1}', 2, "invalid_type:timestamp"),
+        ('{"event_id":2,"machine_id":null,"timestamp":1,"vibration":1,"pressure":1}', 2, "missing_field:temperature"),
+    ]
+    frame = spark.createDataFrame([(i, raw) for i, (raw, _, _) in enumerate(cases)], "i int, raw string")
+    got = {r.i: (r.event_id, r.reject_reason) for r in transform.transform_records(frame).collect()}
+    assert [got[i] for i in range(len(cases))] == [(event, reason) for _, event, reason in cases]
+
+
 def test_payload_stream_restarts_from_its_checkpoint(spark):
     """Base64 payloads through ST1, a batch at a time, then the same folder again without new files."""
     df, rows = _device_rows(spark)
