@@ -88,12 +88,12 @@ def make_batch_writer(paths: TransformPaths, group_cols: tuple[str, ...] = ("mac
             valid, _ = split_valid(validated)
             typed = valid.withColumn("event_time", F.timestamp_seconds("timestamp"))
             # Device records have no id; where some do, it only breaks ties in time.
-            # Held and counted first, the groups are of known size: few are sent to the records, which stay where they are.
+            # Held and computed first, the groups are of known size: few are sent to the records, which stay where they are.
             # A held plan keeps all its shuffle partitions, also empty ones; one part a core is as parallel.
             groups = latest_with_stats(typed, list(group_cols), ts="event_time").coalesce(
                 batch.sparkSession.sparkContext.defaultParallelism).persist()
             try:
-                groups.count()
+                groups.write.format("noop").mode("overwrite").save()
                 enriched = attach_batch_stats(typed, list(group_cols), ts="event_time", groups=groups)
                 # What is published is the enriched record, without the raw text it came from.
                 keyed = republish_keyed(enriched.drop("raw", "is_valid", "reject_reason"))
