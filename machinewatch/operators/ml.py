@@ -13,7 +13,6 @@ import os
 import uuid
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -24,6 +23,7 @@ from pyspark.sql import functions as F
 
 from machinewatch.operators.forest import FlatForest
 from machinewatch.operators.ranges import in_ranges, running_offsets
+from machinewatch.operators.trees import CellForestClassifier
 from machinewatch.schema import (
     CV_FOLDS,
     FIXED_MAX_DEPTH,
@@ -145,16 +145,15 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def rf_pipeline(num_trees: int = FIXED_N_ESTIMATORS, max_depth: int | None = FIXED_MAX_DEPTH,
-                min_instances: int = 1, seed: int = SEED, keep_places: bool = False) -> Pipeline:
-    """M3: assemble -> standardize (mean and std) -> random forest.
+                min_instances: int = 1, seed: int = SEED) -> Pipeline:
+    """M3: assemble -> standardize (mean and std) -> random forest, grown on counts of cells.
 
-    With ``keep_places`` each row's node in each tree is kept from layer to
-    layer: no layer walks the trees from their roots or sends them to the tasks.
+    Each cell's node is kept from layer to layer: no layer walks the trees from their roots.
     """
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
-    rf = RandomForestClassifier(featuresCol="scaled", labelCol="label", numTrees=num_trees,
-                                maxDepth=min(max_depth or SPARK_MAX_DEPTH, SPARK_MAX_DEPTH),
-                                minInstancesPerNode=min_instances, seed=seed, cacheNodeIds=keep_places)
+    rf = CellForestClassifier(featuresCol="scaled", labelCol="label", numTrees=num_trees,
+                              maxDepth=min(max_depth or SPARK_MAX_DEPTH, SPARK_MAX_DEPTH),
+                              minInstancesPerNode=min_instances, seed=seed, cacheNodeIds=True)
     return Pipeline(stages=[assembler(), scaler, rf])
 
 
@@ -162,7 +161,7 @@ def train_fixed(train: DataFrame, **params) -> PipelineModel:
     """M5: fixed parameters (100 trees, depth 20), fitted by all cores on rows that are computed once."""
     rows = spread(model_input(train)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return rf_pipeline(keep_places=True, **params).fit(rows)
+        return rf_pipeline(**params).fit(rows)
     finally:
         rows.unpersist()
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -56,6 +57,10 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in BASE_CONF.items():
         if key.startswith("spark.sql."):
             spark.conf.set(key, value)
+    # Python workers started from another folder find this package where the driver has it.
+    root, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
     ensure_checkpoint_dir(spark)
     return spark
 
