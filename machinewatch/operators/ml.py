@@ -16,14 +16,14 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from machinewatch.operators.forest import FlatForest
 from machinewatch.operators.ranges import in_ranges, running_offsets
-from machinewatch.operators.trees import CellForestClassifier
+from machinewatch.operators.trees import CellForestClassifier, CrossValidator
 from machinewatch.schema import (
     CV_FOLDS,
     FIXED_MAX_DEPTH,
@@ -37,8 +37,6 @@ from machinewatch.schema import (
 )
 from machinewatch.session import scratch_path
 
-#: Rows that the grid search is fitted on at most (bounded sample of labelled rows).
-GRID_FIT_ROWS = 1000
 SPARK_MAX_DEPTH = 30  # Spark's cap; stands in for "unlimited depth"
 #: Rows of a task that fits or walks a forest, at most; fewer rows go to one task per core.
 FOREST_ROWS = 500_000
@@ -168,18 +166,18 @@ def train_fixed(train: DataFrame, **params) -> PipelineModel:
 
 def grid_search(train: DataFrame, n_estimators=GRID_N_ESTIMATORS, max_depth=GRID_MAX_DEPTH,
                 min_samples_split=GRID_MIN_SAMPLES_SPLIT, folds: int = CV_FOLDS,
-                parallelism: int = 4, seed: int = SEED, max_rows: int | None = GRID_FIT_ROWS,
+                parallelism: int = 4, seed: int = SEED, max_rows: int | None = None,
                 id_col: str = "event_id"):
-    """M4: grid over trees x depth x split size, k-fold CV scored by ROC AUC.
+    """M4: grid over trees x depth x split size, k-fold CV scored by ROC AUC, on all rows.
 
     ``min_samples_split`` maps to Spark's nearest knob ``minInstancesPerNode``
     (minimum rows per child, a stricter rule); ``None`` depth maps to 30.
-    The search is fitted on at most about ``max_rows`` rows, those whose id
-    hash is lowest (all rows with ``None``); the model returned is fitted on
+    A caller may bound the search (not the model) to about ``max_rows`` rows,
+    those whose id hash is lowest. The model returned is fitted on
     all of ``train`` with the best parameters.
     Returns (best PipelineModel, best params dict, mean AUC per grid point).
     """
-    pipe = rf_pipeline()
+    pipe = rf_pipeline(seed=seed)
     rf = pipe.getStages()[-1]
     grid = (ParamGridBuilder()
             .addGrid(rf.numTrees, list(n_estimators))
@@ -194,15 +192,16 @@ def grid_search(train: DataFrame, n_estimators=GRID_N_ESTIMATORS, max_depth=GRID
     if max_rows is not None:
         share = max_rows / max(train.count(), 1)
         rows = rows.filter(F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) < F.lit(share * (1 << 30)))
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = spread(rows).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         cv_model = cv.fit(rows)
     finally:
         rows.unpersist()
     best_idx = max(range(len(grid)), key=lambda i: cv_model.avgMetrics[i])
     best = {p.name: v for p, v in grid[best_idx].items()}
-    model = train_fixed(train, num_trees=best["numTrees"], max_depth=best["maxDepth"],
-                        min_instances=best["minInstancesPerNode"], seed=seed)
+    # A search over all rows has fitted its best point on all of them.
+    model = cv_model.bestModel if max_rows is None else train_fixed(
+        train, num_trees=best["numTrees"], max_depth=best["maxDepth"], min_instances=best["minInstancesPerNode"], seed=seed)
     return model, best, list(cv_model.avgMetrics)
 
 

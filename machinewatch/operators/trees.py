@@ -18,10 +18,14 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import Bucketizer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.tuning import CrossValidator as SparkCrossValidator
+from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +35,8 @@ from machinewatch.session import scratch_path
 BLOCK = 2048
 #: A split must lower the impurity by more than what rounding makes of none.
 LEAST_GAIN = 1e-12
+#: Trees of one task of the grid search, at most.
+TASK_TREES = 10
 
 NODES = ("tree int, id int, prediction double, impurity double, stats array<double>, rows bigint, gain double, "
          "left int, right int, feature int, threshold array<double>")
@@ -297,3 +303,88 @@ class CellForestClassifier(RandomForestClassifier):
         spark.createDataFrame(trees, "_1 int, _2 string, _3 double").coalesce(1).write.parquet(os.path.join(path, "treesMetadata"))
         whole = described("RandomForestClassificationModel", self.uid, numFeatures=features, numClasses=2, numTrees=self.getNumTrees())
         spark.createDataFrame([(whole,)], "value string").coalesce(1).write.text(os.path.join(path, "metadata"))
+
+
+def weighted_auc(score: np.ndarray, counts: np.ndarray) -> float:
+    """ROC AUC of cells with ``counts`` rows per class: ties count half; 0 if a class is absent."""
+    values, at = np.unique(score, return_inverse=True)
+    neg, pos = (np.bincount(at, c, len(values)) for c in counts)
+    below = np.cumsum(neg) - neg
+    pairs = pos.sum() * neg.sum()
+    return float((pos * (below + neg / 2)).sum() / pairs) if pairs else 0.0
+
+
+class CrossValidator(SparkCrossValidator):
+    """Spark's search for a pipeline that ends with a ``CellForestClassifier``, scored by ROC AUC.
+
+    Every grid point is fitted and scored on all rows of every fold. A fold's rows are counted once; a tree that
+    several points share (its number and split size, to any depth) is grown once, and the rows of a held-out cell, which
+    every tree gives the same score, are scored once. The scores equal those of the points fitted one by one.
+    """
+
+    def _fit(self, dataset: DataFrame) -> CrossValidatorModel:
+        estimator, grid = self.getEstimator(), self.getEstimatorParamMaps()
+        if self.getEvaluator().getMetricName() != "areaUnderROC":
+            raise ValueError("the search is scored by areaUnderROC")
+        stages = estimator.getStages()
+        points = [stages[-1].copy({p: v for p, v in point.items() if stages[-1].hasParam(p.name)}) for point in grid]
+        forest = points[0]
+        forest.check()
+        spark, folds = dataset.sparkSession, []
+        for train, validation in self._kFold(dataset):
+            both = train.withColumn("_held", F.lit(False)).unionByName(validation.withColumn("_held", F.lit(True)))
+            ready = Pipeline(stages=stages[:-1]).fit(train).transform(both)
+            folds.append(count_cells(ready, forest.getFeaturesCol(), forest.getLabelCol(), forest.getMaxBins(), "_held"))
+        scores = self._scores(spark, folds, points)
+        metrics = [[scores[i, p.getMinInstancesPerNode(), p.getMaxDepth(), p.getNumTrees()] for p in points] for i in range(len(folds))]
+        means, stds = np.mean(metrics, axis=0).tolist(), np.std(metrics, axis=0).tolist()
+        best = estimator.fit(dataset, grid[int(np.argmax(means))])
+        return self._copyValues(CrossValidatorModel(best, means, None, stds))
+
+    @staticmethod
+    def _scores(spark, folds: list[Cells], points: list[CellForestClassifier]) -> dict:
+        """AUC by (fold, split size, depth, trees)."""
+        held = spark.sparkContext.broadcast(folds)
+        forest, features = points[0], len(folds[0].bins)
+        seed, bins = forest.getSeed(), forest.getMaxBins()
+        depths = sorted({p.getMaxDepth() for p in points})
+        sizes = sorted({p.getNumTrees() for p in points})
+        # Trees are dealt in runs that no size of a forest cuts; one tree alone sees all features, so it is another tree.
+        runs = [(several, first, min(first + TASK_TREES, b)) for several in (False, True)
+                for own in ([n for n in sizes if (n > 1) == several],) for a, b in zip([0, *own], own)
+                for first in range(a, b, TASK_TREES)]
+        work = [(i, least, several, a, b) for several, a, b in runs for i in range(len(folds))
+                for least in sorted({p.getMinInstancesPerNode() for p in points})]
+        subset = {several: max(points, key=lambda p: (p.getNumTrees() > 1) == several).subset(features) for several in (False, True)}
+
+        def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for fold, least, several, first, last in (work[i] for i in batch["id"]):
+                    cells = held.value[fold]
+                    asked = np.flatnonzero(cells.held.sum(axis=0))
+                    votes = {d: np.zeros(len(asked)) for d in depths}
+                    for number in range(first, last):
+                        tree = grow(cells, number, seed, depths[-1], least, subset[several], bins)
+                        at, share = tree.walk(cells.bins[:, asked]), tree.stats[:, 1] / tree.stats.sum(axis=1)
+                        for d in depths:
+                            votes[d] += share[tree.cut(d)[at]]
+                    yield pd.DataFrame([(fold, least, d, several, last, votes[d]) for d in depths],
+                                       columns=["fold", "least", "depth", "several", "last", "votes"])
+
+        def rank(part: pd.DataFrame) -> pd.DataFrame:
+            cells = held.value[part["fold"].iloc[0]]
+            counts = cells.held[:, np.flatnonzero(cells.held.sum(axis=0))]
+            votes, out = np.zeros(counts.shape[1]), []
+            for row in part.sort_values("last").itertuples():
+                votes += row.votes
+                if row.last in sizes:
+                    # Equal scores stay equal, whatever order their trees were added in.
+                    out.append((row.fold, row.least, row.depth, row.last, weighted_auc(np.round(votes / row.last, 12), counts)))
+            return pd.DataFrame(out, columns=["fold", "least", "depth", "trees", "auc"])
+
+        tasks = spark.range(0, len(work), 1, min(len(work), 8 * spark.sparkContext.defaultParallelism))
+        voted = tasks.mapInPandas(vote, "fold int, least int, depth int, several boolean, last int, votes array<double>")
+        ranked = voted.groupBy("fold", "least", "depth", "several").applyInPandas(
+            rank, "fold int, least int, depth int, trees int, auc double").collect()
+        held.unpersist()
+        return {(r["fold"], r["least"], r["depth"], r["trees"]): r["auc"] for r in ranked}

@@ -1,6 +1,8 @@
-"""The forest on counts of cells: against brute force, other dealings of the rows."""
+"""The forest on counts of cells: against brute force, Spark's own search, other dealings of the rows."""
 import numpy as np
 import pytest
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
 from machinewatch.operators import ml, trees
@@ -104,6 +106,36 @@ def test_a_fit_passes_over_its_rows_a_few_times(spark):
     assert jobs[20] <= jobs[2] + 2
 
 
+def test_the_search_equals_its_points_fitted_one_by_one(spark):
+    """Spark's own search fits and scores every point apart; the shared one gives the same AUC."""
+    rows = ml.model_input(_separable(spark, 800)).withColumn("label", F.when(F.col("event_id") % 7 == 0, 1 - F.col("label")).otherwise(
+        F.col("label"))).repartition(2).persist()
+    pipe = ml.rf_pipeline()
+    rf = pipe.getStages()[-1]
+    grid = ParamGridBuilder().addGrid(rf.numTrees, [1, 12]).addGrid(rf.maxDepth, [2, 30]).addGrid(rf.minInstancesPerNode, [1, 9]).build()
+    evaluator = BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0)
+    args = {"estimator": pipe, "estimatorParamMaps": grid, "evaluator": evaluator, "numFolds": 2, "seed": 42}
+    shared, apart = trees.CrossValidator(**args).fit(rows), CrossValidator(**args).fit(rows)
+    assert shared.avgMetrics == pytest.approx(apart.avgMetrics, abs=1e-9) and len(set(shared.avgMetrics)) > 4
+    assert shared.bestModel.stages[-1].getNumTrees == apart.bestModel.stages[-1].getNumTrees
+    rows.unpersist()
+
+
+def test_the_grid_search_takes_all_rows(spark, monkeypatch):
+    """The search is not fitted on a sample, and the model it returns was fitted on the same rows."""
+    seen, count = [], trees.count_cells
+
+    def probe(rows, *args):
+        cells = count(rows, *args)
+        seen.append((int(cells.counts.sum()), int(cells.held.sum())))
+        return cells
+
+    monkeypatch.setattr(trees, "count_cells", probe)
+    model, best, aucs = ml.grid_search(_separable(spark, 2500), n_estimators=(2, 4), max_depth=(3, None), min_samples_split=(2,), folds=3)
+    assert len(seen) == 4 and all(sum(s) == 2500 for s in seen) and sum(s[1] for s in seen) == 2500
+    assert seen[-1] == (2500, 0) and len(model.stages[-1].trees) == best["numTrees"] and len(aucs) == 4 and min(aucs) > 0.9
+
+
 def test_what_cannot_be_fitted_is_refused(spark):
     feats = ml.model_input(_separable(spark, 60))
     with pytest.raises(ValueError, match="neither 0 nor 1"):
