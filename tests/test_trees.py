@@ -144,3 +144,18 @@ def test_what_cannot_be_fitted_is_refused(spark):
         trees.CellForestClassifier(featuresCol="f", subsamplingRate=0.5).fit(feats)
     one = ml.rf_pipeline(3, 4).fit(feats.filter("label = 1"))
     assert [t.numNodes for t in one.stages[-1].trees] == [1, 1, 1] and {r["prediction"] for r in ml.score(one, feats).collect()} == {1}
+
+
+def test_like_rows_are_scored_one_after_another(spark):
+    """Rows are ordered within their partitions before they are scored, none is moved or lost."""
+    feats = _separable(spark, 400).repartition(3).persist()
+    near = ml.alike(feats).select(F.spark_partition_id().alias("part"), "event_id", "vibration")
+    at = lambda df: sorted(map(tuple, df.select(F.spark_partition_id(), "event_id").collect()))
+    assert at(near) == at(feats)
+    rows = near.collect()
+    for part in range(3):
+        steps = [r["vibration"] // 0.25 for r in rows if r["part"] == part]
+        assert steps == sorted(steps)
+    plan = ml.score(ml.train_fixed(feats, num_trees=2, max_depth=2), feats)._jdf.queryExecution().executedPlan().toString()
+    assert "Sort [FLOOR" in plan.replace("floor", "FLOOR")
+    feats.unpersist()
